@@ -199,8 +199,14 @@ def resolve_mass(df: DataFrame, order: list[str]) -> DataFrame:
 def resolve(df: DataFrame, order: list[str], limits: DataFrame, keep_work: bool = False) -> DataFrame:
     """All quantities of a merged table; ``limits`` (group, floor, ceiling) is
     joined by column ``grp``, the class group of the merged label."""
+    # A quantity that no source carries is NULL while others are judged, and not
+    # in the result; a stray sigma without its value is not either.
+    absent: list[str] = []
     for q in QUANTITIES.values():
         df = hygiene(df, q, order)
+        if not _sources(df, q, order):
+            absent += [c for c in (q.value, q.sigma) if c]
+    df = df.withColumns({c: F.lit(None).cast("double") for c in absent})
     lim = F.broadcast(limits.select("grp", F.col("floor").alias("_floor"), F.col("ceiling").alias("_ceiling")))
     df = df.join(lim, "grp", "left").withColumns(
         {"_floor": F.coalesce("_floor", F.lit(P.DENSITY_FLOOR)), "_ceiling": F.coalesce("_ceiling", F.lit(P.DENSITY_CEILING_ANY))}
@@ -212,4 +218,4 @@ def resolve(df: DataFrame, order: list[str], limits: DataFrame, keep_work: bool
     df = pick(df, QUANTITIES["rotation_period"], order, screen_spin(df, order), True)
     if keep_work:
         return df
-    return df.select(*[c for c in df.columns if not c.startswith("_") and "__" not in c])
+    return df.select(*[c for c in df.columns if not c.startswith("_") and "__" not in c and c not in absent])
