@@ -36,10 +36,11 @@ from pyspark.sql import types as T
 from orrery.llm.common import held_out, materialise, sample_order
 
 #: Training documents per class at most, and characters of one that training reads.
-SAMPLE_PER_CLASS = 2500
+SAMPLE_PER_CLASS = 2000
 SAMPLE_CHARS = 50_000
 MIN_TOXIC, MIN_SHARE, MIN_LIFT = 3, 0.02, 15.0
 NGRAMS = range(4, 9)
+MAX_FEATURES = 5_000
 MEMO_WORDS = 300_000
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"\w+")
@@ -77,51 +78,99 @@ def sentences(text: str) -> list[str]:
     return [s for s in _SENTENCE.findall(text) if _WORD.search(s)]
 
 
-def train(texts: list[str], toxic: list[int], steps: int = 300, decay: float = 1e-3) -> Model | None:
-    """Fit sentence weights to document labels; None if there is but one class."""
-    y = np.array(toxic, dtype=float)
+def _document_counts(sample: DataFrame) -> DataFrame:
+    """(feature, toxic, clean): documents of either class that hold a feature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        has: tuple[Counter, Counter] = (Counter(), Counter())
+        for batch in batches:
+            for text, label in zip(batch.column(0), batch.column(1)):
+                words = set(_WORD.findall(text.as_py().lower()))
+                has[label.as_py()].update(set().union(*map(features, words)))
+        names = list(has[0].keys() | has[1].keys())
+        for k in range(0, len(names), 50_000):
+            part = names[k : k + 50_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.string()), *[pa.array([has[y][f] for f in part], pa.int64()) for y in (1, 0)]],
+                names=["feature", "toxic", "clean"],
+            )
+
+    rows = sample.select("t", "toxic").mapInArrow(run, "feature string, toxic long, clean long")
+    return rows.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def select_features(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
+    """Features that may carry weight; at most MAX_FEATURES, the most telling first."""
+    counts = _document_counts(sample).where(
+        (F.col("toxic") >= max(MIN_TOXIC, MIN_SHARE * n_toxic))
+        & (F.col("toxic") * n_clean >= MIN_LIFT * n_toxic * (F.col("clean") + 1))
+    )
+    return [r["feature"] for r in counts.orderBy(F.desc("toxic"), "feature").limit(MAX_FEATURES).collect()]
+
+
+def bags(sample: DataFrame, chosen: list[str]) -> list:
+    """Rows (toxic, n_plain, sentences): each document's sentences as the numbers of
+    the chosen features in them, and how many sentences hold none."""
+    place = sample.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(chosen)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[int]] = {}
+        for batch in batches:
+            plain, found = [], []
+            for text in batch.column(0):
+                n, full = 0, []
+                for s in sentences(text.as_py().lower()):
+                    ids: set[int] = set()
+                    for w in set(_WORD.findall(s)):
+                        if w not in known:
+                            if len(known) >= MEMO_WORDS:
+                                known.clear()
+                            known[w] = [place.value[f] for f in features(w) if f in place.value]
+                        ids.update(known[w])
+                    n += not ids
+                    if ids:
+                        full.append(sorted(ids))
+                plain.append(n)
+                found.append(full)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1), pa.array(plain, pa.int32()), pa.array(found, pa.list_(pa.list_(pa.int32())))],
+                names=["toxic", "n_plain", "sentences"],
+            )
+
+    return sample.select("t", "toxic").mapInArrow(run, "toxic int, n_plain int, sentences array<array<int>>").collect()
+
+
+def train(rows: list, chosen: list[str], steps: int = 300, decay: float = 1e-3) -> Model | None:
+    """Fit weights to the labels of bags; None if there is but one class.
+
+    Sentences without a chosen feature are all alike, so a bag holds their number.
+    """
+    y = np.array([r["toxic"] for r in rows], dtype=float)
     n1, n0 = y.sum(), len(y) - y.sum()
     if not n1 or not n0:
         return None
-    known: dict[str, set[str]] = {}
-
-    def of(sentence: str) -> set[str]:
-        words = set(_WORD.findall(sentence))
-        return set().union(*[known.get(w) or known.setdefault(w, features(w)) for w in words])
-
-    bags = [[of(s) for s in sentences(t.lower())] for t in texts]
-    has = [Counter(), Counter()]
-    for bag, label in zip(bags, toxic):
-        has[label].update(set().union(*bag))
-    kept = sorted(
-        w for w, c in has[1].items() if c >= max(MIN_TOXIC, MIN_SHARE * n1) and c * n0 >= MIN_LIFT * n1 * (has[0][w] + 1)
-    )
-    place = {w: i for i, w in enumerate(kept)}
-    row, col, doc = [], [], []
-    for d, bag in enumerate(bags):
-        for s in bag:
-            for f in place.keys() & s:
-                row.append(len(doc))
-                col.append(place[f])
-            doc.append(d)
-    row, col, doc = np.array(row, int), np.array(col, int), np.array(doc, int)
-    w, b = np.zeros(len(kept)), -5.0
-    m, v = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1)
-    balance = np.where(y == 1, n0 / max(n1, 1), 1.0) if n1 < n0 else np.ones(len(y))
-    balance = np.minimum(balance, 5)
+    plain = np.array([r["n_plain"] for r in rows], dtype=float)
+    doc = np.array([d for d, r in enumerate(rows) for _ in r["sentences"]], int)
+    flat = [s for r in rows for s in r["sentences"]]
+    row = np.repeat(np.arange(len(flat)), [len(s) for s in flat]) if flat else np.zeros(0, int)
+    col = np.array([i for s in flat for i in s], int)
+    w, b = np.zeros(len(chosen)), -5.0
+    m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
+    balance = np.where(y == 1, min(5.0, max(1.0, n0 / n1)), 1.0)
     for k in range(1, steps + 1):
-        z = b + np.bincount(row, w[col], minlength=len(doc))
-        p = 1 / (1 + np.exp(-z))
-        log_none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y))
+        p = 1 / (1 + np.exp(-(b + np.bincount(row, w[col], minlength=len(doc)))))
+        base = 1 / (1 + np.exp(-b))
+        log_none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y)) + plain * np.log1p(-base)
         none = np.exp(log_none)
-        some = np.maximum(1 - none, 1e-9)
-        # d loss / d z of a sentence: p for a clean document, -p (1 - P) / P for a toxic one.
-        dz = p * (np.where(y == 1, -none / some, 1.0) * balance)[doc]
-        g = np.append(np.bincount(col, dz[row], minlength=len(kept)) / len(y) + decay * w / len(y) ** 0.5, dz.sum() / len(y))
+        # d loss / d z of a sentence: p in a clean document, -p (1 - P) / P in a toxic one.
+        pull = np.where(y == 1, -none / np.maximum(1 - none, 1e-9), 1.0) * balance
+        dz = p * pull[doc]
+        to_bias = (dz.sum() + (base * plain * pull).sum()) / len(y)
+        g = np.append(np.bincount(col, dz[row], minlength=len(chosen)) / len(y) + decay * w / len(y) ** 0.5, to_bias)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = 0.2 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
         w, b = w - step[:-1], min(-2.0, b - step[-1])
-    return Model(float(b), {x: float(a) for x, a in zip(kept, w) if abs(a) > 1e-3})
+    return Model(float(b), {x: float(a) for x, a in zip(chosen, w) if abs(a) > 1e-3})
 
 
 def sentence_scores(model: Model, text: str, memo: _WordWeights | None = None) -> list[tuple[str, float]]:
@@ -143,10 +192,11 @@ def document_score(model: Model | None, text: str | None, memo: _WordWeights | N
     return 1 - math.exp(log_none)
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> list:
-    """Rows (t, toxic), at most ``per_class`` of each class, from the training part.
+def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
+    """(t, toxic): at most ``per_class`` ids of each class from the training part.
 
-    The ids are chosen first, so the texts are read in one filtered scan.
+    The ids are chosen first, so the texts are read in one filtered scan. The
+    table is written in small parts, as feature counting needs memory per text.
     """
     y = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"), 5, 0))
     y = y.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -154,12 +204,18 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_
     ids = materialise(ids[0].unionByName(ids[1]), "toxic-sample")
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("t"))
     bound = 3 * per_class  # repeated ids may bring more rows than ids
-    return texts.join(F.broadcast(ids), "doc_id").select("t", "toxic").orderBy(sample_order("t")).limit(bound).collect()
+    found = texts.join(F.broadcast(ids), "doc_id").select("t", "toxic").limit(bound)
+    return materialise(found.repartition(32, F.xxhash64("t")), "toxic-texts")
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model | None:
-    rows = training_sample(docs, labels, per_class)
-    return train([r["t"] for r in rows], [r["toxic"] for r in rows])
+    """Choose features and fit weights; texts stay on the executors."""
+    sample = training_sample(docs, labels, per_class)
+    n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    if not n.get(0) or not n.get(1):
+        return None
+    chosen = select_features(sample, n[1], n[0])
+    return train(bags(sample, chosen), chosen)
 
 
 def with_score(docs: DataFrame, model: Model | None, name: str = "score") -> DataFrame:
