@@ -128,7 +128,7 @@ def allocate(cost: np.ndarray, distance: int = DISTANCE) -> tuple[float, list[in
 
 def plan(sample: np.ndarray, rows: int) -> list[tuple[list[int], int]]:
     """(bits, threshold) of each used partition for ``rows`` fingerprints."""
-    sample = sample.astype(np.uint64)
+    sample, rows = sample.astype(np.uint64), max(rows, 1)  # probes always cost something
     bits = (
         np.unpackbits(sample.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         if len(sample)
