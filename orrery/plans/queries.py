@@ -17,7 +17,7 @@ from orrery.functions import physics as P
 from orrery.operators import audit, calibrate, classify, identity, impute, lookup, merge, minerals, pool, resolve, survivor, validate
 from orrery.plans import catalog, fixtures
 from orrery.plans.oracle import sql, values
-from orrery.plans.staging import once
+from orrery.plans.staging import new_path, once
 from orrery.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +116,33 @@ def _(spark, sf):
     return readers.link_pairs(text.select(F.from_json("t", readers.LINK_SCHEMA).alias("o")).select("o.*"))
 
 
+_CARD = "id string, number long, parameters struct<physical: struct<mass: struct<value: double>>>"
+
+
+@query("a06_nested_cards", sql("fx", "SELECT CAST(designation AS BIGINT) AS number, round(estimated_mass_kg/1e15, 3) AS mass FROM fx_orbits"))
+def _(spark, sf):
+    # Cards as landed: JSON text with a nested value, read with an explicit schema.
+    value = F.struct(F.struct(F.struct(F.col("estimated_mass_kg").alias("value")).alias("mass")).alias("physical")).alias("parameters")
+    text = fx(spark, sf, "fx_orbits").select(F.to_json(F.struct(F.col("designation").cast("long").alias("number"), F.col("name").alias("id"), value)).alias("t"))
+    card = text.select(F.from_json("t", _CARD).alias("c"))
+    return card.select("c.number", F.round(F.col("c.parameters.physical.mass.value") / 1e15, 3).alias("mass"))
+
+
+@query("a07_pinned_ids", sql("fx", "SELECT packed AS designation, diameter_km FROM fx_compendium"))
+def _(spark, sf):
+    # Packed numbers look like integers with leading zeros; a CSV keeps them as text.
+    rows = fx(spark, sf, "fx_compendium").select(F.col("packed").alias("designation"), "diameter_km")
+    readers.write_csv(rows, path := new_path(spark, "csv"))
+    return readers.catalog(spark, path, rows.schema)
+
+
+@query("a11_typed_parquet", sql("fx", "SELECT designation, is_neo, semi_major_axis_au, CAST(NULL AS VARCHAR) AS family FROM fx_orbits"))
+def _(spark, sf):
+    schema = spark.createDataFrame([], "designation string, is_neo boolean, semi_major_axis_au double, family string").schema
+    readers.write_typed(fx(spark, sf, "fx_orbits"), schema, path := new_path(spark, "typed"))
+    return spark.read.parquet(path)
+
+
 @query("a08_row_cap", sql("fx", "SELECT designation FROM fx_orbits ORDER BY CAST(designation AS BIGINT), designation LIMIT 100"))
 def _(spark, sf):
     rows = fx(spark, sf, "fx_orbits").select("designation", F.col("designation").cast("long").alias("number"))
@@ -312,6 +339,14 @@ def _(spark, sf):
     return stage(spark, sf, "merged").select("designation", "name", r("semi_major_axis_au").alias("a"), r("density_gcm3").alias("rho"), "family", "n_fits", r("absolute_magnitude_h__best").alias("h_best"), r(F.when(F.col("diameter_km__fits") > 0, F.col("diameter_km__fits"))).alias("d_fits"))
 
 
+@query("d04_decoded_numbers", sql("fx", "SELECT packed, family, ltrim(packed, '0') AS number FROM fx_compendium"))
+def _(spark, sf):
+    rows = fx(spark, sf, "fx_compendium")
+    decoded = rows.select("packed", keys.unpack_number(F.col("packed")).alias("number")).where("number is not null")
+    first = decoded.groupBy("packed").agg(F.min("number").alias("number"))
+    return rows.select("packed", "family").join(first, "packed", "left")
+
+
 @query("d05_dimension_lookup", sql("merged", "SELECT designation, grp, hi AS ceiling FROM grps"))
 def _(spark, sf):
     lim = dims.density_limits(spark).select("grp", "ceiling")
@@ -549,6 +584,14 @@ def _(spark, sf):
     return stage(spark, sf, "resolved").where("rotation_period_n_sources > 0").select("designation", F.col("rotation_period_h").alias("t"), F.col("rotation_period_provider").alias("t_prov"), F.col("rotation_period_screened_out").alias("t_out"))
 
 
+@query("r12_absent_quantities", sql("resolved", "SELECT designation, round(p, 6) AS albedo, p_prov FROM rs"))
+def _(spark, sf):
+    wide = stage(spark, sf, "merged")
+    only = wide.select("designation", "grp", *[c for c in wide.columns if c.startswith(("albedo", "diameter_sigma_km__"))])
+    out = resolve.resolve(only, catalog.ORDER, dims.density_limits(spark))
+    return out.select("designation", r("albedo").alias("albedo"), F.col("albedo_provider").alias("p_prov"))
+
+
 # --- physics ----------------------------------------------------------------------
 
 def _physics(name: str, oracle: str, cols: Callable[[Column, Column, Column], dict[str, Column]]) -> None:
@@ -624,6 +667,22 @@ def _(spark, sf):
     return audit.release_problems(d, spark, catalog.VERSION, {"orbits": 1, "none": 1}, row_floor=100_000_000, measured_floor=1)
 
 
+@query("v09_gated_publish", sql("derived", "SELECT count(*) AS n_rows, count(*) FILTER (d_src = 'measured') AS n_measured, CAST((SELECT count(*) FROM vl WHERE reason IS NOT NULL) AS BIGINT) AS n_rejected FROM vl WHERE reason IS NULL"))
+def _(spark, sf):
+    d = stage(spark, sf, "derived")
+    kept, log = validate.split(d, validate.row_rules(d.columns))
+    kept = kept.withColumns({"catalog_date": F.lit(DATE), "pipeline_version": F.lit(catalog.VERSION)})
+    kept = kept.select("designation", "diameter_km", "diameter_source", "semi_major_axis_au", "sources", "catalog_date", "pipeline_version")
+    gate = audit.release_problems(kept, spark, catalog.VERSION, {"orbits": 1}, row_floor=1, measured_floor=1)
+    return audit.publish(kept, log, new_path(spark, "release"), gate).select("n_rows", "n_measured", F.col("n_rejected").cast("long"))
+
+
+@query("b15_column_order", sql("resolved", "SELECT designation, round(d, 6) AS diameter_km, d_prov AS diameter_provider, semi_major_axis_au FROM rs"))
+def _(spark, sf):
+    d = stage(spark, sf, "resolved").select("diameter_provider", "semi_major_axis_au", r("diameter_km").alias("diameter_km"), "designation")
+    return merge.column_order(d, ["designation"], {"diameter_km": ["diameter_provider"]})
+
+
 @query("v10_suspects", sql("enriched", """SELECT rule, count(*) AS n_rows FROM (SELECT unnest(list_filter([
  CASE WHEN mass_meas AND (x < 25e-2 OR x > m_hi) THEN 'measured mass outside its class''s density' END, CASE WHEN mass_meas AND x > 5 THEN 'measured mass above 5 g/cm3' END,
  CASE WHEN d_src = 'measured' AND pi_ > 1 THEN 'implied albedo above 1' END, CASE WHEN d_src = 'measured' AND pi_ < 1e-2 THEN 'implied albedo below 0.01' END,

@@ -12,11 +12,16 @@ LOCAL_SCRATCH = "/tmp/checkpoints"
 _WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has been written to."""
+    root = (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_SCRATCH).rstrip("/")
+    return f"{root}/orrery/{uuid.uuid4().hex}/{name}"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet and read back: ends lineage and plan growth."""
     spark = df.sparkSession
-    root = (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_SCRATCH).rstrip("/")
-    path = f"{root}/orrery/{uuid.uuid4().hex}/{name}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
