@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from orrery.functions import dims
-from orrery.functions import physics as P
 from orrery.operators import audit, classify, identity, impute, lookup, merge, minerals, pool, resolve, survivor, validate
 from orrery.sources import readers
 
