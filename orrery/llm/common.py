@@ -31,6 +31,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of narrow ids up to which a table is broadcast; beyond it joins are shuffled.
+MAX_BROADCAST_IDS = 1_000_000
+
+
+def checked_broadcast(ids: DataFrame, name: str) -> DataFrame:
+    """``ids``, written, and marked for broadcast only if its counted rows allow it.
+
+    So whole texts need no shuffle while the decisions about them are few; a larger
+    table of decisions is joined by a shuffle.
+    """
+    ids = materialise(ids, name)
+    return F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.common import ascii_lower, materialise
+from orrery.llm.common import ascii_lower, checked_broadcast, materialise
 
 WINDOW = 13
 #: Separators after lower-casing; equals [\x00-\x2F\x3A-\x60\x7B-\x7F]+ there.
@@ -194,6 +194,6 @@ def proximity(index: DataFrame, queries: DataFrame, terms: DataFrame, slack: int
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without contaminated documents; rows that share an id go together."""
-    bad = materialise(contamination(docs, items).where("contaminated").select("doc_id").distinct(), "contaminated")
-    bad = bad.withColumnRenamed("doc_id", "_bad")
-    return docs.join(bad, docs.doc_id.eqNullSafe(bad._bad), "left_anti")
+    bad = contamination(docs, items).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
+    bad = checked_broadcast(bad, "contaminated")
+    return docs.join(bad, docs.doc_id.eqNullSafe(F.col("_bad")), "left_anti")

@@ -34,13 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import materialise, sample_order
+from orrery.llm.common import checked_broadcast, materialise, sample_order
 
 BUCKETS = 1 << 13
 #: Labelled documents per class at most, for the target model and for the cut.
 SAMPLE_PER_CLASS = 5000
 SEED = 11
-MEMO_WORDS = 300_000
+MEMO_WORDS = 100_000
 #: A k-th key is searched in histograms of so many bins.
 BINS = 1024
 
@@ -215,5 +215,6 @@ def resample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLA
 def keep_selected(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without those that the sample leaves out; rows that share an id
     stay if any of them is selected."""
-    stay = materialise(resample(docs, labels).where("kept").select(F.col("doc_id").alias("_stay")).distinct(), "selected")
-    return docs.join(stay, docs.doc_id.eqNullSafe(stay._stay), "left_semi")
+    stay = resample(docs, labels).where("kept").select(F.col("doc_id").alias("_stay")).distinct()
+    stay = checked_broadcast(stay, "selected")
+    return docs.join(stay, docs.doc_id.eqNullSafe(F.col("_stay")), "left_semi")

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import materialise, sample_order
+from orrery.llm.common import checked_broadcast, materialise, sample_order
 from orrery.llm.components import connected
 
 BITS = 64
@@ -245,7 +245,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs)
     stay = found.groupBy("component_id").agg(F.count_if(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("n"))
     stay = materialise(stay, "stay")
-    kept = docs.join(stay.select("component_id"), docs.doc_id.eqNullSafe(F.col("component_id")), "left_semi")
+    ids = checked_broadcast(stay.select(F.col("component_id").alias("_stay")), "stay-ids")
+    kept = docs.join(ids, docs.doc_id.eqNullSafe(F.col("_stay")), "left_semi")
     if stay.where("n > 1").isEmpty():
         return kept
     least = F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("r")
