@@ -30,9 +30,9 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Pieces whose encodings a worker remembers, in each of two generations.
-MEMO_PIECES = 250_000
+MEMO_PIECES = 100_000
 #: Token pairs whose compatibility a worker remembers.
-MEMO_PAIRS = 1_000_000
+MEMO_PAIRS = 400_000
 _LOADED: dict[tuple[str, str], "Tokenizer"] = {}
 
 
@@ -69,7 +69,7 @@ class Tokenizer:
         for b, r in ranks.items():
             self.machine.add_word(b.decode("latin-1"), (len(b), r))
         self.machine.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by left << 32 | right
         self.whole: dict[int, bool] = {}
         self.memo: dict[str, tuple[int, str, bytes]] = {}
         self.older: dict[str, tuple[int, str, bytes]] = {}
@@ -82,12 +82,13 @@ class Tokenizer:
         return ok
 
     def compatible(self, left: int, right: int) -> bool:
-        ok = self.pairs.get((left, right))
+        pair = left << 32 | right
+        ok = self.pairs.get(pair)
         if ok is None:
             if len(self.pairs) >= MEMO_PAIRS:
                 self.pairs.clear()
             a, b = self.token[left], self.token[right]
-            ok = self.pairs[left, right] = merge_by_rank(a + b, self.ranks) == [a, b]
+            ok = self.pairs[pair] = merge_by_rank(a + b, self.ranks) == [a, b]
         return ok
 
     def encode_piece(self, piece: bytes) -> list[int]:
