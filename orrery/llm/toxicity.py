@@ -1,8 +1,9 @@
 """Toxicity by multiple-instance learning over sentences.
 
 A document is a bag of sentences and only the bag has a label. A sentence's
-probability is logistic in the words that it holds, a document's is the
-noisy-or of its sentences, 1 - prod(1 - p). Training follows the gradient of
+probability is logistic in the features that it holds, and 0 without any, so
+that length alone is no evidence; a document's is the noisy-or of its
+sentences, 1 - prod(1 - p). Training follows the gradient of
 the document's log-likelihood through the noisy-or, so a sentence is blamed in
 the measure in which it explains the label, and afterwards sentences can be
 scored alone: ``locate`` names the offending ones.
@@ -50,20 +51,22 @@ _WORD = re.compile(r"\w+")
 class Model:
     bias: float
     weight: dict[str, float]
+    #: Logit of a sentence that holds no feature; the bias if None.
+    plain: float | None = None
 
 
 class _WordWeights(dict):
-    """word -> sum of the weights of its features, bounded."""
+    """word -> sum of the weights of its features, None if it has none; bounded."""
 
     def __init__(self, model: Model):
         super().__init__()
         self.weight = model.weight
 
-    def __missing__(self, word: str) -> float:
+    def __missing__(self, word: str) -> float | None:
         if len(self) >= MEMO_WORDS:
             self.clear()
-        get = self.weight.get
-        total = self[word] = sum([get(f, 0.0) for f in features(word)])
+        found = [self.weight[f] for f in features(word) if f in self.weight]
+        total = self[word] = sum(found) if found else None
         return total
 
 
@@ -109,16 +112,16 @@ def select_features(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
 
 
 def bags(sample: DataFrame, chosen: list[str]) -> list:
-    """Rows (toxic, n_plain, sentences): each document's sentences as the numbers of
-    the chosen features in them, and how many sentences hold none."""
+    """Rows (toxic, sentences): each document's sentences that hold a chosen feature,
+    as the numbers of these features."""
     place = sample.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(chosen)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[int]] = {}
         for batch in batches:
-            plain, found = [], []
+            found = []
             for text in batch.column(0):
-                n, full = 0, []
+                full = []
                 for s in sentences(text.as_py().lower()):
                     ids: set[int] = set()
                     for w in set(_WORD.findall(s)):
@@ -127,29 +130,25 @@ def bags(sample: DataFrame, chosen: list[str]) -> list:
                                 known.clear()
                             known[w] = [place.value[f] for f in features(w) if f in place.value]
                         ids.update(known[w])
-                    n += not ids
                     if ids:
                         full.append(sorted(ids))
-                plain.append(n)
                 found.append(full)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(plain, pa.int32()), pa.array(found, pa.list_(pa.list_(pa.int32())))],
-                names=["toxic", "n_plain", "sentences"],
+                [batch.column(1), pa.array(found, pa.list_(pa.list_(pa.int32())))], names=["toxic", "sentences"]
             )
 
-    return sample.select("t", "toxic").mapInArrow(run, "toxic int, n_plain int, sentences array<array<int>>").collect()
+    return sample.select("t", "toxic").mapInArrow(run, "toxic int, sentences array<array<int>>").collect()
 
 
 def train(rows: list, chosen: list[str], steps: int = 300, decay: float = 1e-3) -> Model | None:
     """Fit weights to the labels of bags; None if there is but one class.
 
-    Sentences without a chosen feature are all alike, so a bag holds their number.
+    Sentences without a chosen feature have probability 0 and are not in the bags.
     """
     y = np.array([r["toxic"] for r in rows], dtype=float)
     n1, n0 = y.sum(), len(y) - y.sum()
     if not n1 or not n0:
         return None
-    plain = np.array([r["n_plain"] for r in rows], dtype=float)
     doc = np.array([d for d, r in enumerate(rows) for _ in r["sentences"]], int)
     flat = [s for r in rows for s in r["sentences"]]
     row = np.repeat(np.arange(len(flat)), [len(s) for s in flat]) if flat else np.zeros(0, int)
@@ -159,18 +158,17 @@ def train(rows: list, chosen: list[str], steps: int = 300, decay: float = 1e-3)
     balance = np.where(y == 1, min(5.0, max(1.0, n0 / n1)), 1.0)
     for k in range(1, steps + 1):
         p = 1 / (1 + np.exp(-(b + np.bincount(row, w[col], minlength=len(doc)))))
-        base = 1 / (1 + np.exp(-b))
-        log_none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y)) + plain * np.log1p(-base)
+        log_none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y))
         none = np.exp(log_none)
         # d loss / d z of a sentence: p in a clean document, -p (1 - P) / P in a toxic one.
         pull = np.where(y == 1, -none / np.maximum(1 - none, 1e-9), 1.0) * balance
         dz = p * pull[doc]
-        to_bias = (dz.sum() + (base * plain * pull).sum()) / len(y)
-        g = np.append(np.bincount(col, dz[row], minlength=len(chosen)) / len(y) + decay * w / len(y) ** 0.5, to_bias)
+        g = np.append(np.bincount(col, dz[row], minlength=len(chosen)) / len(y) + decay * w / len(y) ** 0.5, dz.sum() / len(y))
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = 0.2 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
         w, b = w - step[:-1], min(-2.0, b - step[-1])
-    return Model(float(b), {x: float(a) for x, a in zip(chosen, w) if abs(a) > 1e-3})
+    # Every chosen feature stays, whatever its weight: it tells which sentences count.
+    return Model(float(b), {x: float(a) for x, a in zip(chosen, w)}, -math.inf)
 
 
 def sentence_scores(model: Model, text: str, memo: _WordWeights | None = None) -> list[tuple[str, float]]:
@@ -179,7 +177,8 @@ def sentence_scores(model: Model, text: str, memo: _WordWeights | None = None) -
     out = []
     for s in _SENTENCE.findall(text):
         if words := _WORD.findall(s.lower()):
-            z = model.bias + sum(map(memo.__getitem__, set(words)))
+            found = [x for x in map(memo.__getitem__, set(words)) if x is not None]
+            z = model.bias + sum(found) if found or model.plain is None else model.plain
             out.append((s, 1 / (1 + math.exp(-z)) if z > -700 else 0.0))
     return out
 

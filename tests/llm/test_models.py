@@ -235,6 +235,16 @@ def test_noisy_or():
     assert toxicity.document_score(model, "a b. bad c! d") == pytest.approx(1 - math.prod(1 - x for x in p))
 
 
+def test_length_alone_is_not_toxic(spark, prose):
+    rows = [(i, f"{prose(i, 50)}. You vile grumble. {prose(i + 1, 30)}" if i % 4 == 0 else prose(i, 90)) for i in range(200)]
+    plain = ". ".join(prose(5000 + i, 4).replace(".", "") for i in range(20_000))
+    rows += [(900, plain), (901, plain + ". You vile grumble.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.score(docs, labels).collect()}
+    assert (got[900]["score"], got[900]["predicted"]) == (0, 0) and got[901]["predicted"] == 1
+
+
 def test_toxicity_edges(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.score(docs, none).collect()} == {0.0}
