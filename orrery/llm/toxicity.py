@@ -12,7 +12,8 @@ Features are words and the character n-grams of words, marked at both ends, so
 that stems are learned too. A feature may carry weight if it occurs in at least
 MIN_TOXIC and a share MIN_SHARE of the toxic training documents, and its share
 there is at least MIN_LIFT times that among the others (one document added, so
-that rare features do not pass by chance). Training uses a bounded sample; scoring reads whole texts.
+that rare features do not pass by chance). Training uses a bounded
+sample of labelled rows; it and scoring read whole texts.
 
 Defined results. Null, empty or wordless text: no sentences, score 0. No
 labels or a single class: an empty model, score 0 for all. A document with
@@ -36,9 +37,10 @@ from pyspark.sql import types as T
 
 from orrery.llm.common import held_out, materialise, sample_order
 
-#: Training documents per class at most, and characters of one that training reads.
+#: Training documents per class at most; each is read whole.
 SAMPLE_PER_CLASS = 2000
-SAMPLE_CHARS = 50_000
+#: Features of one text, and counted features of one task, that are held at once.
+WIDE, HELD = 100_000, 1_000_000
 MIN_TOXIC, MIN_SHARE, MIN_LIFT = 3, 0.02, 15.0
 NGRAMS = range(4, 9)
 MAX_FEATURES = 5_000
@@ -82,24 +84,56 @@ def sentences(text: str) -> list[str]:
 
 
 def _document_counts(sample: DataFrame) -> DataFrame:
-    """(feature, toxic, clean): documents of either class that hold a feature."""
+    """(feature, toxic, clean): documents of either class that hold a feature.
+
+    A text with more than WIDE features hands them over in parts, under its
+    number, and they are made distinct by Spark; so a task's memory is bounded.
+    """
+    wide, held = WIDE, HELD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         has: tuple[Counter, Counter] = (Counter(), Counter())
-        for batch in batches:
-            for text, label in zip(batch.column(0), batch.column(1)):
-                words = set(_WORD.findall(text.as_py().lower()))
-                has[label.as_py()].update(set().union(*map(features, words)))
-        names = list(has[0].keys() | has[1].keys())
-        for k in range(0, len(names), 50_000):
-            part = names[k : k + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.string()), *[pa.array([has[y][f] for f in part], pa.int64()) for y in (1, 0)]],
-                names=["feature", "toxic", "clean"],
-            )
 
-    rows = sample.select("t", "toxic").mapInArrow(run, "feature string, toxic long, clean long")
-    return rows.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        def rows(names: list[str], doc: int | None, toxic: list[int], clean: list[int]) -> Iterator[pa.RecordBatch]:
+            for k in range(0, len(names), 50_000):
+                part = slice(k, k + 50_000)
+                n = len(names[part])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names[part], pa.string()), pa.array([doc] * n, pa.int64()), *[pa.array(x[part], pa.int64()) for x in (toxic, clean)]],
+                    names=["feature", "doc", "toxic", "clean"],
+                )
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            names = list(has[0].keys() | has[1].keys())
+            yield from rows(names, None, [has[1][f] for f in names], [has[0][f] for f in names])
+            has[0].clear()
+            has[1].clear()
+
+        for batch in batches:
+            for text, label, number in zip(batch.column(0), batch.column(1), batch.column(2)):
+                y, doc = label.as_py(), number.as_py()
+                own: set[str] = set()
+                parted = False
+                for s in sentences(text.as_py().lower()):
+                    own.update(*map(features, set(_WORD.findall(s))))
+                    if len(own) > wide:
+                        yield from rows(list(own), doc, [y] * len(own), [1 - y] * len(own))
+                        own.clear()
+                        parted = True
+                if parted:
+                    yield from rows(list(own), doc, [y] * len(own), [1 - y] * len(own))
+                else:
+                    has[y].update(own)
+                if len(has[0]) + len(has[1]) > held:
+                    yield from counted()
+        yield from counted()
+
+    found = sample.select("t", "toxic", "n").mapInArrow(run, "feature string, doc long, toxic long, clean long")
+    # Rows of counts have no doc; those of a parted text may repeat, and count once.
+    once = found.groupBy("feature", "doc").agg(
+        *[F.when(F.col("doc").isNull(), F.sum(c)).otherwise(F.max(c)).alias(c) for c in ("toxic", "clean")]
+    )
+    return once.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def select_features(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
@@ -112,16 +146,16 @@ def select_features(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
 
 
 def bags(sample: DataFrame, chosen: list[str]) -> list:
-    """Rows (toxic, sentences): each document's sentences that hold a chosen feature,
-    as the numbers of these features."""
+    """Rows (toxic, sentences, times): each document's different sets of chosen features
+    in a sentence, as the features' numbers, and how many sentences hold each set."""
     place = sample.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(chosen)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[int]] = {}
         for batch in batches:
-            found = []
+            found, times = [], []
             for text in batch.column(0):
-                full = []
+                full: Counter = Counter()
                 for s in sentences(text.as_py().lower()):
                     ids: set[int] = set()
                     for w in set(_WORD.findall(s)):
@@ -131,13 +165,15 @@ def bags(sample: DataFrame, chosen: list[str]) -> list:
                             known[w] = [place.value[f] for f in features(w) if f in place.value]
                         ids.update(known[w])
                     if ids:
-                        full.append(sorted(ids))
-                found.append(full)
+                        full[tuple(sorted(ids))] += 1
+                found.append(list(full.keys()))
+                times.append(list(full.values()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(found, pa.list_(pa.list_(pa.int32())))], names=["toxic", "sentences"]
+                [batch.column(1), pa.array(found, pa.list_(pa.list_(pa.int32()))), pa.array(times, pa.list_(pa.int32()))],
+                names=["toxic", "sentences", "times"],
             )
 
-    return sample.select("t", "toxic").mapInArrow(run, "toxic int, sentences array<array<int>>").collect()
+    return sample.select("t", "toxic").mapInArrow(run, "toxic int, sentences array<array<int>>, times array<int>").collect()
 
 
 def train(rows: list, chosen: list[str], steps: int = 300, decay: float = 1e-3) -> Model | None:
@@ -151,6 +187,7 @@ def train(rows: list, chosen: list[str], steps: int = 300, decay: float = 1e-3)
         return None
     doc = np.array([d for d, r in enumerate(rows) for _ in r["sentences"]], int)
     flat = [s for r in rows for s in r["sentences"]]
+    times = np.array([n for r in rows for n in r["times"]], float)
     row = np.repeat(np.arange(len(flat)), [len(s) for s in flat]) if flat else np.zeros(0, int)
     col = np.array([i for s in flat for i in s], int)
     w, b = np.zeros(len(chosen)), -5.0
@@ -158,11 +195,11 @@ def train(rows: list, chosen: list[str], steps: int = 300, decay: float = 1e-3)
     balance = np.where(y == 1, min(5.0, max(1.0, n0 / n1)), 1.0)
     for k in range(1, steps + 1):
         p = 1 / (1 + np.exp(-(b + np.bincount(row, w[col], minlength=len(doc)))))
-        log_none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y))
+        log_none = np.bincount(doc, times * np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y))
         none = np.exp(log_none)
         # d loss / d z of a sentence: p in a clean document, -p (1 - P) / P in a toxic one.
         pull = np.where(y == 1, -none / np.maximum(1 - none, 1e-9), 1.0) * balance
-        dz = p * pull[doc]
+        dz = times * p * pull[doc]
         g = np.append(np.bincount(col, dz[row], minlength=len(chosen)) / len(y) + decay * w / len(y) ** 0.5, dz.sum() / len(y))
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = 0.2 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
@@ -192,19 +229,27 @@ def document_score(model: Model | None, text: str | None, memo: _WordWeights | N
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """(t, toxic): at most ``per_class`` ids of each class from the training part.
+    """(t, toxic, n): whole texts of at most ``per_class`` ids of each class from the
+    training part, with a number.
 
-    The ids are chosen first, so the texts are read in one filtered scan. The
-    table is written in small parts, as feature counting needs memory per text.
+    The ids are chosen first, so the texts are read in one filtered scan. Where ids
+    repeat, three rows an id are taken on average at most, by a fixed order of id and
+    text. The table is written in small parts, as feature counting needs memory per text.
     """
     y = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"), 5, 0))
     y = y.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = [y.where(F.col("toxic") == k).orderBy(sample_order("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
     ids = materialise(ids[0].unionByName(ids[1]), "toxic-sample")
-    texts = docs.where(F.col("text").isNotNull()).select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("t"))
-    bound = 3 * per_class  # repeated ids may bring more rows than ids
-    found = texts.join(F.broadcast(ids), "doc_id").select("t", "toxic").limit(bound)
-    return materialise(found.repartition(32, F.xxhash64("t")), "toxic-texts")
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", F.col("text").alias("t"))
+    found = texts.join(F.broadcast(ids), "doc_id").select(
+        "t", "toxic", sample_order("doc_id", "t").alias("k"), F.monotonically_increasing_id().alias("n")
+    )
+    found = materialise(found, "toxic-rows")
+    bound = 3 * per_class
+    if found.count() > bound:
+        last = found.select("k", "n").orderBy("k", "n").limit(bound).agg(F.max(F.struct("k", "n")).alias("last")).first()["last"]
+        found = found.where((F.col("k") < last["k"]) | (F.col("k") == last["k"]) & (F.col("n") <= last["n"]))
+    return materialise(found.repartition(32, F.xxhash64("k", "n")).select("t", "toxic", "n"), "toxic-texts")
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model | None:

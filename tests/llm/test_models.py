@@ -245,6 +245,31 @@ def test_length_alone_is_not_toxic(spark, prose):
     assert (got[900]["score"], got[900]["predicted"]) == (0, 0) and got[901]["predicted"] == 1
 
 
+def test_training_reads_whole_texts(spark, prose, monkeypatch):
+    late = lambda i: f"{prose(i, 9000)}. You vile grumble. {prose(i, 20)}"
+    rows = [(i, late(i) if i % 4 == 0 else prose(i, 90)) for i in range(40)]
+    assert min(len(t) for i, t in rows if i % 4 == 0) > 50_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(40)], "doc_id long, toxic int")
+    assert any("grumble" in f for f in toxicity.fit(docs, labels).weight)
+    sample = toxicity.training_sample(docs, labels)
+    whole = sorted(map(tuple, toxicity._document_counts(sample).collect()))
+    monkeypatch.setattr(toxicity, "WIDE", 500)
+    monkeypatch.setattr(toxicity, "HELD", 2000)
+    assert sorted(map(tuple, toxicity._document_counts(sample).collect())) == whole
+
+
+def test_rows_of_repeated_ids_are_sampled_in_a_fixed_order(spark):
+    rows = [(7, f"text {i % 400}") for i in range(500)] + [(i, f"clean {i}") for i in range(8, 20)]
+    schema = "doc_id long, text string"
+    labels = spark.createDataFrame([(i, int(i == 7)) for i in range(7, 20)], "doc_id long, toxic int")
+    got = [
+        sorted(r["t"] for r in toxicity.training_sample(spark.createDataFrame(x, schema).repartition(n), labels, 20).collect())
+        for x, n in ((rows, 2), (rows[::-1], 5))
+    ]
+    assert got[0] == got[1] and len(got[0]) == 60
+
+
 def test_toxicity_edges(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.score(docs, none).collect()} == {0.0}
