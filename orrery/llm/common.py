@@ -31,6 +31,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a row number ``_row``, written, so that a row keeps its number.
+
+    Decisions are joined by it: ids may be null or repeat.
+    """
+    return materialise(docs.withColumn("_row", F.monotonically_increasing_id()), name)
+
+
 #: Rows of narrow ids up to which a table is broadcast; beyond it joins are shuffled.
 MAX_BROADCAST_IDS = 1_000_000
 

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.common import ascii_lower, checked_broadcast, materialise
+from orrery.llm.common import ascii_lower, checked_broadcast, materialise, numbered
 
 WINDOW = 13
 #: Separators after lower-casing; equals [\x00-\x2F\x3A-\x60\x7B-\x7F]+ there.
@@ -193,7 +193,8 @@ def proximity(index: DataFrame, queries: DataFrame, terms: DataFrame, slack: int
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without contaminated documents; rows that share an id go together."""
-    bad = contamination(docs, items).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    bad = checked_broadcast(bad, "contaminated")
-    return docs.join(bad, docs.doc_id.eqNullSafe(F.col("_bad")), "left_anti")
+    """``docs`` without contaminated documents; every row is judged on its own."""
+    rows = numbered(docs, "contamination-rows")
+    found = contamination(rows.select(F.col("_row").alias("doc_id"), "text"), items)
+    bad = checked_broadcast(found.where("contaminated").select(F.col("doc_id").alias("_row")), "contaminated")
+    return rows.join(bad, "_row", "left_anti").drop("_row")

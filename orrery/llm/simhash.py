@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import checked_broadcast, materialise, sample_order
+from orrery.llm.common import checked_broadcast, materialise, numbered, sample_order
 from orrery.llm.components import connected
 
 BITS = 64
@@ -237,19 +237,17 @@ def near_duplicates(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates.
+    """``docs`` with one row of each group of near duplicates.
 
-    The document with the smallest id of its group stays. Rows that share that
-    id are reduced to one; a group without any id keeps one row.
+    The row with the smallest id of its group stays, one without an id only where
+    the group has none; a hash of the whole row settles ties. Groups are told apart
+    by row numbers, so unrelated texts under one id or without any stay each.
     """
-    found = near_duplicates(docs)
-    stay = found.groupBy("component_id").agg(F.count_if(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("n"))
-    stay = materialise(stay, "stay")
-    ids = checked_broadcast(stay.select(F.col("component_id").alias("_stay")), "stay-ids")
-    kept = docs.join(ids, docs.doc_id.eqNullSafe(F.col("_stay")), "left_semi")
-    if stay.where("n > 1").isEmpty():
-        return kept
-    least = F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("r")
-    return kept.groupBy("doc_id").agg(least).select(
-        *[("doc_id" if c == "doc_id" else F.col(f"r.{c}").alias(c)) for c in docs.columns]
+    rows = numbered(docs, "dedup-rows")
+    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*docs.columns).alias("tie"), "_row")
+    groups = found.select(F.col("doc_id").alias("_row"), "component_id").join(
+        rows.select("_row", order.alias("least")), "_row"
     )
+    stay = groups.groupBy("component_id").agg(F.min("least").alias("least")).select("least._row")
+    return rows.join(checked_broadcast(stay, "stay"), "_row", "left_semi").drop("_row")

@@ -85,6 +85,15 @@ def test_contamination_matches_brute_force(spark, docs, prose):
     assert 9001 not in kept and 9003 in kept and None in kept
 
 
+def test_rows_are_dropped_each(spark, prose):
+    passage = prose(900, 40)
+    rows = [(d, t) for d in (None, 3) for t in (passage, prose(1, 60), prose(2, 60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    kept = decontaminate.drop_contaminated(docs, bench).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted((x for x in rows if x[1] != passage), key=str)
+
+
 def test_contamination_of_empty_tables(spark, docs, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     got = decontaminate.contamination(docs, none).collect()

@@ -89,6 +89,14 @@ def test_keep_one_and_empty(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
+def test_rows_without_or_under_one_id_are_kept_apart(spark, prose):
+    rows = [(None, prose(i, 80)) for i in range(5)] + [(1, prose(10 + i, 80)) for i in range(4)]
+    rows += [(5, prose(0, 80)), (6, prose(0, 80)), (2, prose(11, 80)), (None, prose(3, 80))]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(5, prose(0, 80))] + [(None, prose(i, 80)) for i in range(1, 5)] + [(1, prose(10 + i, 80)) for i in range(4)]
+    assert sorted(map(tuple, kept), key=str) == sorted(want, key=str)
+
+
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (7, 7)], "u long, v long")
     got = dict(map(tuple, components.connected(edges).collect()))
