@@ -127,6 +127,42 @@ def test_blocks_of_long_texts_join(monkeypatch):
     assert np.allclose(lm_scoring.losses(model, raws), want)
 
 
+@pytest.mark.parametrize("chunk", [4 << 20, 3000])
+def test_scores_match_exact_counts(spark, docs, chunk, monkeypatch):
+    # Random bytes hold far more n-grams of order 4 than any small table has slots.
+    rng = np.random.default_rng(5)
+    noise = [(7000 + i, "".join(map(chr, rng.integers(1, 0x2000, 60_000)))) for i in range(2)]
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame(noise, "doc_id long, text string")).repartition(3)
+    target = spark.createDataFrame([(i,) for i in range(0, 60, 4)], "doc_id long")
+    count = [{}, {}]
+    texts = [(r["doc_id"], (r["text"] or "").encode()) for r in rows.collect()]
+    for d, raw in texts:
+        padded = bytes(3) + raw
+        for i in range(3, len(padded)):
+            for n in range(1, 5):
+                for m in range(2) if d in range(0, 60, 4) else (1,):
+                    g = padded[i - n + 1 : i + 1]
+                    count[m][g] = count[m].get(g, 0) + 1
+
+    def bits(m, raw):
+        padded, total, out = bytes(4) + raw, sum(v for k, v in count[m].items() if len(k) == 1), 0.0
+        for i in range(4, len(padded)):
+            p = (count[m].get(padded[i : i + 1], 0) + 8 / 256) / (total + 8)
+            for n in range(2, 5):
+                p = (count[m].get(padded[i - n + 1 : i + 1], 0) + 8 * p) / (count[m].get(padded[i - n + 1 : i], 0) + 8)
+            out -= math.log2(p)
+        return out / len(raw)
+
+    want = sorted(((d, len(t), *((bits(0, t), bits(1, t)) if t else (None, None))) for d, t in texts), key=str)
+    monkeypatch.setattr(lm_scoring, "CHUNK", chunk)
+    got = sorted((tuple(r)[:4] for r in lm_scoring.cross_entropy_difference(rows, target).collect()), key=str)
+    assert len(got) == len(want)
+    key = lambda r: (str(r[0]), r[1], round(r[2] or 0, 6), round(r[3] or 0, 6))
+    for g, w in zip(sorted(got, key=key), sorted(want, key=key)):
+        assert g[:2] == w[:2] and g[2:] == (pytest.approx(w[2:], abs=1e-9) if w[1] else (None, None))
+    assert len(lm_scoring.tables(lm_scoring.count_ngrams(rows, target)).keys) == sum(len(k) > 2 for k in {*count[1], b"\0" * 3})
+
+
 def test_scoring_empty(empty, spark):
     assert lm_scoring.cross_entropy_difference(empty, spark.createDataFrame([], "doc_id long")).count() == 0
 
