@@ -12,8 +12,10 @@ p div n. So the counts of shards differ by one at most, slots have no gaps, and
 copies of one text, however many, are spread evenly.
 
 Record numbers, not ids, are hashed: repeated ids or a text that holds a third
-of all rows scatter as well as any other rows. Only the handles of records
-(id, size, checksum) are shuffled to decide the placement.
+of all rows scatter as well as any other rows. The handles of records (id, size,
+checksum) go through the buckets and decide the placement, which is the same in
+every run over the same partitions of ``docs``; ``write_shards`` moves the records
+themselves to the shards and slots that ``place`` gives.
 
 Defined results. Null text: size 1, checksum of the empty string. A null id is
 kept. Repeated rows are placed each. Empty table: empty result. Extra columns
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.common import materialise
+from orrery.llm.common import materialise, numbered
 
 SHARDS = 8
 SEED = 20_26
@@ -33,30 +35,41 @@ SEED = 20_26
 BUCKET_RECORDS = 512
 #: Buckets at most, which bounds the offset table; beyond it buckets grow.
 MAX_BUCKETS = 65_536
+#: Buckets that one task shuffles, and tasks at most.
+TASK_BUCKETS, MAX_TASKS = 16, 1024
 
 
 def handles(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """doc_id, size, text_crc32 and a random record key for every row."""
+    """doc_id, size, text_crc32, row number and a random record key for every row."""
     text = F.coalesce(F.col("text"), F.lit(""))
+    number = F.col("_row") if "_row" in docs.columns else F.monotonically_increasing_id()
     return docs.select(
         "doc_id",
+        number.alias("_row"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.xxhash64(F.lit(seed), F.monotonically_increasing_id(), F.col("doc_id")).alias("record"),
+        F.xxhash64(F.lit(seed), number, F.col("doc_id")).alias("record"),
     )
 
 
 def place(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_records: int = BUCKET_RECORDS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row."""
+    return _placed(docs, shards, seed, bucket_records).drop("_row")
+
+
+def _placed(docs: DataFrame, shards: int, seed: int, bucket_records: int) -> DataFrame:
+    """The rows of ``place`` with the row number of each."""
     # Written first: from here on a record keeps its number whatever is lost.
     records = materialise(handles(docs, seed), "records")
     buckets = min(MAX_BUCKETS, max(1, -(-records.count() // bucket_records)))
     bucket = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("record")), F.lit(buckets)).cast("int")
-    scattered = records.select(bucket.alias("bucket"), F.struct("record", "doc_id", "size", "text_crc32").alias("r"))
+    scattered = records.select(bucket.alias("bucket"), F.struct("record", "doc_id", "size", "text_crc32", "_row").alias("r"))
     # A canonical order before the seeded shuffle: arrival order has no say.
-    gathered = scattered.groupBy("bucket").agg(F.sort_array(F.collect_list("r")).alias("rs"))
+    # The seeded shuffle goes by partition and by row in it, so both are fixed.
+    tasks = max(1, min(MAX_TASKS, buckets // TASK_BUCKETS))
+    gathered = scattered.repartition(tasks, "bucket").groupBy("bucket").agg(F.sort_array(F.collect_list("r")).alias("rs"))
     shuffled = materialise(
-        gathered.select("bucket", F.size("rs").alias("n"), F.shuffle("rs", seed).alias("rs")), "buckets"
+        gathered.sortWithinPartitions("bucket").select("bucket", F.size("rs").alias("n"), F.shuffle("rs", seed).alias("rs")), "buckets"
     )
     # At most MAX_BUCKETS rows, so one ordered pass over them is bounded.
     before = F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -66,6 +79,7 @@ def place(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_record
         shuffled.join(offsets, "bucket")
         .select("offset", F.posexplode("rs").alias("at", "r"))
         .select(
+            "r._row",
             "r.doc_id",
             "r.size",
             "r.text_crc32",
@@ -77,23 +91,23 @@ def place(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_record
     )
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED) -> None:
-    """Write whole records as Parquet under ``path/shard=k``, each in shuffled order.
+def write_shards(
+    docs: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED, bucket_records: int = BUCKET_RECORDS
+) -> None:
+    """Write whole records as Parquet under ``path/shard=k``, each in the order of
+    the slots that ``place`` gives; the files of a shard follow by name.
 
-    The records themselves go through the same two passes: scattered into
-    buckets, sorted inside each by a seeded random key, and dealt to shards.
-    A shard is written by several tasks, one per range of its slots.
+    The records are numbered in a written table, placed by their handles, and
+    joined to their places by number. A shard is written by several tasks, one
+    per range of its slots.
     """
-    placed = materialise(
-        docs.withColumn("_record", F.xxhash64(F.lit(seed), F.monotonically_increasing_id(), F.col("doc_id"))), "scatter"
-    )
-    key = F.xxhash64(F.lit(seed + 2), F.col("_record"))
-    shard = F.pmod(F.xxhash64(F.lit(seed + 3), F.col("_record")), F.lit(shards)).cast("int")
+    rows = numbered(docs, "scatter")
+    at = materialise(_placed(rows, shards, seed, bucket_records).select("_row", "shard", F.col("slot").alias("_slot")), "places")
     (
-        placed.withColumns({"shard": shard, "_key": key})
-        .repartitionByRange("shard", "_key")
-        .sortWithinPartitions("shard", "_key")
-        .drop("_record", "_key")
+        rows.join(at, "_row")
+        .repartitionByRange("shard", "_slot")
+        .sortWithinPartitions("shard", "_slot")
+        .drop("_row", "_slot")
         .write.partitionBy("shard")
         .parquet(path)
     )

@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +49,17 @@ def test_whole_records_are_written(spark, docs, tmp_path):
     assert set(docs.columns) < set(back.columns)
 
 
+@pytest.mark.parametrize("size", [4, 512])
+def test_files_hold_the_placed_order(docs, tmp_path, size):
+    sharding.write_shards(docs, str(tmp_path / "shards"), bucket_records=size)
+    placed = sharding.place(docs, bucket_records=size).orderBy("shard", "slot").collect()
+    for k in range(8):
+        files = sorted((tmp_path / "shards" / f"shard={k}").glob("*.parquet"))
+        rows = [r for f in files for r in pq.ParquetFile(f).read().to_pylist()]
+        want = [(r["doc_id"], r["text_crc32"]) for r in placed if r["shard"] == k]
+        assert [(r["doc_id"], zlib.crc32((r["text"] or "").encode())) for r in rows] == want
+
+
 # --- decontamination
 
 
