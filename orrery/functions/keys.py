@@ -12,6 +12,11 @@ from orrery.functions.cleaning import MISSING_KEYS, strip
 #: The forms of designations.
 PROVISIONAL = r"^((?:18|19|20)\d{2})\s+([A-HJ-Ya-hj-y][A-HJ-Za-hj-z]\d*)$"
 SURVEY = r"^(\d{4})\s+([Pp]-[Ll]|[Tt]-[123])$"
+NUMBER = r"^\s*([1-9]\d*)(?:\.0+)?\s*$"
+FLOAT_NUMBER = r"^(\d+)\.0+$"
+BRACKETED = r"^\(\s*(\d+)\s*\)"
+NAMED_NUMBER = r"^(\d+)\s+(?:[A-Z][a-z]|[A-Za-z]{3,}$)"
+NO_CYCLE = r"^(\d{4} [A-Z]{2})0$"
 SHAPE = r"^(\d{4} [A-Z]{2}\d*|\d{4} (P-L|T-[123]))$"
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -30,26 +35,19 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), then), 0)
 
 
-def _number_first(text: Column) -> Column:
-    """A leading ``(N)`` becomes ``N``, and a float rendering its integer."""
-    out = F.regexp_replace(text, r"^\((\d+)\)\s*(.*)$", r"$1 $2")
-    return strip(F.regexp_replace(out, r"^(\d+)\.0+$", "$1"))
-
-
 def _shaped(s: Column) -> Column:
     """A provisional or survey designation written out, else NULL."""
 
     def written(p: str) -> Column:
         text = F.concat_ws(" ", F.regexp_extract(s, p, 1), F.upper(F.regexp_extract(s, p, 2)))
-        return F.regexp_replace(text, r"^(\d{4} [A-Z]{2})0$", "$1")
+        return F.regexp_replace(text, NO_CYCLE, "$1")
 
     return F.when(s.rlike(PROVISIONAL), written(PROVISIONAL)).when(s.rlike(SURVEY), written(SURVEY))
 
 
 def _plain(s: Column) -> Column:
     """The number that a name follows, else the text."""
-    number = _group(s, r"^(\d+)\s+(?:[A-Z][a-z]|[A-Za-z]{3,}$)")
-    return F.coalesce(number, F.regexp_replace(s, r"^(\d{4} [A-Z]{2})0$", "$1"))
+    return F.coalesce(_group(s, NAMED_NUMBER), F.regexp_replace(s, NO_CYCLE, "$1"))
 
 
 def _finish(out: Column) -> Column:
@@ -59,15 +57,25 @@ def _finish(out: Column) -> Column:
 
 
 def canonical(c: Column) -> Column:
-    """The canonical form of a designation; NULL where it means missing."""
-    lead = lambda t: _group(t, r"^\((\d+)\)")
-    rest = lambda t: let(_number_first(t), lambda s: F.coalesce(_shaped(s), _plain(s)))
-    return let(strip(c.cast("string")), lambda t: let(F.coalesce(lead(t), rest(t)), _finish))
+    """The canonical form of a designation; NULL where it means missing.
+
+    Most keys are plain numbers or their float renderings. They are told by one
+    pattern, and only other keys go through the rules.
+    """
+    rest = lambda t: let(F.regexp_replace(t, FLOAT_NUMBER, "$1"), lambda s: F.coalesce(_shaped(s), _plain(s)))
+    rules = lambda t: let(F.coalesce(_group(t, BRACKETED), rest(t)), _finish)
+    text = c.cast("string")
+    number = F.regexp_extract(text, NUMBER, 1)
+    return F.when(number != "", number).otherwise(let(strip(text), rules))
+
+
+def matched_form(canon: Column) -> Column:
+    """For matching only: a canonical key, upper-cased and stripped."""
+    return strip(F.upper(canon))
 
 
 def comparison_key(c: Column) -> Column:
-    """For matching only: canonical, upper-cased, stripped."""
-    return strip(F.upper(canonical(c)))
+    return matched_form(canonical(c))
 
 
 def looks_like_designation(c: Column) -> Column:

@@ -168,7 +168,7 @@ class ReleaseRefused(Exception):
 
 def publish(df: DataFrame, log: DataFrame, path: str, problems: DataFrame) -> DataFrame:
     """Write catalog, rejection log and metrics, or refuse and write nothing."""
-    found = [r["problem"] for r in problems.limit(1000).collect()]  # gates, a few dozen
+    found = [r["problem"] for r in problems.collect()]  # one row per gate at most
     if found:
         raise ReleaseRefused("; ".join(sorted(found)))
     df.write.option("compression", "zstd").parquet(f"{path}/catalog")

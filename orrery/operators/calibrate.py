@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from orrery.operators.quantile import exact_medians
+
 MIN_SAMPLE = 5
 BEYOND_AU = 5.5
 
@@ -17,7 +19,7 @@ def usable_albedo() -> Column:
 def albedo_by_class(df: DataFrame) -> DataFrame:
     """(class, median, n) over source-given classes, at least MIN_SAMPLE bodies."""
     rows = df.where((F.col("spectral_type_source") == "source") & usable_albedo())
-    return rows.groupBy(F.col("spectral_type").alias("class")).agg(F.median("albedo").alias("median"), F.count("*").alias("n")).where(F.col("n") >= MIN_SAMPLE)
+    return exact_medians(rows.withColumn("class", F.col("spectral_type")), ["class"], "albedo").where(F.col("n") >= MIN_SAMPLE)
 
 
 def albedo_by_band(df: DataFrame, bands: DataFrame, neo: bool, provider: str) -> DataFrame:
@@ -25,7 +27,7 @@ def albedo_by_band(df: DataFrame, bands: DataFrame, neo: bool, provider: str) ->
     rows = df.where((F.coalesce("is_neo", F.lit(False)) == neo) & usable_albedo() & (F.col("albedo_provider") == provider)).select("semi_major_axis_au", F.col("albedo").alias("p"))
     b = F.broadcast(bands.select("a_min", "a_max"))
     a = F.col("semi_major_axis_au")
-    seen = rows.join(b, (a >= F.col("a_min")) & (a < F.col("a_max"))).groupBy("a_min").agg(F.median("p").alias("median"), F.count("*").alias("n"))
+    seen = exact_medians(rows.join(b, (a >= F.col("a_min")) & (a < F.col("a_max"))), ["a_min"], "p")
     return b.select("a_min").join(seen, "a_min", "left").select("a_min", "median", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -35,12 +37,14 @@ def albedo_beyond(df: DataFrame, h_bands: DataFrame) -> DataFrame:
     b = F.broadcast(h_bands.select("h_max", F.coalesce(lower, F.lit(float("-inf"))).alias("h_min")))
     rows = df.where((F.col("semi_major_axis_au") >= BEYOND_AU) & usable_albedo()).select("absolute_magnitude_h", "albedo")
     h = F.col("absolute_magnitude_h")
-    seen = rows.join(b, (h > F.col("h_min")) & (h <= F.col("h_max"))).groupBy("h_max").agg(F.median("albedo").alias("median"), F.count("*").alias("n"))
+    seen = exact_medians(rows.join(b, (h > F.col("h_min")) & (h <= F.col("h_max"))), ["h_max"], "albedo")
     return h_bands.select("h_max").join(seen, "h_max", "left").select("h_max", "median", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def albedo_overall(df: DataFrame, provider: str) -> DataFrame:
-    return df.agg(F.median(F.when(usable_albedo() & (F.col("albedo_provider") == provider), F.col("albedo"))).alias("median"))
+    """(median): one row, NULL where the provider gives no usable albedo."""
+    rows = df.where(usable_albedo() & (F.col("albedo_provider") == provider)).select("albedo", F.lit("all").alias("of"))
+    return exact_medians(rows, ["of"], "albedo").agg(F.max("median").alias("median"))
 
 
 def drift(computed: DataFrame, committed: DataFrame, tolerance: float = 0.02) -> DataFrame:
@@ -64,10 +68,12 @@ def measured_bodies(df: DataFrame, max_sigma: float = 0.20) -> DataFrame:
 def density_stats(bodies: DataFrame, *by: str) -> DataFrame:
     """n, mean, sample SD, median and weighted mean of density per group."""
     w = F.try_divide(F.lit(1.0), F.col("sigma") * F.col("sigma"))
-    return bodies.groupBy(*by).agg(
+    means = bodies.groupBy(*by).agg(
         F.count("*").alias("n"), F.avg("density_gcm3").alias("mean"), F.stddev_samp("density_gcm3").alias("sd"),
-        F.median("density_gcm3").alias("median"), (F.sum(w * F.col("density_gcm3")) / F.sum(w)).alias("weighted"),
+        (F.sum(w * F.col("density_gcm3")) / F.sum(w)).alias("weighted"),
     )
+    medians = exact_medians(bodies, list(by), "density_gcm3").drop("n")
+    return means.join(medians, list(by)).select(*by, "n", "mean", "sd", "median", "weighted")
 
 
 def albedo_bin() -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.functions.keys import canonical, comparison_key
+from orrery.functions.keys import canonical, comparison_key, matched_form
 
 NAMES = ["designation", "provisional_designation", "name"]
 
@@ -44,7 +44,7 @@ def rekey(df: DataFrame, aliases: DataFrame, links: DataFrame | None = None, key
     through the aliases again. An unmatched key becomes its canonical form.
     Links are resolved once, so each row is joined twice at most.
     """
-    keyed = df.withColumn("_k", comparison_key(F.col(key)))
+    keyed = df.withColumn("_canon", canonical(F.col(key))).withColumn("_k", matched_form(F.col("_canon")))
     direct = aliases.select(F.col("alias").alias("_k"), F.col("to_designation").alias("_direct"))
     out = keyed.join(direct, "_k", "left")
     answer = F.col("_direct")
@@ -56,5 +56,5 @@ def rekey(df: DataFrame, aliases: DataFrame, links: DataFrame | None = None, key
         )
         out = out.join(resolved, "_k", "left")
         answer = F.coalesce(answer, F.col("_linked"))
-    cols = [F.coalesce(answer, canonical(F.col(key))).alias(c) if c == key else F.col(c) for c in df.columns]
+    cols = [F.coalesce(answer, F.col("_canon")).alias(c) if c == key else F.col(c) for c in df.columns]
     return out.select(*cols)

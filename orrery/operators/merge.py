@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery.functions import physics
 from orrery.functions.cleaning import joined_names
+from orrery.operators.survivor import adopt_whole
 
 
 @dataclass
@@ -36,11 +37,19 @@ def active(sources: list[SourceSpec]) -> list[SourceSpec]:
     return out
 
 
-def merge(sources: list[SourceSpec], held: set[str], key: str = "designation") -> DataFrame:
+def merge(
+    sources: list[SourceSpec],
+    held: set[str],
+    key: str = "designation",
+    whole: tuple[str, ...] = (),
+    required: tuple[str, ...] = (),
+) -> DataFrame:
     """One row per key over all sources, by a chain of full outer joins.
 
     Columns in ``held`` stay apart as ``<column>__<source>`` for later resolution;
-    for others the first source in precedence that has a value gives it.
+    for others the first source in precedence that has a value gives it. Columns in
+    ``whole`` are one record: all come from the first source with every one of
+    ``required``, else from the first with any, and ``orbit_provider`` names it.
     ``source_<name>`` flags say which sources hold the key; ``n_sources`` and
     ``sources`` sum these up. Precedence is in the coalesce order alone, so the
     order of the joins is free.
@@ -53,9 +62,22 @@ def merge(sources: list[SourceSpec], held: set[str], key: str = "designation") -
     order: list[str] = []
     for s in sources:
         order += [c for c in s.df.columns if c != key and c not in order]
+    record = [c for c in order if c in whole]
     plain = [
-        F.coalesce(*[F.col(f"{c}__{s.name}") for s in sources if c in s.df.columns]).alias(c) for c in order if c not in held
+        F.coalesce(*[F.col(f"{c}__{s.name}") for s in sources if c in s.df.columns]).alias(c)
+        for c in order
+        if c not in held and c not in record
     ]
+    if record:
+        kinds = {c: next(s.df.schema[c].dataType for s in sources if c in s.df.columns) for c in record}
+
+        def of(s: SourceSpec) -> Column:
+            values = [(F.col(f"{c}__{s.name}") if c in s.df.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in record]
+            return F.struct(*values)
+
+        owners = [(s.name, of(s), record) for s in sources if set(record) & set(s.df.columns)]
+        out = out.withColumn("_record", adopt_whole(owners, list(required)))
+        plain += [F.col(f"_record.{c}").alias(c) for c in record] + [F.col("_record.provider").alias("orbit_provider")]
     apart = [F.col(f"{c}__{s.name}") for c in order if c in held for s in sources if c in s.df.columns]
     present = {s.name: F.coalesce(F.col(f"source_{s.name}"), F.lit(False)) for s in sources}
     return out.select(

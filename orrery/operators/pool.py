@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orrery.operators.skew import join_counted
+from orrery.plans.staging import staged
+
 
 def pool(
     df: DataFrame,
@@ -14,6 +17,7 @@ def pool(
     texts: tuple[str, ...] = (),
     flags: tuple[str, ...] = (),
     count: str = "n_fits",
+    ties: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per key.
 
@@ -25,17 +29,19 @@ def pool(
     ``first_by``.
 
     The scatter about the pooled mean is taken with deviations from a value of
-    the key's own (its largest), so one aggregation gives mean and scatter
-    without the cancellation of raw second moments. The aggregation has a partial
-    step, so a key with very many fits is summed where its rows are.
+    the key's own (its largest), so that mean and scatter come from one
+    aggregation without the cancellation of raw second moments. A key with very
+    many fits meets that value where its rows are (``join_counted``) and is summed
+    there. Ties of ``first_by`` go to the smaller ``ties``, then to a hash.
     """
     df = df.where(F.col(key).isNotNull())
     rest = [c for c in df.columns if c != key and c not in {x for p in pairs for x in p} and c not in texts and c not in flags and c != count]
     pivots = df.groupBy(key).agg(
+        F.count("*").alias("_rows"),
         *[F.max(v).alias(f"_at_{v}") for v, _ in pairs],
         *[F.bool_or(F.coalesce(_weighted(v, s), F.lit(False))).alias(f"_any_{v}") for v, s in pairs],
     )
-    shared = df.join(pivots, key)
+    shared = join_counted(df, staged(pivots, "pivots"), key, "_rows")
     aggs: list[Column] = [F.count("*").alias("_n")]
     for v, s in pairs:
         w = F.when(_weighted(v, s), 1 / (F.col(s) * F.col(s))).when(
@@ -51,9 +57,8 @@ def pool(
             F.max(v).alias(f"_v_{v}"),
             F.max(s).alias(f"_s_{v}"),
         ]
-    order = F.struct(F.coalesce(F.col(first_by), F.lit(float("inf"))), F.xxhash64(*df.columns))
+    order = F.struct(F.coalesce(F.col(first_by), F.lit(float("inf"))).alias("first"), *ties, F.xxhash64(*df.columns).alias("hash"))
     aggs += [F.min_by(F.struct(F.col(c).alias("v")), F.when(F.col(c).isNotNull(), order))["v"].alias(c) for c in rest]
-    aggs += [F.collect_list(F.struct(order.alias("o"), F.col(c).alias("v"))).alias(c) for c in texts]
     aggs += [F.bool_or(F.coalesce(F.col(c), F.lit(False))).alias(c) for c in flags]
     aggs += [(F.sum(count) if count in df.columns else F.count("*")).alias(count)]
     out = shared.groupBy(key).agg(*aggs)
@@ -65,8 +70,9 @@ def pool(
         one = F.col("_n") == 1
         new[v] = F.when(one, F.col(f"_v_{v}")).otherwise(F.col(f"_at_{v}") + mean)
         new[s] = F.when(one, F.col(f"_s_{v}")).otherwise(F.greatest(formal, scatter))
-    new |= {c: distinct_text(F.col(c)) for c in texts}
     out = out.withColumns(new)
+    if texts:
+        out = out.join(_joined_texts(df, key, texts, order), key, "left")
     order_of = [c for c in df.columns if c != count]
     return out.select(*order_of, count)
 
@@ -75,7 +81,14 @@ def _weighted(v: str, s: str) -> Column:
     return (F.col(s) > 0) & F.col(v).isNotNull()
 
 
-def distinct_text(ranked: Column) -> Column:
-    """Texts of array<struct<o, v>>, split on the pipe, distinct, in order of o."""
-    values = F.transform(F.array_sort(F.filter(ranked, lambda x: x["v"].isNotNull())), lambda x: F.split(x["v"], r"\|"))
-    return F.nullif(F.array_join(F.array_distinct(F.flatten(values)), "|"), F.lit(""))
+def _joined_texts(df: DataFrame, key: str, texts: tuple[str, ...], order: Column) -> DataFrame:
+    """(key, *texts): the different pieces of each text, split on the pipe, in the
+    order of the first row that has each. Pieces are made distinct before they are
+    gathered, so a list is no longer than the text that it becomes."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("text")) for c in texts]))
+    rows = df.select(key, order.alias("o"), each.alias("x")).where("x.text is not null")
+    pieces = rows.select(key, "x.name", "o", F.posexplode(F.split("x.text", r"\|")).alias("at", "piece"))
+    first = pieces.groupBy(key, "name", "piece").agg(F.min(F.struct("o", "at")).alias("o"))
+    listed = first.groupBy(key, "name").agg(F.array_sort(F.collect_list(F.struct("o", "piece"))).alias("all"))
+    joined = listed.select(key, "name", F.nullif(F.array_join(F.col("all.piece"), "|"), F.lit("")).alias("text"))
+    return joined.groupBy(key).agg(*[F.max(F.when(F.col("name") == c, F.col("text"))).alias(c) for c in texts])

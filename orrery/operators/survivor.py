@@ -8,19 +8,20 @@ from pyspark.sql import functions as F
 from orrery.functions.keys import comparison_key
 
 
-def combine_duplicates(df: DataFrame, key: str = "designation", records: list[list[str]] | None = None) -> DataFrame:
+def combine_duplicates(df: DataFrame, key: str = "designation", records: list[list[str]] | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
     """One row per entity, each column from the fullest row that has it.
 
     Rows are grouped by the comparison key of ``key``; rows without a key are
     dropped. ``records`` lists column groups that travel together: all columns of
     a group come from the row that gave the group's first column, even if NULL
-    there. Ties between equally full rows go to the smaller key, then to a hash
-    of all columns, so the result does not depend on partitioning.
+    there. Ties between equally full rows go to the smaller key, then to the
+    smaller ``ties``, then to a hash of all columns, so the result does not depend
+    on partitioning.
     """
     records = records or []
     bound = {c for r in records for c in r}
     full = sum([F.col(c).isNotNull().cast("int") for c in df.columns], F.lit(0))
-    order = F.struct((-full).alias("f"), F.col(key).alias("k"), F.xxhash64(*df.columns).alias("x"))
+    order = F.struct((-full).alias("f"), F.col(key).alias("k"), *ties, F.xxhash64(*df.columns).alias("x"))
     keyed = df.withColumns({"_key": comparison_key(F.col(key)), "_order": order}).where("_key is not null")
 
     def best(value: Column, lead: str) -> Column:
@@ -32,6 +33,20 @@ def combine_duplicates(df: DataFrame, key: str = "designation", records: list[li
     return keyed.groupBy("_key").agg(*aggs).select(*[F.col(where.get(c, c)).alias(c) for c in df.columns])
 
 
+def combine_shared(df: DataFrame, key: str = "designation", records: list[list[str]] | None = None) -> DataFrame:
+    """``combine_duplicates`` of a table in which few rows share an entity.
+
+    Only the rows whose comparison key another row has are combined; the others,
+    and rows without a key, pass through untouched. Keys alone are shuffled to
+    find out.
+    """
+    keyed = df.withColumn("_key", comparison_key(F.col(key)))
+    shared = keyed.where("_key is not null").groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select("_key")
+    alone = keyed.join(shared, "_key", "left_anti").select(*df.columns)
+    several = keyed.join(shared, "_key", "left_semi").select(*df.columns)
+    return alone.unionByName(combine_duplicates(several, key, records))
+
+
 def adopt_whole(records: list[tuple[str, Column, list[str]]], required: list[str]) -> Column:
     """The record an entity ends with, of (source, struct, fields) in precedence order.
 
@@ -44,8 +59,8 @@ def adopt_whole(records: list[tuple[str, Column, list[str]]], required: list[str
 
     complete, some = [], []
     for name, rec, fields in records:
-        has_all = F.lit(True)
-        for f in required:
+        has_all = F.lit(set(required) <= set(fields))
+        for f in set(required) & set(fields):
             has_all &= rec[f].isNotNull()
         has_any = F.lit(False)
         for f in fields:

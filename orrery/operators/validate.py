@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.functions.cleaning import MISSING_CLASSES, is_blank
@@ -58,17 +58,22 @@ def with_reason(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
 def counted(marked: DataFrame, reason: str, key: str = "designation", name: str = "reason") -> DataFrame:
     """(reason, rejected_count, examples): the smallest keys as examples.
 
-    Each task keeps a bounded number of examples per salt before they meet, so a
-    reason that holds most rows does not gather them in one task.
+    Counts have a partial step. Examples are the first few of each salt, then of
+    each reason; a ranking that is cut keeps only these in every task, so a reason
+    that holds most rows does not gather them.
     """
     rows = marked.where(F.col(reason).isNotNull()).select(
         F.col(reason).alias(name), F.col(key).cast("string").alias("k"), F.pmod(F.xxhash64(key), F.lit(64)).alias("salt")
     )
-    first = rows.groupBy(name, "salt").agg(
-        F.count("*").alias("n"), F.slice(F.array_sort(F.collect_set("k")), 1, EXAMPLES).alias("e")
-    )
-    both = first.groupBy(name).agg(F.sum("n").alias("rejected_count"), F.flatten(F.collect_list("e")).alias("e"))
-    return both.select(name, "rejected_count", F.slice(F.array_sort("e"), 1, EXAMPLES).alias("examples"))
+
+    def first(df: DataFrame, *by: str) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy("k"))
+        return df.withColumn("rank", rank).where(F.col("rank") <= EXAMPLES).drop("rank")
+
+    few = first(first(rows.where("k is not null"), name, "salt"), name)
+    examples = few.groupBy(name).agg(F.array_sort(F.collect_list("k")).alias("examples"))
+    total = rows.groupBy(name).agg(F.count("*").alias("rejected_count")).join(examples, name, "left")
+    return total.select(name, "rejected_count", F.coalesce("examples", F.array().cast("array<string>")).alias("examples"))
 
 
 def split(df: DataFrame, rules: list[tuple[str, Column]]) -> tuple[DataFrame, DataFrame]:

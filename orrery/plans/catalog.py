@@ -14,11 +14,14 @@ from orrery.operators import audit, classify, impute, minerals, resolve, validat
 from orrery.operators.identity import alias_map, rekey
 from orrery.operators.merge import SourceSpec, active, merge, override_diameters
 from orrery.operators.pool import pool
-from orrery.operators.survivor import combine_duplicates
+from orrery.operators.survivor import combine_duplicates, combine_shared
 from orrery.plans.staging import staged
 
 ORDER = ["orbits", "best", "fits", "compendium"]
 VERSION = "1.0"
+#: The elements that a complete orbit has, and all fields of an orbit.
+ELEMENTS = ("semi_major_axis_au", "eccentricity", "inclination_deg", "longitude_asc_node_deg", "arg_perihelion_deg", "mean_anomaly_deg", "element_epoch_jd")
+ORBIT = (*ELEMENTS, "perihelion_au", "aphelion_au", "orbital_period_yr", "mean_motion_deg_day", "element_epoch_timescale")
 RECORDS = [["diameter_km", "diameter_sigma_km"], ["albedo", "albedo_sigma"], ["estimated_mass_kg", "estimated_mass_sigma_kg"]]
 
 
@@ -28,14 +31,14 @@ def fits_source(fits: DataFrame) -> DataFrame:
     return mask_unfitted(out)
 
 
+def pooled(fits: DataFrame) -> DataFrame:
+    """One row per body of keyed fits."""
+    pairs = [("diameter_km", "diameter_sigma_km"), ("albedo", "albedo_sigma")]
+    return pool(fits, pairs, texts=("reference", "fit_code"), flags=("stacked",), count="n_fits")
+
+
 def pooled_fits(fits: DataFrame) -> DataFrame:
-    return pool(
-        fits_source(fits),
-        [("diameter_km", "diameter_sigma_km"), ("albedo", "albedo_sigma")],
-        texts=("reference",),
-        flags=("stacked",),
-        count="n_fits",
-    )
+    return pooled(fits_source(fits))
 
 
 def compendium_source(raw: DataFrame) -> DataFrame:
@@ -46,6 +49,7 @@ def compendium_source(raw: DataFrame) -> DataFrame:
         "diameter_km",
         "absolute_magnitude_h",
         tidy_text(F.col("family")).alias("family"),
+        *[c for c in ORBIT if c in raw.columns],
     )
     return mask_sentinels(out)
 
@@ -63,18 +67,29 @@ def sources(views: dict[str, DataFrame]) -> list[SourceSpec]:
     best = rekey(views["fx_best"], aliases, links)
     compendium = rekey(compendium_source(views["fx_compendium"]), aliases, links)
     fits = rekey(fits_source(views["fx_fits"]), aliases, links)
-    pooled = pool(fits, [("diameter_km", "diameter_sigma_km"), ("albedo", "albedo_sigma")], texts=("reference",), flags=("stacked",))
     return [
         SourceSpec("orbits", _dedup(orbits)),
         SourceSpec("best", _dedup(best)),
-        SourceSpec("fits", pooled.drop("fit_code")),
+        SourceSpec("fits", pooled(fits)),
         SourceSpec("compendium", _dedup(compendium)),
     ]
 
 
+def held_records(columns: list[str]) -> list[list[str]]:
+    """Columns of the wide table that travel together: each source's value with its
+    sigma, the orbit with its provider, and the counts of sources with their names."""
+    value_and_sigma = [[f"{c}__{s}" for c in r] for r in RECORDS for s in ORDER]
+    records = [["orbit_provider", *ORBIT], ["n_sources", "sources"], *value_and_sigma]
+    return [r for r in ([c for c in r if c in columns] for r in records) if len(r) > 1]
+
+
 def merged(views: dict[str, DataFrame], spark: SparkSession) -> DataFrame:
-    """The wide table, with ``grp``, the group of the merged class label."""
-    wide = merge(sources(views), resolve.HELD)
+    """The wide table, with ``grp``, the group of the merged class label.
+
+    Rows that still share a body, under case variants of a key, become one.
+    """
+    wide = staged(merge(sources(views), resolve.HELD, whole=ORBIT, required=ELEMENTS), "wide")
+    wide = combine_shared(wide, records=held_records(wide.columns))
     label = F.coalesce(class_label(F.col("spectral_type")), class_label(F.col("spectral_type_tholen")))
     keyed = classify.composition_key(wide.withColumn("_label", label), spark, "_label", "_row")
     groups = dims.classes(spark).select(F.col("class").alias("_row"), "grp")

@@ -24,7 +24,9 @@ SELECT CAST(k+1 AS STRING) AS designation,
  CASE WHEN k % 20 = 0 THEN 1e0 + (k % 300)/1e3 WHEN k % 50 = 1 THEN 51e-1 + (k % 30)/1e2 WHEN k % 50 = 2 THEN 3e1 + (k % 150)/1e1 WHEN k % 61 = 0 THEN NULL ELSE 2e0 + (k*37 % 140)/1e2 END AS semi_major_axis_au,
  (k % 20 = 0) AS is_neo,
  CASE k % 9 WHEN 0 THEN 'S' WHEN 1 THEN 'c' WHEN 2 THEN 'SQ' WHEN 3 THEN 'X' WHEN 4 THEN '-' WHEN 6 THEN 'Xc' WHEN 7 THEN 'V' WHEN 8 THEN 'Sq2' END AS spectral_type,
- CASE WHEN k % 11 = 0 THEN 'M' WHEN k % 13 = 0 THEN '<NA>' END AS spectral_type_tholen
+ CASE WHEN k % 11 = 0 THEN 'M' WHEN k % 13 = 0 THEN '<NA>' END AS spectral_type_tholen,
+ CASE WHEN k % 13 <> 5 THEN (k % 90)/1e2 END AS eccentricity, (k % 300)/1e1 AS inclination_deg, (k*7 % 360)*1e0 AS longitude_asc_node_deg,
+ (k*11 % 360)*1e0 AS arg_perihelion_deg, (k*13 % 360)*1e0 AS mean_anomaly_deg, 24e5 + k % 1000 AS element_epoch_jd
 FROM k2
 """,
     "fx_best": """
@@ -50,7 +52,14 @@ FROM lineitem
 SELECT lpad(designation, 5, '0') AS packed, provisional_designation AS name,
  CASE WHEN CAST(designation AS BIGINT) % 19 = 0 THEN 0e0 ELSE diameter_km END AS diameter_km,
  CASE WHEN CAST(designation AS BIGINT) % 23 = 0 THEN 9999e-2 WHEN CAST(designation AS BIGINT) % 29 = 0 THEN 0e0 ELSE absolute_magnitude_h END AS absolute_magnitude_h,
- CASE WHEN CAST(designation AS BIGINT) % 12 = 0 THEN 'Family' || CAST(CAST(designation AS BIGINT) % 5 AS STRING) END AS family
+ CASE WHEN CAST(designation AS BIGINT) % 12 = 0 THEN 'Family' || CAST(CAST(designation AS BIGINT) % 5 AS STRING) END AS family,
+ CASE WHEN CAST(designation AS BIGINT) % 4 = 2 THEN coalesce(semi_major_axis_au, 27e-1) + 1e-3 END AS semi_major_axis_au,
+ CASE WHEN CAST(designation AS BIGINT) % 8 = 2 THEN 11e-2 END AS eccentricity,
+ CASE WHEN CAST(designation AS BIGINT) % 4 = 2 THEN inclination_deg + 1e-2 END AS inclination_deg,
+ CASE WHEN CAST(designation AS BIGINT) % 4 = 2 THEN longitude_asc_node_deg END AS longitude_asc_node_deg,
+ CASE WHEN CAST(designation AS BIGINT) % 4 = 2 THEN arg_perihelion_deg END AS arg_perihelion_deg,
+ CASE WHEN CAST(designation AS BIGINT) % 4 = 2 THEN mean_anomaly_deg END AS mean_anomaly_deg,
+ CASE WHEN CAST(designation AS BIGINT) % 4 = 2 THEN 245e4 END AS element_epoch_jd
 FROM fx_orbits WHERE CAST(designation AS BIGINT) % 3 <> 0
 """,
     "fx_links": """
@@ -72,6 +81,3 @@ def views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         out[name] = spark.sql(text, **used)
     return out
 
-
-#: The same views as common table expressions for the oracle.
-CTES = ",\n".join(f"{name} AS ({text})" for name, text in VIEWS.items())

@@ -3,8 +3,10 @@ the Spark side is DataFrame code, this side is plain SQL."""
 
 from __future__ import annotations
 
+import re
+
 from orrery.functions import dims
-from orrery.plans.fixtures import CTES
+from orrery.plans.fixtures import VIEWS
 
 _PROV = r"^((?:18|19|20)\d{2})\s+([A-HJ-Ya-hj-y][A-HJ-Za-hj-z]\d*)$"
 _SURV = r"^(\d{4})\s+([Pp]-[Ll]|[Tt]-[123])$"
@@ -27,8 +29,8 @@ def values(name: str, columns: str, rows: list[tuple]) -> str:
 def canon(name: str, raw: str) -> str:
     """A CTE (raw, canon) over the text expression list ``raw`` (a SELECT of raw)."""
     return rf"""{name} AS (
-SELECT raw, trim(raw) AS s0, regexp_extract(s0, '^\((\d+)\)', 1) AS lead,
- trim(regexp_replace(regexp_replace(s0, '^\((\d+)\)\s*(.*)$', '\1 \2'), '^(\d+)\.0+$', '\1')) AS s2,
+SELECT raw, trim(raw) AS s0, regexp_extract(s0, '^\(\s*(\d+)\s*\)', 1) AS lead,
+ regexp_replace(s0, '^(\d+)\.0+$', '\1') AS s2,
  regexp_matches(s2, '{_PROV}') AS isp, regexp_matches(s2, '{_SURV}') AS iss,
  CASE WHEN isp THEN regexp_extract(s2, '{_PROV}', 1) || ' ' || upper(regexp_extract(s2, '{_PROV}', 2))
   WHEN iss THEN regexp_extract(s2, '{_SURV}', 1) || ' ' || upper(regexp_extract(s2, '{_SURV}', 2)) ELSE s2 END AS s3,
@@ -40,7 +42,7 @@ SELECT raw, trim(raw) AS s0, regexp_extract(s0, '^\((\d+)\)', 1) AS lead,
 FROM ({raw}))"""
 
 
-KEYS = ",\n".join(
+KEYS = (
     [
         canon(
             "ck",
@@ -61,11 +63,11 @@ SELECT upper(trim(k.canon)) AS alias, d.canon AS tod FROM fx_orbits o JOIN ck d
     ]
 )
 
-_FIT = """fit0 AS (SELECT rk.key AS designation, fit_code, reference,
+_FIT0 = """fit0 AS (SELECT rk.key AS designation, fit_code, reference,
  CASE WHEN stacked IN ('Y', '1') THEN true WHEN stacked IN ('N', '0', '') THEN false END AS stacked,
  rpad(fit_code, 4, '-') AS code, diameter_km AS d, diameter_sigma_km AS ds, albedo AS p, albedo_sigma AS ps
- FROM fx_fits JOIN rk ON rk.raw = fx_fits.designation),
-fit AS (SELECT designation, fit_code, reference, stacked,
+ FROM fx_fits JOIN rk ON rk.raw = fx_fits.designation)"""
+_FIT = """fit AS (SELECT designation, fit_code, reference, stacked,
  CASE WHEN substr(code, 1, 1) = 'D' AND d >= 0 AND coalesce(ds, 0) >= 0 THEN d END AS diameter_km,
  CASE WHEN substr(code, 1, 1) = 'D' AND coalesce(d, 0) >= 0 AND ds > 0 THEN ds END AS diameter_sigma_km,
  CASE WHEN substr(code, 2, 1) = 'V' AND p >= 0 AND coalesce(ps, 0) >= 0 THEN p END AS albedo,
@@ -84,10 +86,11 @@ def _pool(v: str, s: str, short: str) -> list[str]:
     ]
 
 
-SRC = ",\n".join(
+SRC = (
     [
         """so AS (SELECT k.canon AS key, fx_orbits.* FROM fx_orbits JOIN ck k ON k.raw = fx_orbits.designation)""",
         """sb AS (SELECT rk.key, fx_best.* FROM fx_best JOIN rk ON rk.raw = fx_best.designation)""",
+        _FIT0,
         _FIT,
         *_pool("diameter_km", "diameter_sigma_km", "d"),
         *_pool("albedo", "albedo_sigma", "p"),
@@ -97,14 +100,19 @@ SRC = ",\n".join(
         """sc AS (SELECT coalesce(a.tod, ltrim(packed, '0')) AS key,
  CASE WHEN diameter_km > 0 THEN diameter_km END AS diameter_km,
  CASE WHEN absolute_magnitude_h <> 0 AND absolute_magnitude_h < 90 THEN absolute_magnitude_h END AS absolute_magnitude_h,
- nullif(trim(family), '') AS family FROM fx_compendium LEFT JOIN aliases a ON a.alias = ltrim(packed, '0'))""",
+ nullif(trim(family), '') AS family, semi_major_axis_au, eccentricity, inclination_deg FROM fx_compendium LEFT JOIN aliases a ON a.alias = ltrim(packed, '0'))""",
     ]
 )
 
-MERGED = ",\n".join(
+MERGED = (
     [
         "allkeys AS (SELECT key FROM so UNION SELECT key FROM sb UNION SELECT key FROM pooled UNION SELECT key FROM sc)",
-        """m AS (SELECT k.key AS designation, o.name, o.provisional_designation, o.semi_major_axis_au, o.is_neo, o.spectral_type,
+        """m AS (SELECT k.key AS designation, o.name, o.provisional_designation, o.is_neo,
+ CASE WHEN o.semi_major_axis_au IS NOT NULL AND o.eccentricity IS NOT NULL THEN 'orbits' WHEN c.semi_major_axis_au IS NOT NULL AND c.eccentricity IS NOT NULL THEN 'compendium'
+  WHEN o.inclination_deg IS NOT NULL THEN 'orbits' WHEN c.inclination_deg IS NOT NULL THEN 'compendium' END AS orbit_provider,
+ CASE orbit_provider WHEN 'orbits' THEN o.semi_major_axis_au WHEN 'compendium' THEN c.semi_major_axis_au END AS semi_major_axis_au,
+ CASE orbit_provider WHEN 'orbits' THEN o.eccentricity WHEN 'compendium' THEN c.eccentricity END AS eccentricity,
+ CASE orbit_provider WHEN 'orbits' THEN o.inclination_deg WHEN 'compendium' THEN c.inclination_deg END AS inclination_deg, o.spectral_type,
  o.spectral_type_tholen, b.density_gcm3, f.n_fits, f.stacked, c.family,
  o.absolute_magnitude_h AS h_o, b.absolute_magnitude_h AS h_b, c.absolute_magnitude_h AS h_c,
  CASE WHEN o.diameter_km > 0 THEN o.diameter_km END AS d_o, CASE WHEN b.diameter_km > 0 THEN b.diameter_km END AS d_b,
@@ -140,7 +148,7 @@ def _names(pairs: list[tuple[str, str]]) -> str:
     return "nullif(concat_ws(';', " + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for c, n in pairs) + "), '')"
 
 
-RESOLVED = ",\n".join(
+RESOLVED = (
     [
         """r1 AS (SELECT m.*, g.grp, g.hi, g.c1, g.c2, coalesce(h_o, h_b, h_c) AS h,
  CASE WHEN h_o IS NOT NULL THEN 'orbits' WHEN h_b IS NOT NULL THEN 'best' WHEN h_c IS NOT NULL THEN 'compendium' END AS h_prov,
@@ -194,7 +202,7 @@ _BELT = " ".join(f"WHEN a >= {lo!r} AND a < {hi!r} THEN {v!r}" for lo, hi, v in
 _NEO = " ".join(f"WHEN a >= {lo!r} AND a < {hi!r} THEN {v!r}" for lo, hi, v in dims.NEO_BANDS)
 _HB = " ".join(f"WHEN h <= {hi!r} THEN {v!r}" for hi, v in dims.H_BANDS)
 
-DERIVED = ",\n".join(
+DERIVED = (
     [
         values("ca", "class, albedo", dims.pairs(dims.CLASS_ALBEDO)),
         values("sv", "designation, vol, vols", dims.SHAPE_VOLUMES),
@@ -216,15 +224,17 @@ DERIVED = ",\n".join(
     ]
 )
 
-ENRICHED = ",\n".join(
+ENRICHED = (
     [
         """n1 AS (SELECT *, coalesce(p_ass, CASE WHEN NOT coalesce(p > 0, false) THEN p_gap END) AS p_any,
  CASE WHEN c1 IS NOT NULL THEN 'source' WHEN c2 IS NOT NULL THEN 'tholen' WHEN a > 46e-1 THEN 'orbit' WHEN p IS NOT NULL THEN 'albedo' WHEN p_any IS NOT NULL THEN 'albedo_assumed' ELSE 'unknown' END AS c_src,
  CASE c_src WHEN 'source' THEN c1 WHEN 'tholen' THEN c2 WHEN 'orbit' THEN 'D' WHEN 'albedo' THEN CASE WHEN p < 1e-1 THEN 'C' ELSE 'S' END
   WHEN 'albedo_assumed' THEN CASE WHEN p_any < 1e-1 THEN 'C' ELSE 'S' END END AS cls_ FROM vl WHERE reason IS NULL)""",
-        """n2 AS (SELECT n1.*, coalesce(e.class, r.class, 'Unknown') AS row_, coalesce(e.grp, r.grp, 'Unknown') AS lgrp,
- CASE WHEN row_ IN ('X', 'Xc') AND p > 0 AND p < 1 THEN CASE WHEN p < 1e-1 THEN 'P' WHEN p < 3e-1 THEN 'M' ELSE 'E' END ELSE row_ END AS comp
+        """n2a AS (SELECT n1.*, coalesce(e.class, r.class, 'Unknown') AS key_, CASE WHEN a > 55e-1 THEN 'D' ELSE key_ END AS row_
  FROM n1 LEFT JOIN cls e ON e.class = cls_ LEFT JOIN cls r ON r.class = substr(cls_, 1, 1))""",
+        """n2 AS (SELECT n2a.*, g.grp AS lgrp,
+ CASE WHEN row_ IN ('X', 'Xc') AND p > 0 AND p < 1 THEN CASE WHEN p < 1e-1 THEN 'P' WHEN p < 3e-1 THEN 'M' ELSE 'E' END ELSE row_ END AS comp
+ FROM n2a JOIN cls g ON g.class = row_)""",
         """n3 AS (SELECT n2.*, c.grp AS comp_group, c.density AS rho_est, c.metal, c.silicate, c.carbon, c.ice, c.pgm,
  coalesce(l1.ceiling, 8e0) AS m_hi, coalesce(l2.ceiling, 8e0) AS c_hi FROM n2 JOIN cls c ON c.class = comp
  LEFT JOIN lim l1 ON l1.grp = CASE WHEN c_src IN ('source', 'tholen') THEN lgrp ELSE 'Unknown' END LEFT JOIN lim l2 ON l2.grp = lgrp)""",
@@ -240,15 +250,32 @@ ENRICHED = ",\n".join(
     ]
 )
 
-LEVELS = {"fx": [CTES], "keys": [CTES, KEYS]}
-LEVELS["src"] = [*LEVELS["keys"], SRC]
-LEVELS["merged"] = [*LEVELS["src"], MERGED]
-LEVELS["resolved"] = [*LEVELS["merged"], RESOLVED]
-LEVELS["derived"] = [*LEVELS["resolved"], DERIVED]
-LEVELS["enriched"] = [*LEVELS["derived"], ENRICHED]
+LEVELS = {"fx": [f"{name} AS ({text})" for name, text in VIEWS.items()]}
+for _level, _before, _ctes in (
+    ("keys", "fx", KEYS),
+    ("src", "keys", SRC),
+    ("merged", "src", MERGED),
+    ("resolved", "merged", RESOLVED),
+    ("derived", "resolved", DERIVED),
+    ("enriched", "derived", ENRICHED),
+):
+    LEVELS[_level] = [*LEVELS[_before], *_ctes]
+
+#: The text of a query -> its level, final SELECT and further CTEs, for a reader
+#: that has the tables of a level already.
+PARTS: dict[str, tuple[str, str, list[str]]] = {}
+
+
+def name_of(cte: str) -> str:
+    return re.match(r"\w+", cte).group()
 
 
 def sql(level: str, select: str, *more: str) -> str:
-    """A query over the tables of ``level``, with further CTEs if any."""
-    text = ",\n".join([*LEVELS[level], *more]).replace("AS STRING)", "AS VARCHAR)")
-    return f"WITH {text}\n{select}"
+    """A query over the tables of ``level``, with further CTEs if any; one that the
+    level has already is left out."""
+    have = {name_of(c) for c in LEVELS[level]}
+    own = [c for c in more if name_of(c) not in have]
+    text = "WITH " + ",\n".join([*LEVELS[level], *own]) + f"\n{select}"
+    text = text.replace("AS STRING)", "AS VARCHAR)")
+    PARTS[text] = (level, select, own)
+    return text

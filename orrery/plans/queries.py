@@ -93,19 +93,23 @@ def _(spark, sf):
 
 @query("a03_filtered_top_n", """SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderstatus <> 'P' AND o_custkey IS NOT NULL ORDER BY o_orderdate, o_orderkey LIMIT 500""")
 def _(spark, sf):
-    rows = table(spark, sf, "orders").where((F.col("o_orderstatus") != "P") & F.col("o_custkey").isNotNull())
+    # Landed as CSV with a header; the filter and the columns are pushed into its scan.
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    readers.write_csv(orders, path := new_path(spark, "orders-csv"))
+    landed = readers.delimited(spark, path, orders.schema, "o_orderkey")
+    rows = landed.where((F.col("o_orderstatus") != "P") & F.col("o_custkey").isNotNull())
     return readers.top_n(rows.select("o_orderkey", "o_custkey", "o_orderdate"), 500, "o_orderdate", "o_orderkey")
 
 
 @query("a04_joined_best", "SELECT l_orderkey AS bid, l_linenumber, o_custkey AS body, NULLIF(l_returnflag, '') AS flag FROM lineitem JOIN orders ON o_orderkey = l_orderkey")
 def _(spark, sf):
-    best = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("bid"), "l_linenumber", cl.tidy_text(F.col("l_returnflag")).alias("flag"))
+    best = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("bid"), "l_linenumber", F.col("l_returnflag").alias("flag"))
     body = table(spark, sf, "orders").select(F.col("o_orderkey").alias("bid"), F.col("o_custkey").alias("body"))
-    return best.join(body, "bid")
+    return readers.joined_best(best, body, "bid", texts=("flag",))
 
 
-@query("a05_identity_links", """SELECT alias, to_designation FROM (SELECT designation AS tod, provisional_designation AS p, name AS n FROM fx_orbits) x,
- LATERAL (SELECT p AS alias, tod AS to_designation UNION ALL SELECT n, tod) WHERE alias IS NOT NULL""".replace("SELECT alias", "WITH " + sql("fx", "").removeprefix("WITH ").rstrip() + " SELECT alias", 1))
+@query("a05_identity_links", sql("fx", """SELECT alias, to_designation FROM (SELECT designation AS tod, provisional_designation AS p, name AS n FROM fx_orbits) x,
+ LATERAL (SELECT p AS alias, tod AS to_designation UNION ALL SELECT n, tod) WHERE alias IS NOT NULL"""))
 def _(spark, sf):
     objects = fx(spark, sf, "fx_orbits").select(
         F.concat(F.lit("("), "designation", F.lit(")")).alias("Number"), F.col("name").alias("Name"),
@@ -121,11 +125,12 @@ _CARD = "id string, number long, parameters struct<physical: struct<mass: struct
 
 @query("a06_nested_cards", sql("fx", "SELECT CAST(designation AS BIGINT) AS number, round(estimated_mass_kg/1e15, 3) AS mass FROM fx_orbits"))
 def _(spark, sf):
-    # Cards as landed: JSON text with a nested value, read with an explicit schema.
+    # Cards as landed: JSON lines with a nested value, read with an explicit schema.
     value = F.struct(F.struct(F.struct(F.col("estimated_mass_kg").alias("value")).alias("mass")).alias("physical")).alias("parameters")
-    text = fx(spark, sf, "fx_orbits").select(F.to_json(F.struct(F.col("designation").cast("long").alias("number"), F.col("name").alias("id"), value)).alias("t"))
-    card = text.select(F.from_json("t", _CARD).alias("c"))
-    return card.select("c.number", F.round(F.col("c.parameters.physical.mass.value") / 1e15, 3).alias("mass"))
+    cards = fx(spark, sf, "fx_orbits").select(F.col("designation").cast("long").alias("number"), F.col("name").alias("id"), value)
+    cards.write.json(path := new_path(spark, "cards"))
+    got = readers.nested_cards(spark, path, _CARD, {"number": "number", "parameters.physical.mass.value": "mass"})
+    return got.select("number", F.round(F.col("mass") / 1e15, 3).alias("mass"))
 
 
 @query("a07_pinned_ids", sql("fx", "SELECT packed AS designation, diameter_km FROM fx_compendium"))
@@ -136,6 +141,14 @@ def _(spark, sf):
     return readers.catalog(spark, path, rows.schema)
 
 
+@query("a10_csv_sink", sql("fx", "SELECT designation, name, '[' || CAST(CAST(designation AS BIGINT) % 3 AS VARCHAR) || ',7]' AS tags FROM fx_orbits"))
+def _(spark, sf):
+    # Nested values become JSON text in the file.
+    tags = F.array(F.col("designation").cast("long") % 3, F.lit(7)).alias("tags")
+    readers.write_csv(fx(spark, sf, "fx_orbits").select("designation", "name", tags), path := new_path(spark, "sink"))
+    return spark.read.schema("designation string, name string, tags string").options(header=True, lineSep="\r\n").csv(path)
+
+
 @query("a11_typed_parquet", sql("fx", "SELECT designation, is_neo, semi_major_axis_au, CAST(NULL AS VARCHAR) AS family FROM fx_orbits"))
 def _(spark, sf):
     schema = spark.createDataFrame([], "designation string, is_neo boolean, semi_major_axis_au double, family string").schema
@@ -228,6 +241,11 @@ def _(spark, sf):
     return fx(spark, sf, "fx_compendium").select("packed", keys.name_unless_key(F.col("name")).alias("name"))
 
 
+@query("b12_source_flags", sql("merged", "SELECT designation, is_o AS source_orbits, is_b AS source_best, is_f AS source_fits, is_c AS source_compendium FROM m"))
+def _(spark, sf):
+    return stage(spark, sf, "merged").select("designation", *[f"source_{s}" for s in catalog.ORDER])
+
+
 @query("b13_conditional_label", sql("fx", "SELECT designation, CASE WHEN semi_major_axis_au IS NOT NULL THEN 'TDB' END AS scale, true AS source_orbits FROM fx_orbits"))
 def _(spark, sf):
     return fx(spark, sf, "fx_orbits").select("designation", F.when(F.col("semi_major_axis_au").isNotNull(), "TDB").alias("scale"), F.lit(True).alias("source_orbits"))
@@ -334,9 +352,9 @@ def _(spark, sf):
     return identity.rekey(rows, identity.alias_map(v["fx_orbits"]), v["fx_links"], "key")
 
 
-@query("d03_merge", sql("merged", "SELECT designation, name, round(semi_major_axis_au, 6) AS a, round(density_gcm3, 6) AS rho, family, CAST(n_fits AS BIGINT) AS n_fits, round(h_b, 6) AS h_best, round(d_f, 6) AS d_fits FROM m"))
+@query("d03_merge", sql("merged", "SELECT designation, name, round(semi_major_axis_au, 6) AS a, round(density_gcm3, 6) AS rho, family, CAST(n_fits AS BIGINT) AS n_fits, round(h_b, 6) AS h_best, round(d_f, 6) AS d_fits, orbit_provider, round(eccentricity, 6) AS ecc, round(inclination_deg, 6) AS inc FROM m"))
 def _(spark, sf):
-    return stage(spark, sf, "merged").select("designation", "name", r("semi_major_axis_au").alias("a"), r("density_gcm3").alias("rho"), "family", "n_fits", r("absolute_magnitude_h__best").alias("h_best"), r(F.when(F.col("diameter_km__fits") > 0, F.col("diameter_km__fits"))).alias("d_fits"))
+    return stage(spark, sf, "merged").select("designation", "name", r("semi_major_axis_au").alias("a"), r("density_gcm3").alias("rho"), "family", "n_fits", r("absolute_magnitude_h__best").alias("h_best"), r(F.when(F.col("diameter_km__fits") > 0, F.col("diameter_km__fits"))).alias("d_fits"), "orbit_provider", r("eccentricity").alias("ecc"), r("inclination_deg").alias("inc"))
 
 
 @query("d04_decoded_numbers", sql("fx", "SELECT packed, family, ltrim(packed, '0') AS number FROM fx_compendium"))
@@ -411,31 +429,25 @@ def _dup(spark, sf):
     )
 
 
-_FULL = "CAST(diameter_km IS NOT NULL AS INT) + CAST(diameter_sigma_km IS NOT NULL AS INT) + CAST(mode IS NOT NULL AS INT)"
+_KEYED = f"""WITH {_DUP}, k AS (SELECT *, replace(designation, '.0', '') AS key,
+ CAST(diameter_km IS NOT NULL AS INT) + CAST(diameter_sigma_km IS NOT NULL AS INT) + CAST(mode IS NOT NULL AS INT) AS f FROM dup)"""
+_FIRST = "first({c} ORDER BY f DESC, designation, okey, line) FILTER ({lead} IS NOT NULL) AS {c}"
 
 
-@query("e01_combine_duplicates", f"WITH {_DUP}, k AS (SELECT *, replace(designation, '.0', '') AS key, {_FULL} AS f FROM dup), b AS (SELECT key, max(f) FILTER (diameter_km IS NOT NULL) AS fd, max(f) FILTER (mode IS NOT NULL) AS fm FROM k GROUP BY 1) SELECT k.key, count(*) AS n_rows, bool_or(diameter_km IS NOT NULL) AS has_d, bool_or(mode IS NOT NULL) AS has_mode FROM k JOIN b USING (key) GROUP BY 1")
+def _combined(spark, sf) -> DataFrame:
+    out = survivor.combine_duplicates(_dup(spark, sf), records=[["diameter_km", "diameter_sigma_km"]], ties=("okey", "line"))
+    return out.withColumn("key", keys.comparison_key(F.col("designation")))
+
+
+@query("e01_combine_duplicates", f"{_KEYED} SELECT key, {_FIRST.format(c='designation', lead='designation')}, {_FIRST.format(c='diameter_km', lead='diameter_km')}, {_FIRST.format(c='mode', lead='mode')}, {_FIRST.format(c='okey', lead='okey')}, {_FIRST.format(c='line', lead='line')} FROM k GROUP BY 1")
 def _(spark, sf):
-    src = _dup(spark, sf)
-    out = survivor.combine_duplicates(src, records=[["diameter_km", "diameter_sigma_km"]])
-    n = src.groupBy(keys.comparison_key(F.col("designation")).alias("key")).agg(F.count("*").alias("n_rows"))
-    out = out.select(keys.comparison_key(F.col("designation")).alias("key"), F.col("diameter_km").isNotNull().alias("has_d"), F.col("mode").isNotNull().alias("has_mode"))
-    return n.join(out, "key")
+    return _combined(spark, sf).select("key", "designation", "diameter_km", "mode", "okey", "line")
 
 
-@query("e02_records_travel", f"WITH {_DUP}, k AS (SELECT *, replace(designation, '.0', '') AS key, {_FULL} AS f FROM dup), b AS (SELECT key, max(f) FILTER (diameter_km IS NOT NULL) AS fd FROM k GROUP BY 1), c AS (SELECT key, min(designation) FILTER (diameter_km IS NOT NULL AND f = fd) AS des, fd FROM k JOIN b USING (key) GROUP BY key, fd) SELECT k.key, max(diameter_km) AS hi, min(diameter_km) AS lo, count(DISTINCT (diameter_km, diameter_sigma_km)) AS choices FROM k JOIN c ON c.key = k.key AND k.designation = c.des AND k.f = c.fd AND k.diameter_km IS NOT NULL GROUP BY 1 HAVING choices = 1")
+@query("e02_records_travel", f"{_KEYED} SELECT key, {_FIRST.format(c='diameter_km', lead='diameter_km')}, {_FIRST.format(c='diameter_sigma_km', lead='diameter_km')} FROM k GROUP BY 1")
 def _(spark, sf):
-    # Where the rule leaves a single candidate, the survivor must be that record.
-    src = _dup(spark, sf).withColumn("key", keys.comparison_key(F.col("designation")))
-    out = survivor.combine_duplicates(src.drop("key"), records=[["diameter_km", "diameter_sigma_km"]])
-    out = out.select(keys.comparison_key(F.col("designation")).alias("key"), F.col("diameter_km").alias("d"), F.col("diameter_sigma_km").alias("s"))
-    full = sum([F.col(c).isNotNull().cast("int") for c in ("diameter_km", "diameter_sigma_km", "mode")], F.lit(0))
-    rows = src.withColumn("f", full).where("diameter_km is not null")
-    top = rows.groupBy("key").agg(F.max("f").alias("fd"))
-    best = rows.join(top, "key").where("f = fd")
-    des = best.groupBy("key").agg(F.min("designation").alias("des"))
-    pick = best.join(des, "key").where("designation = des").groupBy("key").agg(F.count_distinct(F.struct("diameter_km", "diameter_sigma_km")).alias("choices"))
-    return pick.where("choices = 1").join(out, "key").select("key", F.col("d").alias("hi"), F.col("d").alias("lo"), "choices")
+    # The sigma is that of the row that gave the diameter, or none.
+    return _combined(spark, sf).select("key", "diameter_km", "diameter_sigma_km")
 
 
 @query("e03_adopt_whole", sql("fx", "SELECT designation, CASE WHEN k % 3 = 0 THEN 'a' WHEN k % 5 = 0 THEN 'b' WHEN k % 2 = 0 THEN 'a' WHEN k % 7 = 0 THEN 'b' END AS provider, CASE WHEN k % 3 = 0 THEN k*1e0 WHEN k % 5 = 0 THEN k*2e0 WHEN k % 2 = 0 THEN k*1e0 WHEN k % 7 = 0 THEN k*2e0 END AS x, CASE WHEN k % 3 = 0 THEN 1e0 WHEN k % 5 = 0 THEN 2e0 END AS y FROM (SELECT designation, CAST(designation AS BIGINT) AS k FROM fx_orbits)"))
@@ -454,17 +466,26 @@ def _(spark, sf):
     return out.select("designation", r("diameter_km").alias("d"), r("diameter_sigma_km").alias("ds"), r("albedo").alias("p"), r("albedo_sigma").alias("ps"))
 
 
-@query("e05_representative", "WITH x AS (SELECT l_partkey, l_returnflag, l_tax, min(l_tax) OVER (PARTITION BY l_partkey) AS lo FROM lineitem) SELECT l_partkey AS k, min(l_returnflag) AS mode, any_value(lo) AS lo FROM x WHERE l_tax = lo GROUP BY 1")
+_FITS = """f AS (SELECT CAST(l_partkey AS VARCHAR) AS designation, l_tax AS s, l_returnflag AS mode, l_returnflag || '|' || l_linestatus AS refs, CAST(l_orderkey AS BIGINT) AS okey, CAST(l_linenumber AS BIGINT) AS line FROM lineitem)"""
+
+
+def _ranked_fits(spark, sf) -> DataFrame:
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_partkey").cast("string").alias("designation"), F.col("l_quantity").cast("double").alias("diameter_km"), F.col("l_tax").cast("double").alias("diameter_sigma_km"),
+        F.col("l_returnflag").alias("mode"), F.concat_ws("|", "l_returnflag", "l_linestatus").alias("refs"),
+        F.col("l_orderkey").cast("long").alias("okey"), F.col("l_linenumber").cast("long").alias("line"),
+    )
+    return pool.pool(rows, [("diameter_km", "diameter_sigma_km")], texts=("refs",), ties=("okey", "line"))
+
+
+@query("e05_representative", f"WITH {_FITS} SELECT designation, first(mode ORDER BY s, okey, line) AS mode, first(okey ORDER BY s, okey, line) AS okey, first(line ORDER BY s, okey, line) AS line, count(*) AS n_fits FROM f GROUP BY 1")
 def _(spark, sf):
-    t = table(spark, sf, "lineitem")
-    return t.groupBy(F.col("l_partkey").alias("k")).agg(F.min_by("l_returnflag", F.struct("l_tax", "l_returnflag")).alias("mode"), F.min("l_tax").alias("lo"))
+    return _ranked_fits(spark, sf).select("designation", "mode", "okey", "line", "n_fits")
 
 
-@query("e06_distinct_text", sql("src", "SELECT designation, string_agg(reference, '|' ORDER BY reference) AS refs FROM (SELECT DISTINCT designation, reference FROM fit) GROUP BY 1"))
+@query("e06_distinct_text", f"WITH {_FITS}, p AS (SELECT designation, s, okey, line, generate_subscripts(x, 1) AS nth, unnest(x) AS piece FROM (SELECT *, string_split(refs, '|') AS x FROM f)), o AS (SELECT designation, piece, min((s, okey, line, nth)) AS o FROM p GROUP BY 1, 2) SELECT designation, string_agg(piece, '|' ORDER BY o) AS refs FROM o GROUP BY 1")
 def _(spark, sf):
-    # Ranked by the text itself, so that the first-seen order is the same in SQL.
-    rows = catalog.fits_source(fx(spark, sf, "fx_fits")).groupBy("designation").agg(F.collect_list(F.struct(F.col("reference").alias("o"), F.col("reference").alias("v"))).alias("t"))
-    return rows.select("designation", pool.distinct_text(F.col("t")).alias("refs"))
+    return _ranked_fits(spark, sf).select("designation", "refs")
 
 
 @query("e07_any_and_sum", sql("src", "SELECT key AS designation, stacked, CAST(n_fits AS BIGINT) AS n_fits FROM pooled"))
@@ -654,11 +675,48 @@ def _(spark, sf):
     return marked.groupBy(F.coalesce("_reason", F.lit("passed")).alias("reason")).agg(F.count("*").alias("n"))
 
 
-@query("v07_physical_audit", sql("resolved", """SELECT 'albedo too high' AS rule, count(*) AS n_rows FROM m WHERE p_o >= 1 HAVING count(*) > 0 UNION ALL SELECT 'spin faster than breakup', count(*) FROM rs WHERE (CASE WHEN d_o > 0 THEN d_o ELSE 1329e0*pow(1e1, -h_o/5e0) END) >= 1e1 AND t_o < sqrt(3e0*pi()/(667430e-16*1e3*8e0))/36e2 HAVING count(*) > 0 UNION ALL SELECT 'measured diameter contradicts H', count(*) FROM r2 WHERE pow(1329e0/d_o*pow(1e1, -h_o/5e0), 2) < 1e-2*pow(1e1, -3e-1) OR pow(1329e0/d_o*pow(1e1, -h_o/5e0), 2) > pow(1e1, 3e-1) HAVING count(*) > 0"""))
-def _(spark, sf):
-    # The raw backbone, where planted defects are still present.
-    raw = fx(spark, sf, "fx_orbits").select("designation", "diameter_km", "albedo", "absolute_magnitude_h", "rotation_period_h", "semi_major_axis_au")
-    return audit.violations(raw, audit.physical_rules(raw.columns)).select("rule", "n_rows")
+#: The audit's rules over x0 (designation, d, mass, rho, a, mass_s, mass_meas, p, h, d_src, t).
+_AUDIT = [
+"""x1 AS (SELECT *, mass/(pi()/6*pow(d*1e3, 3e0))/1e3 AS x, pow(1329e0/d*pow(1e1, -h/5e0), 2e0) AS pi_, d_src = 'measured' AS is_m FROM x0)""",
+"""x2 AS (SELECT designation, d_src, list_filter([CASE WHEN isinf(d) THEN 'diameter_km is not finite' END, CASE WHEN isinf(mass) THEN 'estimated_mass_kg is not finite' END,
+ CASE WHEN isinf(rho) THEN 'density_gcm3 is not finite' END, CASE WHEN isinf(a) THEN 'semi_major_axis_au is not finite' END,
+ CASE WHEN mass IS NOT NULL AND d IS NOT NULL AND rho IS NULL THEN 'mass and diameter without density' END,
+ CASE WHEN x < 25e-2 OR x > 8 THEN 'implied density impossible' END, CASE WHEN rho < 25e-2 OR rho > 8 THEN 'density impossible' END,
+ CASE WHEN abs(x/rho - 1) > 1e-6 THEN 'mass is not density x volume' END, CASE WHEN mass_s IS NOT NULL AND NOT coalesce(mass_meas, false) THEN 'mass sigma without a measured mass' END,
+ CASE WHEN p >= 1 THEN 'albedo too high' END, CASE WHEN p < 1e-2 THEN 'albedo too low' END,
+ CASE WHEN is_m AND (pi_ < 1e-2*pow(1e1, -3e-1) OR pi_ > pow(1e1, 3e-1)) THEN 'measured diameter contradicts H' END,
+ CASE WHEN (CASE WHEN is_m AND d > 0 THEN d ELSE 1329e0*pow(1e1, -h/5e0) END) >= 1e1 AND t < sqrt(3e0*pi()/(667430e-16*1e3*8e0))/36e2 THEN 'spin faster than breakup' END], lambda v: v IS NOT NULL) AS broken FROM x1)""",
+]
+_PLANTED = """x0 AS (SELECT designation, CASE WHEN k % 41 = 0 THEN 'inf'::DOUBLE ELSE d END AS d, CASE WHEN k % 37 = 0 THEN mass*2 ELSE mass END AS mass,
+ CASE WHEN k % 31 = 0 THEN NULL WHEN k % 29 = 0 THEN 9e0 ELSE rho END AS rho, CASE WHEN k % 43 = 0 THEN 'inf'::DOUBLE ELSE a END AS a,
+ CASE WHEN k % 47 = 0 THEN 1e0 ELSE mass_s END AS mass_s, mass_meas, CASE WHEN k % 53 = 0 THEN 12e-1 WHEN k % 59 = 0 THEN 1e-3 ELSE p END AS p,
+ CASE WHEN k % 23 = 0 THEN 3e0 ELSE h END AS h, d_src, CASE WHEN k % 61 = 0 THEN 5e-1 ELSE t END AS t FROM (SELECT *, try_cast(designation AS BIGINT) AS k FROM fin))"""
+
+
+@query("v07_physical_audit", sql("enriched", "SELECT rule, count(*) AS n_rows, array_to_string(list_sort(list(designation))[1:5], ',') AS examples FROM (SELECT designation, unnest(broken) AS rule FROM x2) GROUP BY 1", _PLANTED, *_AUDIT))
+def _(spark, sf):
+    # The finished table with defects of every kind planted.
+    k = F.col("designation").try_cast("long")
+
+    def put(name: str, *cases: tuple[int, float | None]) -> Column:
+        out = F.col(name)
+        for every, value in reversed(cases):
+            out = F.when(k % every == 0, F.lit(value).cast("double")).otherwise(out)
+        return out
+
+    raw = stage(spark, sf, "enriched").withColumns(
+        {
+            "diameter_km": put("diameter_km", (41, float("inf"))),
+            "estimated_mass_kg": F.when(k % 37 == 0, F.col("estimated_mass_kg") * 2).otherwise(F.col("estimated_mass_kg")),
+            "density_gcm3": put("density_gcm3", (31, None), (29, 9.0)),
+            "semi_major_axis_au": put("semi_major_axis_au", (43, float("inf"))),
+            "estimated_mass_sigma_kg": put("estimated_mass_sigma_kg", (47, 1.0)),
+            "albedo": put("albedo", (53, 1.2), (59, 0.001)),
+            "absolute_magnitude_h": put("absolute_magnitude_h", (23, 3.0)),
+            "rotation_period_h": put("rotation_period_h", (61, 0.5)),
+        }
+    )
+    return audit.violations(raw, audit.physical_rules(raw.columns)).withColumn("examples", F.array_join("examples", ","))
 
 
 @query("v08_release_gate", sql("enriched", "SELECT 'too few rows from none' AS problem UNION ALL SELECT 'too few rows' FROM (SELECT count(*) AS n FROM fin) WHERE n < 100000000 UNION ALL SELECT 'measured diameter contradicts H' FROM fin WHERE d_src = 'measured' AND (pow(1329e0/d*pow(1e1, -h/5e0), 2) < 1e-2*pow(1e1, -3e-1) OR pow(1329e0/d*pow(1e1, -h/5e0), 2) > pow(1e1, 3e-1)) GROUP BY 1"))
@@ -667,12 +725,14 @@ def _(spark, sf):
     return audit.release_problems(d, spark, catalog.VERSION, {"orbits": 1, "none": 1}, row_floor=100_000_000, measured_floor=1)
 
 
-@query("v09_gated_publish", sql("derived", "SELECT count(*) AS n_rows, count(*) FILTER (d_src = 'measured') AS n_measured, CAST((SELECT count(*) FROM vl WHERE reason IS NOT NULL) AS BIGINT) AS n_rejected FROM vl WHERE reason IS NULL"))
+_AS_BUILT = "x0 AS (SELECT designation, d, mass, rho, a, mass_s, mass_meas, p, h, d_src, t FROM fin)"
+
+
+@query("v09_gated_publish", sql("enriched", "SELECT count(*) FILTER (len(broken) = 0) AS n_rows, count(*) FILTER (len(broken) = 0 AND d_src = 'measured') AS n_measured, count(*) FILTER (len(broken) > 0) AS n_rejected FROM x2", _AS_BUILT, *_AUDIT))
 def _(spark, sf):
-    d = stage(spark, sf, "derived")
-    kept, log = validate.split(d, validate.row_rules(d.columns))
-    kept = kept.withColumns({"catalog_date": F.lit(DATE), "pipeline_version": F.lit(catalog.VERSION)})
-    kept = kept.select("designation", "diameter_km", "diameter_source", "semi_major_axis_au", "sources", "catalog_date", "pipeline_version")
+    # Rows that the audit refuses go to the log, and every gate must then pass.
+    d = stage(spark, sf, "enriched").withColumns({"catalog_date": F.lit(DATE), "pipeline_version": F.lit(catalog.VERSION)})
+    kept, log = validate.split(d, audit.physical_rules(d.columns))
     gate = audit.release_problems(kept, spark, catalog.VERSION, {"orbits": 1}, row_floor=1, measured_floor=1)
     return audit.publish(kept, log, new_path(spark, "release"), gate).select("n_rows", "n_measured", F.col("n_rejected").cast("long"))
 
@@ -710,10 +770,11 @@ def _(spark, sf):
     return classify.classify(stage(spark, sf, "valid")).select("designation", F.col("spectral_type").alias("class"), F.col("spectral_type_source").alias("c_src"))
 
 
-@query("n02_composition_row", sql("enriched", "SELECT designation, row_, lgrp FROM n2"))
+@query("n02_composition_row", sql("enriched", "SELECT designation, key_, row_, lgrp FROM n2"))
 def _(spark, sf):
-    d = classify.composition_key(stage(spark, sf, "enriched").select("designation", "spectral_type", "_limits_group"), spark)
-    return d.select("designation", F.col("_row").alias("row_"), F.col("_limits_group").alias("lgrp"))
+    d = classify.composition_key(stage(spark, sf, "enriched").select("designation", "spectral_type", "semi_major_axis_au", "_limits_group"), spark)
+    row = classify.icy_row(F.col("_row"), F.col("semi_major_axis_au"))
+    return d.select("designation", F.col("_row").alias("key_"), row.alias("row_"), F.col("_limits_group").alias("lgrp"))
 
 
 @query("n03_albedo_split", sql("enriched", "SELECT designation, comp FROM n2"))
@@ -731,7 +792,7 @@ def _(spark, sf):
     return stage(spark, sf, "enriched").select("designation", F.col("comp_pgm_enrichment").alias("pgm"))
 
 
-_DIMS = ", ".join(
+_DIMS = (
     [
         values("cls", "class, grp, density, metal, silicate, carbon, ice, pgm", dims.class_rows()),
         values("sh", "class, grp, phase, share", dims._rows(dims.SHARES)),
@@ -761,24 +822,32 @@ def _by_phase(spark, sf, table_) -> DataFrame:
 _COMP = "comps AS (SELECT comp AS class, count(*) AS n FROM fin GROUP BY 1)"
 
 
-@query("n06_phase_fractions", sql("enriched", "SELECT pf.class, phase, round(f, 9) AS fraction, n FROM pf JOIN comps USING (class) WHERE pf.class NOT IN ('X', 'Xc')", _COMP, _DIMS).replace(values("cls", "class, grp, density, metal, silicate, carbon, ice, pgm", dims.class_rows()) + ", ", "", 1))
+@query("n06_phase_fractions", sql("enriched", "SELECT pf.class, phase, round(f, 9) AS fraction, n FROM pf JOIN comps USING (class) WHERE pf.class NOT IN ('X', 'Xc')", _COMP, *_DIMS))
 def _(spark, sf):
     return _by_phase(spark, sf, minerals.typed_fractions(spark))
 
 
-@query("n07_mixture", "WITH " + _DIMS + " SELECT class, phase, round(f, 9) AS fraction FROM mix")
+@query("n07_mixture", sql("enriched", "SELECT mix.class, phase, round(f, 9) AS fraction, n FROM mix JOIN comps USING (class) WHERE f > 0", _COMP, *_DIMS))
 def _(spark, sf):
-    return minerals.mixture_fractions(spark).select("class", "phase", r("fraction", 9).alias("fraction"))
+    return _by_phase(spark, sf, minerals.mixture_fractions(spark))
 
 
-@query("n08_refinement", sql("enriched", "SELECT df.class, phase, round(f, 9) AS fraction, n FROM df JOIN comps USING (class)", _COMP, _DIMS).replace(values("cls", "class, grp, density, metal, silicate, carbon, ice, pgm", dims.class_rows()) + ", ", "", 1))
+@query("n08_refinement", sql("enriched", "SELECT df.class, phase, round(f, 9) AS fraction, n FROM df JOIN comps USING (class)", _COMP, *_DIMS))
 def _(spark, sf):
     return _by_phase(spark, sf, minerals.detailed_fractions(spark))
 
 
-@query("n09_phases_json")
+_PLACED = "SELECT designation, '{kind}' AS kind, row_number() OVER (PARTITION BY designation ORDER BY place) AS at, t.phase, round(t.f, 9) AS fraction FROM fin JOIN {t} t ON t.class = comp JOIN ph ON ph.phase = t.phase"
+
+
+@query("n09_phases_json", sql("enriched", _PLACED.format(kind="coarse", t="pf") + " UNION ALL " + _PLACED.format(kind="fine", t="df"), *_DIMS))
 def _(spark, sf):
-    return minerals.add_phases(stage(spark, sf, "enriched"), spark).select("designation", "comp_class", "comp_phases", "comp_phases_detailed")
+    # The objects read back: every phase with its place in the text.
+    d = minerals.add_phases(stage(spark, sf, "enriched"), spark)
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("text")) for k, c in (("coarse", "comp_phases"), ("fine", "comp_phases_detailed"))])
+    texts = d.select("designation", F.explode(kinds).alias("x")).select("designation", "x.kind", F.from_json("x.text", "map<string,double>").alias("m"))
+    each = texts.select("designation", "kind", F.posexplode(F.map_entries("m")).alias("at", "e"))
+    return each.select("designation", "kind", (F.col("at") + 1).cast("long").alias("at"), F.col("e.key").alias("phase"), r("e.value", 9).alias("fraction"))
 
 
 @query("n10_reconcile", sql("enriched", "SELECT designation, round(d, 6) AS d, round(rho, 6) AS rho, round(mass/1e15, 3) AS mass, rho_meas, mass_meas, d_src, m_out, m_prov FROM fin"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orrery.functions.cleaning import conform
+from orrery.functions.cleaning import conform, tidy_text
 
 
 class MissingColumn(Exception):
@@ -63,6 +63,22 @@ def top_n(df: DataFrame, n: int, *by: str) -> DataFrame:
     return df.orderBy(*order, F.xxhash64(*df.columns)).limit(n) if n else df
 
 
+def joined_best(best: DataFrame, bodies: DataFrame, on: str, texts: tuple[str, ...] = ()) -> DataFrame:
+    """Best values of a source that keeps bodies and measurements in two tables,
+    joined on the source's own id; blank ``texts`` become NULL."""
+    return best.withColumns({c: tidy_text(F.col(c)) for c in texts}).join(bodies, on)
+
+
+def nested_cards(spark: SparkSession, path: str, schema: str, wanted: dict[str, str]) -> DataFrame:
+    """Cards landed as JSON lines: the ``wanted`` nested fields under flat names.
+
+    The schema is explicit, so no pass infers it, and a card that lacks a field has
+    NULL there.
+    """
+    cards = spark.read.schema(schema).json(path)
+    return cards.select(*[F.col(field).alias(name) for field, name in wanted.items()])
+
+
 LINK_SCHEMA = "Number string, Name string, Principal_desig string, Other_desigs array<string>"
 
 

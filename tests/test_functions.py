@@ -16,6 +16,8 @@ def one(spark, value, make, kind="string"):
         ("(433) Eros", "433"), ("433 Eros", "433"), ("3.0", "3"), ("2024 BX1", "2024 BX1"), ("2024 bx1", "2024 BX1"),
         ("1999 AB0", "1999 AB"), ("2040 p-l", "2040 P-L"), ("007", "7"), ("000", "0"), ("nan", None), ("<NA>", None),
         ("", None), (" 12 ", "12"), ("(12) 2024 AB1", "12"), ("Ceres", "Ceres"), (None, None),
+        ("( 1 ) Ceres", "1"), (" ( 1)", "1"), ("(1)Ceres", "1"), ("1999 Kw4", "1999 KW4"), ("3568 ASCII", "3568"), (" 41.00", "41"),
+        ("00041.0", "41"), ("1.5", "1.5"), ("12 Ab", "12"), ("\t7\n", "7"),
     ],
 )
 def test_canonical(spark, raw, want):

@@ -1,10 +1,12 @@
 import math
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from orrery.functions import dims
-from orrery.operators import audit, classify, identity, impute, lookup, merge, minerals, pool, resolve, survivor, validate
+from orrery.operators import audit, classify, identity, impute, lookup, merge, minerals, pool, quantile, resolve, skew, survivor, validate
+from orrery.plans import staging
 from orrery.sources import readers
 
 
@@ -141,6 +143,96 @@ def test_every_row_is_mass_density_volume(spark):
     assert not audit.violations(out, audit.physical_rules(out.columns)).where("rule like 'mass is not%'").count()
 
 
+@pytest.mark.parametrize("axis, row, group", [(39.4, "D", "D-type"), (5.5, "S", "S-complex"), (None, "S", "S-complex")])
+def test_a_far_body_is_composed_as_d(spark, axis, row, group):
+    df = spark.createDataFrame([("28978", 709.6, 3.8, 0.2, axis, False, "S", None)], BODY)
+    out = classify.add_composition(classify.classify(df.withColumn("albedo_assumed_for_diameter", F.lit(None).cast("double"))), spark).first()
+    density = {r["class"]: r["density"] for r in dims.classes(spark).collect()}
+    assert (out["spectral_type"], out["comp_class"], out["comp_group"], out["_limits_group"]) == ("S", row, group, group)
+    assert out["comp_density_est_gcm3"] == density[row]
+
+
+def test_far_x_types_are_not_split(spark):
+    df = spark.createDataFrame([("1", 100.0, 5.0, 0.2, 40.0, False, "X", None)], BODY)
+    out = classify.add_composition(classify.classify(df.withColumn("albedo_assumed_for_diameter", F.lit(None).cast("double"))), spark).first()
+    assert out["comp_class"] == "D"
+
+
+@pytest.mark.parametrize("few", [10_000, 3])
+def test_medians_are_exact(spark, few):
+    values = {"a": [5.0], "b": [1.0, 2.0], "c": [3.0] * 50 + [9.0], "d": [float(k * k % 97) for k in range(200)], "e": [-1e9, 0.5, 1e9, None]}
+    rows_ = [(g, v) for g, vs in values.items() for v in vs] + [(None, 4.0), ("f", None)]
+    df = spark.createDataFrame(rows_, "g string, v double").repartition(3)
+    got = {r["g"]: (r["median"], r["n"]) for r in quantile.exact_medians(df, ["g"], "v", few).collect()}
+    have = {g: [v for v in vs if v is not None] for g, vs in values.items()}
+    assert got == {**{g: (statistics.median(v), len(v)) for g, v in have.items()}, None: (4.0, 1)}
+
+
+def test_a_rule_that_most_rows_break(spark):
+    df = spark.range(50_000).select(F.format_string("%06d", "id").alias("designation"), F.when(F.col("id") % 10 > 0, "common").alias("why"))
+    df = df.unionByName(spark.createDataFrame([(None, "no key"), ("000007", "common")], "designation string, why string"))
+    out = validate.counted(df, "why")
+    got = {r["reason"]: (r["rejected_count"], r["examples"]) for r in out.collect()}
+    assert got == {"common": (45_001, ["000001", "000002", "000003", "000004", "000005"]), "no key": (1, [])}
+    assert "collect_set" not in out._jdf.queryExecution().toString()
+
+
+def test_a_hot_body_is_pooled_like_any_other(spark):
+    hot = spark.range(30_000).select(
+        F.when(F.col("id") % 10 > 0, "hot").otherwise(F.col("id").cast("string")).alias("designation"),
+        (F.col("id") % 7 + 100).cast("double").alias("diameter_km"), F.lit(0.5).alias("diameter_sigma_km"),
+        F.concat(F.lit("r"), F.col("id") % 3, F.lit("|s")).alias("refs"), F.col("id").alias("n"),
+    )
+    out = pool.pool(hot, [("diameter_km", "diameter_sigma_km")], texts=("refs",), ties=("n",))
+    got = {r["designation"]: r for r in out.collect()}
+    assert len(got) == 3001 and sum(r["n_fits"] for r in got.values()) == 30_000
+    values = [k % 7 + 100 for k in range(30_000) if k % 10]
+    assert got["hot"]["diameter_km"] == pytest.approx(statistics.fmean(values))
+    assert got["hot"]["diameter_sigma_km"] == pytest.approx(statistics.pstdev(values))
+    assert got["hot"]["refs"] == "r1|s|r2|r0" and got["hot"]["n"] == 1
+
+
+@pytest.mark.parametrize("share", [1, 10**9])
+def test_counted_join_is_a_join(spark, share, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_SHARE", share)
+    big = spark.createDataFrame([(k % 5, k) for k in range(100)] + [(None, 1)], "k int, v int")
+    side = big.where("k < 4").groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("m"))
+    want = sorted((k, v, 95 + k) for k, v in rows(big.where("k < 4"), "k", "v"))
+    assert sorted(map(tuple, skew.join_counted(big, side, "k", "n").collect())) == want
+
+
+def test_only_shared_keys_are_combined(spark):
+    df = spark.createDataFrame([("Name", 1.0, None), ("name", None, 2.0), ("3", 5.0, None), (None, 7.0, None)], "designation string, x double, y double")
+    got = rows(survivor.combine_shared(df), "designation", "x", "y")
+    assert got == sorted([("Name", 1.0, 2.0), ("3", 5.0, None), (None, 7.0, None)], key=str)
+
+
+def test_orbits_are_adopted_whole(spark):
+    a = spark.createDataFrame([("1", 2.0, 0.1), ("2", 2.0, None), ("3", 2.0, None)], "designation string, semi_major_axis_au double, eccentricity double")
+    b = spark.createDataFrame([("1", 3.0, 0.3, "x"), ("2", 3.0, 0.3, "x"), ("4", None, 0.4, None)], "designation string, semi_major_axis_au double, eccentricity double, element_epoch_timescale string")
+    both = ("semi_major_axis_au", "eccentricity")
+    out = merge.merge([merge.SourceSpec("a", a), merge.SourceSpec("b", b)], set(), whole=(*both, "element_epoch_timescale"), required=both)
+    got = rows(out, "designation", *both, "element_epoch_timescale", "orbit_provider")
+    assert got == [("1", 2.0, 0.1, None, "a"), ("2", 3.0, 0.3, "x", "b"), ("3", 2.0, None, None, "a"), ("4", None, 0.4, None, "b")]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        def __init__(self, **kw):
+            self.kw = kw
+
+        def get(self, key, default=None):
+            return self.kw.get(key, default)
+
+    class Session:
+        def __init__(self, **kw):
+            self.conf = Conf(**kw)
+
+    assert staging.scratch_root(Session(**{"spark.checkpoint.dir": "x:/y/"})) == "x:/y"
+    with pytest.raises(staging.NoSharedFolder):
+        staging.scratch_root(Session(**{"spark.master": "spark://host:7077"}))
+
+
 def test_phases_add_back(spark):
     coarse = {(r["class"], r["phase"]): r["fraction"] for r in minerals.phase_fractions(spark).collect()}
     fine = {}
