@@ -14,7 +14,13 @@ Exact copies share one fingerprint and are one vertex. Where many different
 fingerprints crowd one bucket, the bucket gets a pivot: members within the
 distance of the pivot are linked to it, and a pair of such members needs no
 comparison as it is connected already. So a bucket of near copies costs as many
-rows as it has members, not pairs, and no link between components is lost.
+rows as it has members, not pairs, and no link between components is lost. What
+is left of such a bucket is compared by the same principle once more: of the bits
+outside its partition, cut into DISTANCE + 1 blocks, two linked fingerprints agree
+on one block at least, so only members of equal blocks meet.
+
+A fingerprint or component that holds many rows meets its id by a broadcast of
+the hot ones (``join_counted``), so no task gathers them.
 
 Defined results. Null or blank text: fingerprint zero, linked like any other.
 Repeated rows are returned each. A null ``doc_id`` never names a component
@@ -34,8 +40,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import checked_broadcast, materialise, numbered, sample_order
+from orrery.llm.common import filter_rows, materialise, numbered, sample_order
 from orrery.llm.components import connected
+from orrery.operators.skew import join_counted
 
 BITS = 64
 DISTANCE = 4
@@ -180,6 +187,23 @@ def _keys(nodes: DataFrame, parts: list[tuple[list[int], int]], probes: bool) ->
     return nodes.select("fp", F.explode(F.concat(*out)).alias("k")).select("k.part", "k.key", "fp")
 
 
+def _agreeing(u: DataFrame, v: DataFrame, parts: list[tuple[list[int], int]]) -> DataFrame:
+    """Pairs (u, v) near each other of two tables (part, key, u) and (part, key, v)."""
+    masks = []
+    for bits, _ in parts:
+        rest = [b for b in range(BITS) if b not in bits]
+        cuts = [k * len(rest) // (DISTANCE + 1) for k in range(DISTANCE + 2)]
+        masks.append(F.array(*[F.lit(_mask(rest[a:b])) for a, b in zip(cuts, cuts[1:])]))
+    own = F.get(F.array(*masks), F.col("part"))
+
+    def blocks(df: DataFrame, fp: str) -> DataFrame:
+        values = F.transform(own, lambda m: m.bitwiseAND(F.col(fp)))
+        return df.select("part", "key", fp, F.posexplode(values).alias("block", "value"))
+
+    met = blocks(u, "u").join(blocks(v, "v"), ["part", "key", "block", "value"])
+    return met.where(_near("u", "v")).select("u", "v")
+
+
 def links(nodes: DataFrame, parts: list[tuple[list[int], int]], crowded: int = CROWDED) -> DataFrame:
     """Edges (u, v) that connect exactly what pairs within DISTANCE connect."""
     index, probes = _keys(nodes, parts, False), _keys(nodes, parts, True)
@@ -209,29 +233,28 @@ def links(nodes: DataFrame, parts: list[tuple[list[int], int]], crowded: int = C
         far = asked.where("not ball").select("part", "key", F.col("fp").alias("v"))
         ball = members.where("ball").select("part", "key", F.col("fp").alias("u"))
         # A probe outside the ball may still be near single members of it.
-        across = ball.join(far, ["part", "key"]).where(_near("u", "v")).select("u", "v")
+        across = _agreeing(ball, far, parts)
         edges = edges.unionByName(star).unionByName(across)
         own = members.where("not ball").select("part", "key", "fp")
         ask = asked.select("part", "key", "fp")
-    rest = own.withColumnRenamed("fp", "u").join(ask.withColumnRenamed("fp", "v"), ["part", "key"])
-    rest = rest.where((F.col("u") < F.col("v")) & _near("u", "v")).select("u", "v")
+    rest = _agreeing(own.withColumnRenamed("fp", "u"), ask.withColumnRenamed("fp", "v"), parts).where("u < v")
     return edges.unionByName(rest).where("u <> v")
 
 
 def near_duplicates(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """doc_id, fingerprint, component_id for every row of ``docs``."""
     rows = materialise(fingerprints(docs), "fingerprints")
-    nodes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    nodes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "nodes")
     count = nodes.count()
     sample = nodes.select("fp").orderBy(sample_order("fp")).limit(PLAN_SAMPLE).collect()
     parts = plan(np.array([r["fp"] for r in sample], dtype=np.int64).view(np.uint64), count)
     roots = connected(links(nodes, parts, crowded))
-    rooted = nodes.join(roots, nodes.fp == roots.u, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = materialise(rooted.join(named, "root").select("fp", "component_id"), "names")
-    return rows.join(names, "fp").select(
+    rooted = nodes.join(roots, nodes.fp == roots.u, "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
+    rooted = materialise(rooted, "rooted")
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("size"))
+    named = join_counted(rooted.drop("least"), materialise(named, "components"), "root", "size")
+    names = materialise(named.select("fp", "n", "component_id"), "names")
+    return join_counted(rows, names, "fp", "n").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -240,14 +263,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near duplicates.
 
     The row with the smallest id of its group stays, one without an id only where
-    the group has none; a hash of the whole row settles ties. Groups are told apart
-    by row numbers, so unrelated texts under one id or without any stay each.
+    the group has none; the row number settles ties. Groups are told apart by row
+    numbers, so unrelated texts under one id or without any stay each. Columns of
+    any type and name are kept.
     """
-    rows = numbered(docs, "dedup-rows")
-    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*docs.columns).alias("tie"), "_row")
-    groups = found.select(F.col("doc_id").alias("_row"), "component_id").join(
-        rows.select("_row", order.alias("least")), "_row"
-    )
-    stay = groups.groupBy("component_id").agg(F.min("least").alias("least")).select("least._row")
-    return rows.join(checked_broadcast(stay, "stay"), "_row", "left_semi").drop("_row")
+    rows, number = numbered(docs, "dedup-rows")
+    ids = rows.select(F.col(number).alias("_n"), F.col("doc_id").alias("_id"))
+    found = near_duplicates(rows.select(F.col(number).alias("doc_id"), "text")).select(F.col("doc_id").alias("_n"), "component_id")
+    order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_n")
+    least = found.join(ids, "_n").groupBy("component_id").agg(F.min(order).alias("least"))
+    return filter_rows(rows, number, least.select(F.col("least._n").alias(number)), keep=True)
