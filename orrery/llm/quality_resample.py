@@ -6,11 +6,11 @@ the log ratio of its probability under the two. A sample is drawn without
 replacement by Gumbel top-k: each document's log importance gets its own Gumbel
 noise, and the k largest stay.
 
-The n-grams are over word shapes: runs of upper-case letters, lower-case letters
-and digits are each one symbol, other characters stand for themselves, and a
-word equal to the one before is marked. So rare words share statistics, and the
-models speak of form (shouting, symbol noise, tables, stammering) rather than
-topic or language.
+The n-grams are of words and, in buckets of their own, of word shapes: runs of
+upper-case letters, of other letters and of digits are each one symbol, repeated
+signs one, other characters stand for themselves, and a word equal to the one
+before is marked. Words speak of vocabulary; shapes, which rare words share, of
+form in any script (shouting, symbol noise, tables, stammering).
 
 The size of the sample is the number of documents whose importance reaches the
 cut that best separates labelled good from labelled bad documents; without
@@ -19,24 +19,28 @@ the cut come from a bounded sample of labels.
 
 Defined results. Null or blank text: no n-grams, log importance 0. Documents
 that tie with the k-th key all stay. A null id draws the noise of id null.
-Repeated rows have equal keys, so they stay or go together. Extra columns are
-ignored by ``resample`` and kept by ``keep_selected``.
+Rows of one id draw the same noise, and each is judged by its own text; so repeated
+rows stay or go together. Extra columns, of any name, are ignored by ``resample``
+and kept by ``keep_selected``.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from orrery.llm.common import checked_broadcast, materialise, sample_order
+from orrery.llm.common import fresh, materialise, sample_order
 
-BUCKETS = 1 << 13
+#: Buckets of word n-grams, and as many of shape n-grams after them.
+HALF = 1 << 13
+BUCKETS = 2 * HALF
 #: Labelled documents per class at most, for the target model and for the cut.
 SAMPLE_PER_CLASS = 5000
 SEED = 11
@@ -44,14 +48,17 @@ MEMO_WORDS = 100_000
 #: A k-th key is searched in histograms of so many bins.
 BINS = 1024
 
-_RUNS = [(re.compile(p), s) for p, s in ((r"[^\W\d_a-zà-öø-ÿ]+", "A"), (r"[^\W\d_A]+", "a"), (r"\d+", "0"), (r"(.)\1+", r"\1"))]
+_RUNS = [
+    (regex.compile(p), s)
+    for p, s in ((r"[\p{Lu}\p{Lt}]+", "A"), (r"[^\P{L}A]+", "a"), (r"\p{N}+", "0"), (r"(.)\1+", r"\1"))
+]
 
 
 def shape(word: str) -> str:
-    """The form of a word in at most eight symbols."""
+    """The form of a word; scripts without case count as lower case."""
     for pattern, symbol in _RUNS:
         word = pattern.sub(symbol, word)
-    return word[:8]
+    return word
 
 
 class _Words(dict):
@@ -68,19 +75,25 @@ class _Words(dict):
 _words = _Words()
 
 
+def _hashed(t: np.ndarray) -> list[np.ndarray]:
+    """Buckets below HALF of the unigrams and bigrams of a sequence."""
+    mix, top = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - HALF.bit_length() + 1)
+    one = (t + np.uint64(1)) * mix >> top
+    two = (t[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + t[1:] + np.uint64(7)) * mix >> top
+    return [one, two]
+
+
 def ngrams(text: str | None) -> np.ndarray:
-    """Hashed buckets of the shape unigrams and bigrams of one text."""
+    """Hashed buckets of the unigrams and bigrams of one text's words and shapes."""
     raw = text.encode().split() if text else []
     if not raw:
         return np.zeros(0, np.int64)
     code = np.fromiter(map(_words.__getitem__, raw), np.uint64, len(raw))
+    word = code >> np.uint64(32)
     again = np.zeros(len(code), np.uint64)
-    again[1:] = (code[1:] >> np.uint64(32)) == (code[:-1] >> np.uint64(32))
-    t = (code & np.uint64(0xFFFFFFFF)) * np.uint64(2) + again
-    mix, top = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - BUCKETS.bit_length() + 1)
-    one = (t + np.uint64(1)) * mix >> top
-    two = (t[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + t[1:] + np.uint64(7)) * mix >> top
-    return np.concatenate([one, two]).astype(np.int64)
+    again[1:] = word[1:] == word[:-1]
+    form = (code & np.uint64(0xFFFFFFFF)) * np.uint64(2) + again
+    return np.concatenate([*_hashed(word), *[x + np.uint64(HALF) for x in _hashed(form)]]).astype(np.int64)
 
 
 def _labelled(labels: DataFrame, per_class: int) -> DataFrame:
@@ -115,32 +128,41 @@ def counts(docs: DataFrame, labelled: DataFrame) -> np.ndarray:
 
 
 def log_ratio(table: np.ndarray) -> np.ndarray:
-    """log p_target - log p_raw of each bucket, add-one smoothed."""
+    """log p_target - log p_raw of each bucket, add-one smoothed, for words and shapes."""
     if not table[1].any():
         return np.zeros(BUCKETS)
-    # The target sample is thinner: both are smoothed by the raw model's shares.
-    raw = (table[0] + 1) / (table[0] + 1).sum()
-    target = (table[1] + raw * BUCKETS) / (table[1].sum() + BUCKETS)
-    return np.log(target / raw)
+    out = []
+    for raw, target in zip(np.split(table[0], 2), np.split(table[1], 2)):
+        # The target sample is thinner: both are smoothed by the raw model's shares.
+        p = (raw + 1) / (raw + 1).sum()
+        out.append(np.log((target + p * HALF) / (target.sum() + HALF) / p))
+    return np.concatenate(out)
 
 
-def importance(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """doc_id, n_grams, log_weight of every row."""
+def _weighed(docs: DataFrame, ratio: np.ndarray, n_grams: str, weight: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of every row, its number of n-grams and log importance."""
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
+    given = docs.select(*keep, *[c for c in ("text",) if c not in keep])
+    at = given.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, w = [], []
-            for text in batch.column(1):
+            for text in batch.column(at):
                 grams = ngrams(text.as_py())
                 n.append(len(grams))
                 w.append(float(shared.value[grams].sum()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(w, pa.float64())], names=["doc_id", "n_grams", "log_weight"]
+                [*batch.columns[: len(keep)], pa.array(n, pa.int64()), pa.array(w, pa.float64())], names=[*keep, n_grams, weight]
             )
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_grams long, log_weight double")
+    more = [T.StructField(n_grams, T.LongType()), T.StructField(weight, T.DoubleType())]
+    return given.mapInArrow(run, T.StructType([*[given.schema[c] for c in keep], *more]))
+
+
+def importance(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
+    """doc_id, n_grams, log_weight of every row."""
+    return _weighed(docs, ratio, "n_grams", "log_weight", ["doc_id"])
 
 
 def best_cut(weight: np.ndarray, good: np.ndarray) -> float | None:
@@ -191,30 +213,45 @@ def kth_largest(keys: DataFrame, k: int) -> float | None:
     return lo
 
 
-def resample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, k: int | None = None, seed: int = SEED) -> DataFrame:
-    """doc_id, n_grams, log_weight, gumbel_key, kept for every row of ``docs``.
+def _sampled(
+    docs: DataFrame, labels: DataFrame, per_class: int, k: int | None, seed: int, keep: list[str], names: list[str]
+) -> tuple[DataFrame, float | None]:
+    """The columns ``keep`` and, under ``names``, number of n-grams, log importance and
+    Gumbel key of every row, written; and the key from which rows are in the sample.
 
-    ``k`` fixes the size of the sample; by default it follows from the labels.
+    The texts are read twice, to count and to weigh; the sample is then a filter.
     """
     labelled = _labelled(labels, per_class)
     ratio = log_ratio(counts(docs, labelled))
+    n_grams, weight, key = names
     # 53 bits of a hash make a uniform number inside (0, 1).
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 11).cast("double") + 0.5) / float(2**53)
-    noise = -F.log(-F.log(u))
-    scored = importance(docs, ratio).withColumn("key", F.col("log_weight") + noise)
+    scored = _weighed(docs, ratio, n_grams, weight, keep).withColumn(key, F.col(weight) - F.log(-F.log(u)))
     scored = materialise(scored, "importance")
     if k is None:
-        pairs = scored.join(F.broadcast(labelled), "doc_id").select("log_weight", "good").limit(4 * per_class).collect()
+        bound = 4 * per_class  # rows of the labelled ids, where ids repeat
+        pairs = scored.select("doc_id", F.col(weight).alias("w")).join(F.broadcast(labelled), "doc_id")
+        pairs = pairs.orderBy(sample_order("doc_id"), "doc_id", "w").limit(bound).select("w", "good").collect()
         cut = best_cut(np.array([r[0] for r in pairs]), np.array([r[1] == 1 for r in pairs], bool))
-        k = scored.where(F.lit(True) if cut is None else F.col("log_weight") >= cut).count()
-    edge = kth_largest(scored, k)
-    kept = F.lit(False) if edge is None else F.col("key") >= edge
-    return scored.select("doc_id", "n_grams", "log_weight", F.col("key").alias("gumbel_key"), kept.alias("kept"))
+        k = scored.where(F.lit(True) if cut is None else F.col(weight) >= cut).count()
+    return scored, kth_largest(scored.select(F.col(key).alias("key")), k)
+
+
+def resample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, k: int | None = None, seed: int = SEED) -> DataFrame:
+    """doc_id, n_grams, log_weight, gumbel_key, kept for every row of ``docs``.
+
+    ``k`` fixes the size of the sample; by default it follows from the labels.
+    """
+    names = ["n_grams", "log_weight", "gumbel_key"]
+    scored, edge = _sampled(docs, labels, per_class, k, seed, ["doc_id"], names)
+    kept = F.lit(False) if edge is None else F.col("gumbel_key") >= edge
+    return scored.select("doc_id", *names, kept.alias("kept"))
 
 
 def keep_selected(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without those that the sample leaves out; rows that share an id
-    stay if any of them is selected."""
-    stay = resample(docs, labels).where("kept").select(F.col("doc_id").alias("_stay")).distinct()
-    stay = checked_broadcast(stay, "selected")
-    return docs.join(stay, docs.doc_id.eqNullSafe(F.col("_stay")), "left_semi")
+    """``docs`` without the rows that the sample leaves out, decided where the text is
+    read, so no join returns to it."""
+    names = [fresh(n, docs.columns) for n in ("_n_grams", "_weight", "_key")]
+    scored, edge = _sampled(docs, labels, SAMPLE_PER_CLASS, None, SEED, docs.columns, names)
+    kept = scored.where(F.lit(False) if edge is None else F.col(names[-1]) >= edge)
+    return kept.select(*docs.columns)
