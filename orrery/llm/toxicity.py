@@ -18,7 +18,7 @@ sample of labelled rows; it and scoring read whole texts.
 Defined results. Null, empty or wordless text: no sentences, score 0. No
 labels or a single class: an empty model, score 0 for all. A document with
 contradicting labels counts as toxic. Repeated rows are judged each, extra
-columns are ignored by ``score`` and kept by ``drop_toxic``.
+columns, of any name, are ignored by ``score`` and kept by ``drop_toxic``.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orrery.llm.common import held_out, materialise, sample_order
+from orrery.llm.common import fresh, held_out, materialise, sample_order
 
 #: Training documents per class at most; each is read whole.
 SAMPLE_PER_CLASS = 2000
@@ -220,12 +220,15 @@ def sentence_scores(model: Model, text: str, memo: _WordWeights | None = None) -
     return out
 
 
+def noisy_or(scores: list[float]) -> float:
+    return 1 - math.exp(sum([math.log1p(-min(p, 1 - 1e-12)) for p in scores]))
+
+
 def document_score(model: Model | None, text: str | None, memo: _WordWeights | None = None) -> float:
     """The noisy-or of the sentences' probabilities."""
     if model is None or not text:
         return 0.0
-    log_none = sum([math.log1p(-min(p, 1 - 1e-12)) for _, p in sentence_scores(model, text, memo)])
-    return 1 - math.exp(log_none)
+    return noisy_or([p for _, p in sentence_scores(model, text, memo)])
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
@@ -279,13 +282,37 @@ def with_score(docs: DataFrame, model: Model | None, name: str = "score") -> Dat
 
 
 def score(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of ``docs``."""
-    scored = with_score(docs.select("doc_id", "text"), fit(docs, labels, per_class))
+    """doc_id, held_out, score, predicted for every row of ``docs``, and what
+    ``locate`` finds in it: n_offending, the sentences at 0.5 or more, and
+    first_offending, the number of the first of them (null if there is none)."""
+    model = fit(docs, labels, per_class)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = shared.value
+        memo = _WordWeights(net) if net else None
+        for batch in batches:
+            total, count, first = [], [], []
+            for t in batch.column(1):
+                each = [p for _, p in sentence_scores(net, t.as_py(), memo)] if net and t.is_valid else []
+                bad = [k for k, p in enumerate(each) if p >= 0.5]
+                total.append(noisy_or(each))
+                count.append(len(bad))
+                first.append(bad[0] if bad else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(total, pa.float64()), pa.array(count, pa.int64()), pa.array(first, pa.int32())],
+                names=["doc_id", "score", "n_offending", "first_offending"],
+            )
+
+    scored = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, n_offending long, first_offending int")
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id"), 5, 0).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "n_offending",
+        "first_offending",
     )
 
 
@@ -312,5 +339,5 @@ def locate(docs: DataFrame, model: Model) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents predicted toxic."""
-    mark = "_toxic_score"
+    mark = fresh("_toxic_score", docs.columns)
     return with_score(docs, fit(docs, labels), mark).where(F.col(mark) < 0.5).drop(mark)
