@@ -7,9 +7,11 @@ gets a softmax over the languages from the two states at that position, and a
 document's probabilities are the mean over all its positions. The network is
 trained in numpy by backpropagation through time, on a bounded sample.
 
-Texts are cut into windows of ``WINDOW`` bytes that run as one batch. All
-windows of all documents are read, so a document is never judged by a prefix,
-and memory per block is fixed whatever the length of a text.
+Texts are cut into windows of ``WINDOW`` bytes that run as one batch, each with
+``HALO`` bytes of the text on both sides, so that every position is labelled with
+context before and behind it. All windows of all documents are read, so a document
+is never judged by a prefix, and memory per block is fixed whatever the length of
+a text.
 
 Defined results. Null text, empty text and text without a letter: language
 ``und``, score 0. No labelled text in the training part: ``und``, score 0 for
@@ -30,11 +32,11 @@ from orrery.llm.common import hash_edge, held_out, sample_order
 
 HIDDEN = 8
 WINDOW = 128
+HALO = 16
 BLOCK = 4096  # windows per batch of the network
 #: Bounds of the training sample, per language: windows of SAMPLE_CHARS characters.
 SAMPLE_PER_LANGUAGE = 1500
 SAMPLE_CHARS = 120
-MAX_LANGUAGES = 200
 
 
 @dataclass
@@ -174,43 +176,50 @@ def train(texts: list[str], labels: list[str], epochs: int = 3, seed: int = 7) -
     return ByteGru(languages, p)
 
 
-def position_probabilities(model: ByteGru, text: str) -> np.ndarray:
-    """(bytes, languages): the label distribution at every byte of one text."""
-    raw = np.frombuffer(text.encode(), np.uint8)
-    n = -(-len(raw) // WINDOW)
-    x = np.zeros((n, WINDOW), np.uint8)
-    x.reshape(-1)[: len(raw)] = raw
+def _windows(raw: bytes) -> Iterator[tuple[bytes, int, int]]:
+    """(bytes, first, size): the windows of a text with their halos; ``size`` bytes
+    from ``first`` on are the window's own."""
+    for k in range(0, len(raw), WINDOW):
+        first = min(k, HALO)
+        yield raw[k - first : k + WINDOW + HALO], first, min(WINDOW, len(raw) - k)
+
+
+def _own(model: ByteGru, pieces: list[tuple[bytes, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Position probabilities (steps, pieces, languages) and the mask of own positions."""
+    x = np.zeros((len(pieces), WINDOW + 2 * HALO), np.uint8)
+    for i, (b, _, _) in enumerate(pieces):
+        x[i, : len(b)] = np.frombuffer(b, np.uint8)
     x = np.ascontiguousarray(x.T)
     prob = _position_probabilities(model.p, _states(model.p, "f", x), _states(model.p, "b", x))
-    return prob.transpose(1, 0, 2).reshape(-1, len(model.languages))[: len(raw)]
+    first, size = np.array([p[1] for p in pieces]), np.array([p[2] for p in pieces])
+    at = np.arange(len(x))[:, None]
+    return prob, (at >= first) & (at < first + size)
+
+
+def position_probabilities(model: ByteGru, text: str) -> np.ndarray:
+    """(bytes, languages): the label distribution at every byte of one text."""
+    prob, own = _own(model, list(_windows(text.encode())))
+    return prob.transpose(1, 0, 2)[own.T]
 
 
 def pooled(model: ByteGru, raws: list[bytes]) -> np.ndarray:
     """(texts, languages): the mean of the position probabilities of each text."""
     total = np.zeros((len(raws), len(model.languages)))
-    owner, piece = [], []
+    owner, pieces = [], []
 
     def run() -> None:
-        x = np.zeros((len(piece), WINDOW), np.uint8)
-        for i, b in enumerate(piece):
-            x[i, : len(b)] = np.frombuffer(b, np.uint8)
-        lengths = np.array([len(b) for b in piece])
-        x = np.ascontiguousarray(x.T)
-        prob = _position_probabilities(model.p, _states(model.p, "f", x), _states(model.p, "b", x))
-        short = np.flatnonzero(lengths < WINDOW)
-        for i in short:
-            prob[lengths[i] :, i] = 0
-        np.add.at(total, np.array(owner), prob.sum(axis=0))
+        prob, own = _own(model, pieces)
+        np.add.at(total, np.array(owner), np.einsum("tbl,tb->bl", prob, own))
         owner.clear()
-        piece.clear()
+        pieces.clear()
 
     for i, raw in enumerate(raws):
-        for k in range(0, len(raw), WINDOW):
+        for piece in _windows(raw):
             owner.append(i)
-            piece.append(raw[k : k + WINDOW])
-            if len(piece) == BLOCK:
+            pieces.append(piece)
+            if len(pieces) == BLOCK:
                 run()
-    if piece:
+    if pieces:
         run()
     return total / np.maximum(1, [[len(r)] for r in raws])
 
@@ -219,11 +228,11 @@ def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) ->
     """Rows (lang, t): about ``per_language`` windows of each language.
 
     Only the training part is read. A window starts at a hashed place in its
-    text, so that no part of a text is preferred. The bound is
-    ``2 * per_language`` rows per language, over the MAX_LANGUAGES most frequent.
+    text, so that no part of a text is preferred. The bound on the sample is
+    ``2 * per_language`` labelled rows per language; every language has its share.
     """
     pool = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"), 4, 2))
-    counts = pool.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = pool.groupBy("lang").count().orderBy("lang").collect()  # one row per language
     if not counts:
         return []
     chosen = F.lit(False)
