@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import materialise
+from orrery.llm.common import mark_rows, materialise
 
 ORDERS = 4
 #: Orders 1 and 2 are looked up by value, one after another; higher ones by key.
@@ -41,8 +41,6 @@ CHUNK, ROW_BYTES = 4 << 20, 64
 #: Strength of the lower order in each order's estimate.
 PRIOR = 8.0
 BLOCK = 1 << 19  # bytes handled at once
-#: Target ids up to which the label side is broadcast; beyond, the join is shuffled.
-MAX_BROADCAST_IDS = 1_000_000
 #: Bytes before the first real one: the longest n-gram that ends just before it.
 PAD = ORDERS
 
@@ -154,24 +152,30 @@ def _tally(raws: list[bytes], own: list[bool]) -> tuple[np.ndarray, np.ndarray,
 
 
 def chunks(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """(doc_id, text, own, chunk) of every row, written; ``own`` marks target texts."""
-    target = materialise(target.select("doc_id", F.lit(1).alias("own")), "target-ids")
-    side = F.broadcast(target) if target.count() <= MAX_BROADCAST_IDS else target
-    marked = docs.select("doc_id", "text").join(side, "doc_id", "left").select("doc_id", "text", "own")
+    """(doc_id, text, chunk, own) of every row; ``own`` marks target texts.
+
+    Rows are dealt to chunks and written once, in order. The target's ids are joined
+    to row numbers, and these mark the rows (``mark_rows``), so texts stay put.
+    """
     chunk_bytes = CHUNK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, done = TaskContext.get().partitionId() << 32, 0
+        first, done, seen = TaskContext.get().partitionId() << 32, 0, 0
         for batch in batches:
             size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + ROW_BYTES
             at = done + np.cumsum(size) - size
             done += int(size.sum())
+            number = first + seen + np.arange(len(size))
+            seen += len(size)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(first + at // chunk_bytes)], names=["doc_id", "text", "own", "chunk"]
+                [*batch.columns, pa.array(first + at // chunk_bytes), pa.array(number)], names=["doc_id", "text", "chunk", "row"]
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return materialise(marked.mapInArrow(run, f"doc_id {kind}, text string, own int, chunk long"), "chunks")
+    rows = materialise(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, text string, chunk long, row long"), "chunks")
+    ids = target.select("doc_id").where("doc_id is not null").distinct()
+    chosen = rows.select("row", "doc_id").join(ids, "doc_id", "left_semi").select("row")
+    return mark_rows(rows, "row", chosen, "own").drop("row")
 
 
 def count_by_chunk(texts: DataFrame) -> DataFrame:
@@ -196,7 +200,7 @@ def count_by_chunk(texts: DataFrame) -> DataFrame:
                     chunk, raws, own = c, [], []
                 if text.is_valid:
                     raws.append(text.as_py().encode())
-                    own.append(mine.is_valid)
+                    own.append(mine.as_py())
         yield from done()
 
     rows = texts.select("text", "own", "chunk").mapInArrow(run, "chunk long, key long, background long, target long")
