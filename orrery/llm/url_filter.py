@@ -25,7 +25,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import ascii_lower, materialise, sample_order
+from orrery.llm.common import MAX_BROADCAST_ROWS, ascii_lower, materialise, sample_order
+from orrery.operators.skew import HOT_SHARE
 
 #: (host, path, verdict) of the registered query's rules.
 RULES = [
@@ -112,6 +113,20 @@ def _rates(known: DataFrame, suffix: str) -> DataFrame:
     return known.groupBy(suffix).agg(F.count("*").alias(f"{suffix}_n"), F.sum("label").alias(f"{suffix}_bad"))
 
 
+def _with_rates(df: DataFrame, rates: DataFrame, suffix: str, n: int) -> DataFrame:
+    """``df`` with the counts of its suffix, null for one that no labelled url has.
+
+    ``rates`` is broadcast if it is small. Else its frequent suffixes are, which are
+    fewer than HOT_SHARE, and only urls of the others are shuffled.
+    """
+    if rates.count() <= MAX_BROADCAST_ROWS:
+        return df.join(F.broadcast(rates), suffix, "left")
+    is_hot = F.col(f"{suffix}_n") > n // HOT_SHARE
+    hot, cold = F.broadcast(rates.where(is_hot)), rates.where(~is_hot)
+    others = df.join(F.broadcast(hot.select(suffix)), suffix, "left_anti")
+    return df.join(hot, suffix).unionByName(others.join(cold, suffix, "left"))
+
+
 def classify(urls: DataFrame, labelled: DataFrame, key: str = "page_id") -> DataFrame:
     """``key``, host, path, p_block and verdict of every row, by the trees alone.
 
@@ -129,10 +144,10 @@ def classify(urls: DataFrame, labelled: DataFrame, key: str = "page_id") -> Data
     if not 0 < bad < n:
         constant = F.lit(float(bool(bad)))
         return plain.select(key, "host", "path", constant.alias("p_block"), F.when(constant > 0.5, "block").otherwise("allow").alias("verdict"))
-    last, two = _rates(known, "last"), _rates(known, "two")
+    last, two = materialise(_rates(known, "last"), "last-rates"), materialise(_rates(known, "two"), "two-rates")
 
     def described(df: DataFrame, own: Column, own_bad: Column) -> DataFrame:
-        df = df.join(last, "last", "left").join(two, "two", "left")
+        df = _with_rates(_with_rates(df, last, "last", n), two, "two", n)
         for s in ("last", "two"):
             seen, blocked = F.coalesce(f"{s}_n", F.lit(0)) - own, F.coalesce(f"{s}_bad", F.lit(0)) - own_bad
             df = df.withColumn(f"{s}_rate", (blocked + SMOOTH * base) / (seen + SMOOTH))
