@@ -1,5 +1,6 @@
 import hashlib
 import math
+import re
 import zlib
 
 import numpy as np
@@ -47,6 +48,13 @@ def test_digests_and_round_trip(docs, empty, library):
     assert bpe.digest(empty, PATH, PATTERN).count() == 0
 
 
+@pytest.mark.parametrize("piece", ["a" * 300_000, "ab" * 100_000, "é" * 100_000])
+def test_a_very_long_piece_takes_linear_time(library, piece):
+    ids = library[0].encode(piece)
+    assert library[0].decode(ids) == piece.encode()
+    assert library[0].encode(piece[:20_000]) == library[1].encode_ordinary(piece[:20_000])
+
+
 # --- language ID
 
 
@@ -88,6 +96,46 @@ def test_every_position_is_labelled(prose):
     assert np.allclose(each.mean(axis=0), language_id.pooled(model, [text.encode()])[0], atol=1e-4)
 
 
+def slow_probabilities(model, text):
+    """The network step by step, as its definition says, window by window."""
+    p, raw, out = {k: v.astype(float) for k, v in model.p.items()}, text.encode(), []
+    for k in range(0, len(raw), language_id.WINDOW):
+        lo = max(0, k - language_id.HALO)
+        piece = raw[lo : k + language_id.WINDOW + language_id.HALO]
+        padded = piece + bytes(language_id.WINDOW + 2 * language_id.HALO - len(piece))
+        states = {}
+        for d in "fb":
+            h, each = np.zeros(language_id.HIDDEN), {}
+            for t in range(len(padded)) if d == "f" else reversed(range(len(padded))):
+                g = 1 / (1 + np.exp(-(p[f"xg{d}"][padded[t]] + h @ p[f"ug{d}"])))
+                c = np.tanh(p[f"xc{d}"][padded[t]] + g * (h @ p[f"uc{d}"]))
+                h = each[t] = (1 - g) * h + g * c
+            states[d] = each
+        for t in range(k - lo, k - lo + min(language_id.WINDOW, len(raw) - k)):
+            z = np.exp(states["f"][t] @ p["of"] + states["b"][t] @ p["ob"] + p["bias"])
+            out.append(z / z.sum())
+    return np.array(out)
+
+
+@pytest.mark.parametrize("words", [1, 20, 33, 120])
+def test_forward_pass_equals_its_definition(prose, words):
+    model = language_id.train([prose(1, 30), prose(2, 30).upper(), prose(3, 30) + "é"], ["a", "b", "c"])
+    text = prose(9, words) + "äß日"
+    want = slow_probabilities(model, text)
+    assert np.allclose(language_id.position_probabilities(model, text), want, atol=1e-4)
+    assert np.allclose(language_id.pooled(model, [b"", text.encode()])[1], want.mean(axis=0), atol=1e-4)
+
+
+def test_very_long_and_odd_texts_have_a_language(spark, docs, prose):
+    long = [(8000, prose(1, 20_000), "aa"), (8001, "é" * 60_000, "bb"), (8002, prose(2, 50), "aa"), (8002, prose(2, 50), "aa")]
+    rows = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(long, "doc_id long, text string, lang string"))
+    got = language_id.identify(rows).collect()
+    assert len(got) == rows.count() and all(0 <= r["score"] <= 1 for r in got)
+    letters = {r["doc_id"]: bool(r["text"]) and any(map(str.isalpha, r["text"])) for r in rows.collect() if r["doc_id"] is not None}
+    assert all((r["lang_pred"] == "und") == (not letters[r["doc_id"]]) for r in got if r["doc_id"] is not None and r["doc_id"] != 7)
+    assert len({(r["lang_pred"], r["score"]) for r in got if r["doc_id"] == 8002}) == 1
+
+
 def test_language_without_labels(empty, docs):
     assert language_id.identify(empty).count() == 0
     got = language_id.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
@@ -230,6 +278,74 @@ def test_junk_is_left_out(spark, prose):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {d for d, r in got.items() if r["kept"]}
 
 
+SHAPES = {"Hello,": "Aa,", "привет": "a", "你好": "a", "ελλάδα": "a", "Привет!": "Aa!", "ABC-12": "A-0", "##a$$": "#a$", "ÀÉ": "A", "Éaux": "Aa", "--": "-", "a" * 50: "a", "x9x9x9x9x9": "a0a0a0a0a0"}
+
+
+def test_shapes_know_every_script():
+    assert {w: quality_resample.shape(w) for w in SHAPES} == SHAPES
+
+
+def test_weights_and_keys_equal_brute_force(spark, docs, prose):
+    """The hashed generative models, the log ratio and the Gumbel keys in plain Python."""
+    q, m64 = quality_resample, (1 << 64) - 1
+    mix, mul = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+    long = spark.createDataFrame([(9000, prose(1, 20_000), None, None, None, None)], docs.schema)
+    rows = docs.unionByName(long)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)] + [(5, 0), (None, 1)], "doc_id long, quality int")
+    good = {i: min(int(i % 3 > 0), 0 if i == 5 else 1) for i in range(60)}
+
+    def grams(text):
+        words, out = (text or "").encode().split(), []
+        seqs = [[], []]
+        for k, w in enumerate(words):
+            seqs[0].append(zlib.crc32(w))
+            form = zlib.crc32(q.shape(w.decode(errors="replace")).encode())
+            seqs[1].append(2 * form + int(k > 0 and zlib.crc32(w) == zlib.crc32(words[k - 1])))
+        for base, seq in zip((0, q.HALF), seqs):
+            out += [base + ((t + 1) * mix & m64) // (2**64 // q.HALF) for t in seq]
+            out += [base + ((a * mul + b + 7) * mix & m64) // (2**64 // q.HALF) for a, b in zip(seq, seq[1:])]
+        return out
+
+    data = [(r["doc_id"], grams(r["text"])) for r in rows.select("doc_id", "text").collect()]
+    raw, target = [0] * q.BUCKETS, [0] * q.BUCKETS
+    for d, g in data:
+        for b in g:
+            raw[b] += 1
+            target[b] += good.get(d) == 1
+    ratio = []
+    for lo in (0, q.HALF):
+        r, t = raw[lo : lo + q.HALF], target[lo : lo + q.HALF]
+        n, m = sum(r) + q.HALF, sum(t) + q.HALF
+        for a, b in zip(r, t):
+            p = (a + 1) / n
+            ratio.append(math.log((b + p * q.HALF) / m / p))
+    got = q.resample(rows, labels)
+    assert sorted((str(r["doc_id"]), r["n_grams"]) for r in got.collect()) == sorted((str(d), len(g)) for d, g in data)
+    u = spark.createDataFrame([(d,) for d, _ in data], "doc_id long").select("doc_id", F.xxhash64(F.lit(q.SEED), "doc_id").alias("h"))
+    noise = {r["doc_id"]: -math.log(-math.log(((r["h"] & m64) // 2**11 + 0.5) / 2**53)) for r in u.collect()}
+    want = sorted((str(d), round(sum(ratio[b] for b in g), 6), round(sum(ratio[b] for b in g) + noise[d], 6)) for d, g in data)
+    have = sorted((str(r["doc_id"]), round(r["log_weight"], 6), round(r["gumbel_key"], 6)) for r in got.collect())
+    for a, b in zip(have, want):
+        assert a[0] == b[0] and a[1:] == pytest.approx(b[1:], abs=1e-4)
+    # The k largest keys stay, with ties.
+    kept = sorted((r["gumbel_key"] for r in got.where("kept").collect()), reverse=True)
+    every = sorted((r["gumbel_key"] for r in got.collect()), reverse=True)
+    assert kept == every[: len(kept)] and (len(kept) == len(every) or every[len(kept)] < kept[-1])
+
+
+def test_filters_keep_columns_of_any_name(spark, docs, prose):
+    extra = {"_key": F.lit(1), "_weight": F.lit("w"), "_n_grams": F.lit(2), "_stay": F.lit(3), "_toxic_score": F.lit("t"), "tags": F.create_map(F.lit("k"), F.col("doc_id"))}
+    wide = docs.withColumns(extra)
+    quality = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id long, quality int")
+    toxic = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(60)], "doc_id long, toxic int")
+    for plain, full in (
+        (quality_resample.keep_selected(docs, quality), quality_resample.keep_selected(wide, quality)),
+        (toxicity.drop_toxic(docs, toxic), toxicity.drop_toxic(wide, toxic)),
+    ):
+        assert full.columns == wide.columns and full.count() == plain.count()
+        assert all(r["_weight"] == "w" and r["_toxic_score"] == "t" and r["_key"] == 1 for r in full.collect())
+
+
 @pytest.mark.parametrize("values", [[3.0], [1.0] * 50, list(range(5000)), [2.0] * 40 + [1.0] * 40 + [-1e9, 1e9]])
 def test_kth_largest(spark, values):
     keys = spark.createDataFrame([(float(v),) for v in values], "key double")
@@ -259,6 +375,10 @@ def test_sentences_are_blamed(spark, prose):
     assert all(got[i]["score"] == 0 and got[i]["predicted"] == 0 for i in (900, 901, 902))
     model = toxicity.fit(docs, labels)
     found = toxicity.locate(docs, model).collect()
+    first = {}
+    for r in found:
+        first.setdefault(r["doc_id"], []).append(r["sentence_no"])
+    assert {d: (r["n_offending"], r["first_offending"]) for d, r in got.items()} == {d: (len(first.get(d, [])), min(first[d]) if d in first else None) for d in got}
     assert found and all("vile" in r["sentence"] or "grumble" in r["sentence"] for r in found)
     kept = toxicity.drop_toxic(docs, labels)
     assert kept.columns == docs.columns and kept.count() == sum(not r["predicted"] for r in got.values())
@@ -306,6 +426,28 @@ def test_rows_of_repeated_ids_are_sampled_in_a_fixed_order(spark):
     assert got[0] == got[1] and len(got[0]) == 60
 
 
+def test_scores_equal_the_model_by_hand(spark, docs, prose):
+    bad = [(6000 + i, f"{prose(i, 30)}. You vile grumble. {prose(i + 1, 10)}") for i in range(40)]
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame(bad, "doc_id long, text string"))
+    labels = spark.createDataFrame([(d, 1) for d, _ in bad] + [(i, 0) for i in range(60)] + [(3, 1)], "doc_id long, toxic int")
+    model = toxicity.fit(rows, labels)
+    assert model.weight
+
+    def by_hand(text):
+        none = 1.0
+        for sentence in re.split(r"[.!?\n]+", text or ""):
+            words = re.findall(r"\w+", sentence.lower())
+            own = [f for w in set(words) for f in toxicity.features(w) if f in model.weight]
+            if own:
+                none *= 1 - 1 / (1 + math.exp(-model.bias - sum(model.weight[f] for f in own)))
+        return 1 - none
+
+    got = sorted((str(r["doc_id"]), round(r["score"], 9), r["predicted"]) for r in toxicity.score(rows, labels).collect())
+    want = sorted((str(r["doc_id"]), round(by_hand(r["text"]), 9), int(by_hand(r["text"]) >= 0.5)) for r in rows.collect())
+    for a, b in zip(got, want):
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1], abs=1e-6) and a[2] == b[2]
+
+
 def test_toxicity_edges(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.score(docs, none).collect()} == {0.0}

@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from orrery.llm import decontaminate, quality_rules, sharding
+from orrery.llm import common, decontaminate, quality_rules, sharding
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -47,6 +47,18 @@ def test_whole_records_are_written(spark, docs, tmp_path):
     back = spark.read.parquet(str(tmp_path / "shards"))
     assert Counter(r["text"] for r in back.collect()) == Counter(r["text"] for r in docs.collect())
     assert set(docs.columns) < set(back.columns)
+    clash = docs.withColumns({"shard": F.lit("own"), "_row": F.lit(1), "_slot": F.lit(2)})
+    assert sharding.write_shards(clash, str(tmp_path / "clash")) == "shard_"
+    back = spark.read.parquet(str(tmp_path / "clash"))
+    assert {r["shard"] for r in back.collect()} == {"own"} and set(clash.columns) < set(back.columns)
+
+
+def test_offsets_count_what_is_before(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "OFFSET_GROUP", 4)
+    sizes = {b: b * b % 7 for b in range(30) if b % 5}
+    table = spark.createDataFrame(list(sizes.items()), "bucket int, n int").repartition(3)
+    got = {r["bucket"]: r["offset"] for r in sharding._offsets(table).collect()}
+    assert got == {b: sum(n for a, n in sizes.items() if a < b) for b in sizes}
 
 
 @pytest.mark.parametrize("size", [4, 512])
@@ -91,7 +103,7 @@ def test_contamination_matches_brute_force(spark, docs, prose):
     ]
     rows = docs.unionByName(spark.createDataFrame(extra, docs.schema))
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
-    got = sorted((tuple(r) for r in decontaminate.contamination(rows, bench).collect()), key=str)
+    got = sorted((tuple(r)[:6] for r in decontaminate.contamination(rows, bench).collect()), key=str)
     assert got == slow([tuple(r) for r in rows.select("doc_id", "text").collect()], items)
     kept = {r["doc_id"] for r in decontaminate.drop_contaminated(rows, bench).collect()}
     assert 9001 not in kept and 9003 in kept and None in kept
@@ -115,12 +127,59 @@ def test_contamination_of_empty_tables(spark, docs, empty):
 
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "alpha one two beta gamma"), (2, "alpha x x x x x x x x x beta gamma"), (3, "gamma beta alpha"), (4, "alpha beta")], "doc_id long, text string")
-    terms_ = spark.createDataFrame([(k, w) for k, w in enumerate(["alpha", "beta", "gamma"])], "term long, word string")
+    terms_ = spark.createDataFrame([(k, w) for k, w in enumerate(["alpha", "beta", "gamma", "delta"])], "term long, word string")
     index = decontaminate.build_index(docs, terms_)
-    queries = spark.createDataFrame([(1, ["alpha", "beta", "gamma"])], "query_id int, terms array<string>")
-    near = decontaminate.proximity(index, queries, terms_, 2)
-    ids = {r["doc_id"] for r in near.join(index.select("rid", "doc_id").distinct(), "rid").collect()}
-    assert ids == {1, 3}
+    freq = decontaminate.frequencies(index, terms_)
+    queries = spark.createDataFrame([(1, ["alpha", "beta", "gamma", "beta"], 5), (2, ["alpha", "delta"], 90)], "query_id int, terms array<string>, reach int")
+    near = decontaminate.proximity(index, queries, freq)
+    found = near.join(index.select("rid", "doc_id").distinct(), "rid").select("doc_id", "query_id", "start", "stop").collect()
+    assert sorted(map(tuple, found)) == [(1, 1, 0, 4), (3, 1, 0, 2)]
+
+
+def slow_near(texts, items):
+    every = Counter(w for t in texts for w in terms(t))
+    out = []
+    for t in texts:
+        at = {}
+        for k, w in enumerate(terms(t)):
+            at.setdefault(w, []).append(k)
+        near = set()
+        for i, item in items:
+            rare = sorted(set(terms(item)), key=lambda w: (every[w], w))[:4]
+            n = len(terms(item))
+            if rare and any(all(any(abs(p - k) < n for p in at.get(w, [])) for w in rare) for k in at.get(rare[0], [])):
+                near.add(i)
+        out.append(len(near))
+    return out
+
+
+@pytest.mark.parametrize("limit", [500_000, 3])
+def test_near_matches_equal_brute_force(spark, docs, prose, limit, monkeypatch):
+    monkeypatch.setattr(common, "MAX_BROADCAST_ROWS", limit)
+    items = [(k, prose(k, 6 + k % 9)) for k in range(0, 40, 7)] + [(90, prose(900, 40)), (90, "x"), (91, None), (92, "k"), (93, "nowhere else zzz")]
+    turned = " ".join(reversed(prose(900, 40).split()))
+    extra = [(9001, f"before {turned} after", None, None, None, None), (9002, prose(3, 900) + prose(900, 40), None, None, None, None)]
+    rows = docs.unionByName(spark.createDataFrame(extra, docs.schema)).coalesce(2)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((str(r["doc_id"]), r["n_near"], r["n_words"]) for r in decontaminate.contamination(rows, bench).collect())
+    data = [(r["doc_id"], r["text"]) for r in rows.select("doc_id", "text").collect()]
+    near = slow_near([t for _, t in data], items)
+    assert got == sorted((str(d), n, len(terms(t))) for (d, t), n in zip(data, near)) and max(near) >= 1
+
+
+@pytest.mark.parametrize("keep", [True, False])
+@pytest.mark.parametrize("most", [65_536, 0])
+def test_rows_are_filtered_by_number(spark, most, keep, monkeypatch):
+    monkeypatch.setattr(common, "MAX_BITMAPS", most)
+    names = "id long, _row string, _BUCKET int, _bits int, _chosen int"
+    docs = spark.range(70_000).select("id", F.lit("x").alias("_row"), F.lit(1).alias("_BUCKET"), F.lit(2).alias("_bits"), F.lit(3).alias("_chosen")).repartition(3)
+    rows, number = common.numbered(docs.to(spark.createDataFrame([], names).schema), "numbers")
+    assert number == "_row_"
+    wanted = F.xxhash64("id") % 3 == 0
+    out = common.filter_rows(rows, number, rows.where(wanted).select(number), keep)
+    assert out.columns == docs.columns
+    want = {r["id"] for r in docs.where(wanted if keep else ~wanted).collect()}
+    assert {r["id"] for r in out.collect()} == want and out.count() == len(want)
 
 
 # --- quality rules

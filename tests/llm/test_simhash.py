@@ -81,6 +81,35 @@ def test_plan_keeps_the_pigeonhole_sum(rows):
     assert len(bits) == len(set(bits))
 
 
+def test_pairs_by_equal_blocks_are_all_near_pairs(spark):
+    rng = np.random.default_rng(4)
+    base = [int(b) for b in rng.integers(0, 2**63, 3)]
+    fps = sorted({b ^ sum({1 << int(x) for x in rng.integers(0, 63, k)}) for b in base for k in rng.integers(0, 9, 60)})
+    parts = [(list(range(0, 20)), 1), (list(range(20, 42)), 1), (list(range(42, 64)), 0)]
+    for part, (bits, _) in enumerate(parts):
+        mask = sum(1 << b for b in bits)
+        rows = [(part, f & (mask if mask < 2**63 else 0), f) for f in fps]
+        t = spark.createDataFrame([(p, 0, f) for p, _, f in rows], "part int, key long, fp long")
+        got = simhash._agreeing(t.withColumnRenamed("fp", "u"), t.withColumnRenamed("fp", "v"), parts).distinct()
+        want = sorted((a, b) for a in fps for b in fps if (a ^ b).bit_count() <= 4)
+        assert sorted(map(tuple, got.collect())) == want
+
+
+def test_hot_fingerprints_and_components(spark, prose):
+    texts = [prose(1, 60)] * 400 + [prose(2, 60) + f" w{k}" for k in range(150)] + [prose(100 + k, 60) for k in range(30)] + [None] * 50
+    rows = [(k if k % 11 else None, t) for k, t in enumerate(texts)]
+    got = sorted((tuple(r) for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()), key=str)
+    assert got == brute(rows)
+
+
+def test_columns_of_any_name_and_type_are_kept(spark, docs):
+    extra = {"_row": F.lit("r"), "_stay": F.lit(1), "_n": F.lit(2), "component_id": F.lit(3), "tags": F.create_map(F.lit("k"), F.col("doc_id"))}
+    wide = docs.withColumns(extra)
+    kept = simhash.keep_one(wide)
+    assert kept.columns == wide.columns and kept.count() == simhash.keep_one(docs).count()
+    assert {r["_row"] for r in kept.collect()} == {"r"}
+
+
 def test_keep_one_and_empty(docs, empty):
     found = simhash.near_duplicates(docs)
     groups = found.select("component_id").distinct().count()
