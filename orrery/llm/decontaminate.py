@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.common import ascii_lower, filter_rows, join_parts, materialise, numbered
+from orrery.llm.common import MAX_BROADCAST_ROWS, ascii_lower, filter_rows, join_parts, materialise, numbered
 
 WINDOW = 13
 #: Separators after lower-casing; equals [\x00-\x2F\x3A-\x60\x7B-\x7F]+ there.
@@ -105,7 +105,9 @@ def occurrences(index: DataFrame, wins: DataFrame, freq: DataFrame) -> DataFrame
     need = join_parts(starts, rest, ["win_id"]).select(
         "rid", (F.col("start") + F.col("off")).alias("pos"), "term", "win_id", "len", "start"
     )
-    own = index.select(*key).where("term >= 0").join(starts.select("rid").distinct(), "rid", "left_semi")
+    docs = materialise(starts.select("rid").distinct(), "candidate-documents")
+    docs = F.broadcast(docs) if docs.count() <= MAX_BROADCAST_ROWS else docs
+    own = index.select(*key).where("term >= 0").join(docs, "rid", "left_semi")
     full = (
         need.join(own, key, "left_semi")
         .groupBy("rid", "win_id", "len", "start")
