@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,9 @@ BUCKETS = 2 * HALF
 #: Labelled documents per class at most, for the target model and for the cut.
 SAMPLE_PER_CLASS = 5000
 SEED = 11
-MEMO_WORDS = 100_000
+MEMO_WORDS = 50_000
+#: Characters of text whose n-grams are hashed at once.
+BLOCK_CHARS = 1 << 19
 #: A k-th key is searched in histograms of so many bins.
 BINS = 1024
 
@@ -55,20 +58,32 @@ _RUNS = [
 
 
 def shape(word: str) -> str:
-    """The form of a word; scripts without case count as lower case."""
+    """The form of a word; scripts without case count as lower case.
+
+    Lower-case words, the bulk, are told without a pattern.
+    """
+    if word.islower() and word.isalpha():
+        return "a"
     for pattern, symbol in _RUNS:
         word = pattern.sub(symbol, word)
     return word
 
 
 class _Words(dict):
-    """word -> (hash << 32) + bucket of its shape, bounded."""
+    """word -> (hash << 32) + hash of its shape; bounded, in two generations, so
+    that frequent words stay when the memo turns over."""
+
+    older: dict[bytes, int] = {}
 
     def __missing__(self, raw: bytes) -> int:
         if len(self) >= MEMO_WORDS:
+            self.older = dict(self)
             self.clear()
-        form = zlib.crc32(shape(raw.decode(errors="replace")).encode())
-        code = self[raw] = (zlib.crc32(raw) << 32) + form
+        code = self.older.get(raw)
+        if code is None:
+            form = zlib.crc32(shape(raw.decode(errors="replace")).encode())
+            code = (zlib.crc32(raw) << 32) + form
+        self[raw] = code
         return code
 
 
@@ -83,17 +98,36 @@ def _hashed(t: np.ndarray) -> list[np.ndarray]:
     return [one, two]
 
 
-def ngrams(text: str | None) -> np.ndarray:
-    """Hashed buckets of the unigrams and bigrams of one text's words and shapes."""
-    raw = text.encode().split() if text else []
-    if not raw:
-        return np.zeros(0, np.int64)
-    code = np.fromiter(map(_words.__getitem__, raw), np.uint64, len(raw))
+def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, owner): hashed unigrams and bigrams of the words and shapes of texts,
+    and which of the texts each is from."""
+    raws = [t.encode().split() if t else [] for t in texts]
+    lengths = [len(r) for r in raws]
+    code = np.fromiter(map(_words.__getitem__, chain.from_iterable(raws)), np.uint64, sum(lengths))
+    owner = np.repeat(np.arange(len(texts)), lengths)
+    inside = owner[1:] == owner[:-1]
     word = code >> np.uint64(32)
     again = np.zeros(len(code), np.uint64)
-    again[1:] = word[1:] == word[:-1]
+    again[1:] = inside & (word[1:] == word[:-1])
     form = (code & np.uint64(0xFFFFFFFF)) * np.uint64(2) + again
-    return np.concatenate([*_hashed(word), *[x + np.uint64(HALF) for x in _hashed(form)]]).astype(np.int64)
+    buckets, follows = [], owner[1:][inside]
+    for base, sequence in ((0, word), (HALF, form)):
+        one, two = _hashed(sequence)
+        buckets += [one + np.uint64(base), two[inside] + np.uint64(base)]
+    return np.concatenate(buckets).astype(np.int64), np.concatenate([owner, follows, owner, follows])
+
+
+def _blocks(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """(first row, texts) of a column, in blocks of bounded size or one text."""
+    first, texts, size = 0, [], 0
+    for k, text in enumerate(column):
+        texts.append(text.as_py())
+        size += len(texts[-1] or "")
+        if size >= BLOCK_CHARS:
+            yield first, texts
+            first, texts, size = k + 1, [], 0
+    if texts:
+        yield first, texts
 
 
 def _labelled(labels: DataFrame, per_class: int) -> DataFrame:
@@ -110,11 +144,11 @@ def counts(docs: DataFrame, labelled: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
-            for text, good in zip(batch.column(0), batch.column(1)):
-                c = np.bincount(ngrams(text.as_py()), minlength=BUCKETS)
-                total[0] += c
-                if good.is_valid and good.as_py() == 1:
-                    total[1] += c
+            good = np.array([g == 1 for g in batch.column(1).to_pylist()], bool)
+            for first, texts in _blocks(batch.column(0)):
+                grams, owner = ngrams(texts)
+                total[0] += np.bincount(grams, minlength=BUCKETS)
+                total[1] += np.bincount(grams[good[first + owner]], minlength=BUCKETS)
         at = np.flatnonzero(total[0])
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0][at]), pa.array(total[1][at])], names=["b", "raw", "target"])
 
@@ -147,14 +181,14 @@ def _weighed(docs: DataFrame, ratio: np.ndarray, n_grams: str, weight: str, keep
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, w = [], []
-            for text in batch.column(at):
-                grams = ngrams(text.as_py())
-                n.append(len(grams))
-                w.append(float(shared.value[grams].sum()))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(keep)], pa.array(n, pa.int64()), pa.array(w, pa.float64())], names=[*keep, n_grams, weight]
-            )
+            n, w = np.zeros(len(batch.column(at)), np.int64), np.zeros(len(batch.column(at)))
+            for first, texts in _blocks(batch.column(at)):
+                grams, owner = ngrams(texts)
+                rows = slice(first, first + len(texts))
+                n[rows] = np.bincount(owner, minlength=len(texts))
+                # Summed in the order of each text's own n-grams, so copies weigh the same.
+                w[rows] = np.bincount(owner, shared.value[grams], minlength=len(texts))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(n), pa.array(w)], names=[*keep, n_grams, weight])
 
     more = [T.StructField(n_grams, T.LongType()), T.StructField(weight, T.DoubleType())]
     return given.mapInArrow(run, T.StructType([*[given.schema[c] for c in keep], *more]))
