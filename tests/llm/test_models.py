@@ -285,6 +285,15 @@ def test_shapes_know_every_script():
     assert {w: quality_resample.shape(w) for w in SHAPES} == SHAPES
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(list("abAB1.ǅªʰ日é"))), min_size=1, max_size=12))
+def test_the_short_way_to_a_shape_is_the_same(word):
+    want = word
+    for pattern, symbol in quality_resample._RUNS:
+        want = pattern.sub(symbol, want)
+    assert quality_resample.shape(word) == want
+
+
 def test_weights_and_keys_equal_brute_force(spark, docs, prose):
     """The hashed generative models, the log ratio and the Gumbel keys in plain Python."""
     q, m64 = quality_resample, (1 << 64) - 1
