@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; stage results are
 written as Parquet in the shared folder and read again by the next stage.
+
+Defined results. A null, empty or blank text has neutral importance and no toxic
+sentence, is one near-duplicate group with the other such texts, and encodes to no
+token. Every row is judged by its own text, whatever its ``doc_id``; repeated rows
+are near duplicates of each other. Extra columns of any name are kept up to the last
+stage. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -55,5 +61,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: Learned verdicts have no SQL form; tests/llm holds run() against brute force.
+#: Learned verdicts have no SQL form. tests/llm compares run() with its stages, and
+#: each stage's operator with a brute-force version.
 ORACLE_SQL = None
