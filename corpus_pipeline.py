@@ -61,6 +61,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: Learned verdicts have no SQL form. tests/llm compares run() with its stages, and
-#: each stage's operator with a brute-force version.
+#: Learned verdicts have no SQL form. tests/llm compares run() with its stages and with
+#: the five decisions in plain Python.
 ORACLE_SQL = None
