@@ -1,10 +1,14 @@
 import hashlib
+import math
+import random
 import re
+import struct
 import zlib
 from collections import Counter
 
 import pyarrow.parquet as pq
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from orrery.llm import common, decontaminate, quality_rules, sharding
@@ -212,6 +216,78 @@ def test_rules_are_learned_and_ordered(spark, prose):
     assert all(r["rule"] for r in got.values() if not r["kept"] and not r["base_failed"])
 
 
+def slow_list(rows, bad):
+    """Sequential covering over ratios of labelled rows, condition by condition."""
+    names = list(quality_rules.FEATURES)
+    order = {f: sorted(r[f] for _, r in rows) for f in names}
+    cuts = {f: sorted({v[max(1, math.ceil(q * len(v))) - 1] for q in quality_rules.CUTS}) for f, v in order.items()}
+    hold = {d: ((xxhash.xxh64_intdigest(struct.pack("<q", d), 42) + 2**63) % 2**64 - 2**63) % 3 == 0 for d, _ in rows}
+
+    def fires(rule, r):
+        return all((r[f] > c) == above for f, above, c in rule)
+
+    def share(part, rule):
+        hit = [bad[d] for d, r in part if fires(rule, r)]
+        return sum(hit), len(hit)
+
+    rules, left = [], rows
+    while len(rules) < quality_rules.MAX_RULES:
+        grow, rule = [x for x in left if not hold[x[0]]], []
+        while len(rule) < quality_rules.MAX_CONDITIONS:
+            p0, all0 = share(grow, rule)
+            best, most = None, 1e-9
+            for f, c, above in ((f, c, above) for f in names for c in cuts[f] for above in (True, False)):
+                p, n = share(grow, [*rule, (f, above, c)])
+                if p and p0 < all0:
+                    gain = p * (math.log2(p / n) - math.log2(p0 / all0))
+                    if gain > most:
+                        best, most = (f, above, c), gain
+            if best is None:
+                break
+            rule.append(best)
+        held = [x for x in left if hold[x[0]]]
+        while len(rule) > 1:
+            (p, n), (q, m) = share(held, rule), share(held, rule[:-1])
+            if q / (m or 1) < p / (n or 1):
+                break
+            rule.pop()
+        p, n = share(left, rule)
+        if not rule or n < quality_rules.MIN_COVER or p < quality_rules.MIN_PRECISION * n:
+            break
+        rules.append(rule)
+        left = [x for x in left if not fires(rule, x[1])]
+    return rules
+
+
+def test_learned_list_equals_plain_covering(spark):
+    rng, rows, labels = random.Random(3), [], []
+    for d in range(600):
+        n = rng.randint(15, 60)
+        bad = d % 3 == 0
+        r = [d, n, 5 * n + rng.randint(0, n), rng.randint(0, 3), rng.randint(0, 2), rng.randint(0, n // 5), rng.randint(0, n), rng.randint(0, 2), rng.randint(0, 2)]
+        if bad:
+            k = rng.choice([3, 6, 7, 8])
+            r[k] += rng.randint(n // 3, 2 * n)
+        rows.append(tuple(r))
+        labels.append((d, int(not bad) ^ (rng.random() < 0.04)))
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_bang", "n_echo"]
+    stats = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in names))
+    got = quality_rules.learn(stats, spark.createDataFrame(labels, "doc_id long, quality int"))
+    ratio = {
+        "symbols_per_word": lambda r: r["n_symbols"] / r["n_words"], "repeat_share": lambda r: r["n_repeat_words"] / r["n_words"],
+        "upper_share": lambda r: r["n_upper"] / r["word_chars"], "bang_per_word": lambda r: r["n_bang"] / r["n_words"],
+        "dup_lines": lambda r: float(r["n_dup_lines"]), "chars_per_word": lambda r: r["word_chars"] / r["n_words"],
+        "echo_share": lambda r: r["n_echo"] / r["n_words"],
+    }
+    named = [dict(zip(names, r)) for r in rows]
+    named = [r for r in named if r["n_words"] >= 20 and 100 * r["n_repeat_words"] <= 30 * r["n_words"]]
+    want = slow_list([(r["doc_id"], {f: ratio[f](r) for f in ratio}) for r in named], {d: 1 - y for d, y in labels})
+    assert len(want) >= 2 and [[(c.feature, c.above, c.cut) for c in rule] for rule in got] == want
+    first = {r["doc_id"]: next((k for k, rule in enumerate(want, 1) if all((ratio[f](r) > c) == above for f, above, c in rule)), 0) for r in named}
+    fired = stats.withColumn("fired", quality_rules.verdict(got)).select("doc_id", "fired").collect()
+    assert {r["doc_id"]: r["fired"] for r in fired if r["doc_id"] in first} == first
+
+
 def test_rules_without_labels(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, quality int")
     got = quality_rules.judge(docs, none).collect()
