@@ -12,7 +12,7 @@ other labelled urls only (its own label is left out), so training sees what
 scoring will see.
 
 Defined results. Null url or one without ``://``: host and path empty, no rule,
-judged by the trees. No labels or a single class among them: the method's
+judged by the trees. A port, empty ones included, is no part of a suffix. No labels or a single class among them: the method's
 verdict is that class, or allow. Repeated rows are judged each; extra columns
 are ignored.
 """
@@ -90,8 +90,8 @@ def lexical(urls: DataFrame, key: str) -> DataFrame:
         key,
         "host",
         "path",
-        F.regexp_extract("host", r"([^.:]*)(:\d+)?$", 1).alias("last"),
-        F.regexp_extract("host", r"([^.]*\.[^.:]*)(:\d+)?$", 1).alias("two"),
+        F.regexp_extract("host", r"([^.:]*)(:\d*)?$", 1).alias("last"),
+        F.regexp_extract("host", r"([^.]*\.[^.:]*)(:\d*)?$", 1).alias("two"),
         F.length("url").cast("double").alias("url_length"),
         F.length("host").cast("double").alias("host_length"),
         F.length("path").cast("double").alias("path_length"),
