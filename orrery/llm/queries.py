@@ -11,12 +11,15 @@ from orrery.llm import (
     decontaminate,
     language_id,
     lm_scoring,
+    periodic_runs,
     quality_resample,
     quality_rules,
     sharding,
     simhash,
+    substring_dedup,
     toxicity,
     url_filter,
+    whitening,
 )
 from orrery.llm.common import read_table
 
@@ -66,6 +69,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(read_table(spark, sf_dir, "documents"), order=periodic_runs.planted_order)
+    return periodic_runs.digest(found)
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.remove_later_copies(read_table(spark, sf_dir, "documents")))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -79,6 +95,9 @@ QUERIES = {
         op8_quality_rules,
         op9_toxicity,
         op10_decontamination,
+        op11_periodic_runs,
+        op12_substring_dedup,
+        op13_whitening,
     )
 }
 
