@@ -1,21 +1,23 @@
 """Removal of byte strings that an earlier document has, by longest previous factors.
 
 A byte goes if a string of WINDOW bytes covers it that also starts in a document with
-a smaller ``doc_id``. Every such string, called a window, is found by the least hash
-among its GRAM-byte strings: equal windows have the same one, and neighbouring windows
-mostly share it, so a text falls into segments of up to WINDOW - GRAM + 1 windows.
-
-1. Hashes that two documents hold are told from a bitmap of fixed size, built from the
-   distinct hashes of each part of the corpus. It only spares work: past its capacity
-   it lets more through, and nothing is lost.
-2. Equal segments with such a hash become one, with the least ``doc_id`` that has it,
-   before anything is shuffled. Where a later document has the segment, all of it goes.
-3. Different segments that share a hash meet in a block. Their windows are put in
-   suffix order, and the previous and the next smaller document there give the longest
-   previous factor of each; WINDOW bytes or more mean an earlier match. Hashes with
-   very many different segments, as at the edges of a text that a third of all
-   documents quote, are split by whole windows instead.
-4. The findings return to the texts as spans, and the rest of each text is kept.
+a smaller ``doc_id``. Every such string, called a window, is found by an anchor: the
+first of those GRAM-byte strings in it that have the least hash. Equal windows have it
+in the same place, and neighbouring windows mostly share it, so a text falls into
+segments of up to WINDOW - GRAM + 1 windows with one anchor.
+
+1. Anchors that two rows hold are told from a bitmap of fixed size, built from the
+   distinct hashes of each part of the corpus. A second bitmap does the same for longer
+   strings around those anchors: a window reaches SIDE bytes beyond its anchor on the
+   left or on the right. Bitmaps only spare work: past their capacity they let more
+   through, and nothing is lost.
+2. The segments that remain meet by anchor. Equal ones become one, with the least
+   ``doc_id`` that has it; where a later document has it, all of it goes. The windows of
+   different ones are put in suffix order, and the previous and the next smaller
+   document there give the longest previous factor of each: WINDOW bytes or more mean an
+   earlier match. Anchors with very many segments, as at the edges of a text that a
+   third of all documents quote, are split by whole windows instead.
+3. The findings return to the texts as spans, and the rest of each text is kept.
 
 Defined results. A null text is empty; a text shorter than WINDOW loses nothing. A row
 without ``doc_id`` has no smaller and is smaller than none: it keeps all and takes
@@ -26,7 +28,7 @@ integer. Columns of any other name are ignored. An empty table gives an empty re
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,18 +40,21 @@ from orrery.llm.suffixes import previous_factors
 from orrery.operators.skew import join_counted
 
 WINDOW, GRAM = 50, 24
-#: Windows of a segment at most: those that one string of GRAM bytes can be the least of.
+#: Windows of a segment at most: those that one string of GRAM bytes can be in.
 SPAN = WINDOW - GRAM + 1
-#: The bitmap of shared hashes: SLICES x 4096 bytes, 32 MB, whatever the corpus.
+#: Bytes beyond its anchor that every window has on one side, at least.
+SIDE = (WINDOW - GRAM) // 2
+#: A bitmap of shared hashes: SLICES x 4096 bytes, 32 MB, whatever the corpus.
 SLICES, SLICE_BITS = 8192, 32_768
-#: Distinct hashes gathered before they are sent on, and texts worked on at once.
-FLUSH, BLOCK_BYTES = 4_000_000, 2 << 20
-#: Different segments of one hash beyond which they are split by whole windows.
-HOT_SEGMENTS = 20_000
+#: Distinct hashes gathered before they are sent on, and bytes of text worked on at once.
+FLUSH, BLOCK_BYTES = 4_000_000, 1 << 20
+#: Segments with one anchor beyond which they are split by whole windows.
+HOT_SEGMENTS = 50_000
 #: Segments that are put in suffix order at once, more or less.
 BLOCK_SEGMENTS = 40_000
-#: Fixed odd factors of the hash.
+#: Fixed odd factors of the hashes.
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9], np.uint64)
+Keys = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def words_at(data: np.ndarray) -> np.ndarray:
@@ -63,12 +68,12 @@ def words_at(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def segments(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, windows) of the segments of texts that lie one after another."""
+def segments(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, windows, anchor) of the segments of texts that lie one after another."""
     none = np.zeros(0, np.int64)
     n = len(data) - WINDOW + 1
     if n <= 0:
-        return none.astype(np.uint64), none, none
+        return none.astype(np.uint64), none, none, none
     at = words_at(data)
     m = len(data) - GRAM + 1
     h = at[:m] * MIX[0]
@@ -78,32 +83,98 @@ def segments(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
     h ^= h >> np.uint64(32)
     h *= MIX[3]
     h ^= h >> np.uint64(31)
-    least, reach = h, 1
+    # The first least hash of each window, by blocks of doubled length.
+    least, off, reach = h, np.zeros(m, np.uint8), 1
+
+    def merged(least: np.ndarray, off: np.ndarray, by: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+        right = least[by : by + size] < least[:size]
+        return np.minimum(least[:size], least[by : by + size]), np.where(right, off[by : by + size] + np.uint8(by), off[:size])
+
     while 2 * reach <= SPAN:
-        least = np.minimum(least[:-reach], least[reach:])
+        least, off = merged(least, off, reach, len(least) - reach)
         reach *= 2
-    least = np.minimum(least[:n], least[SPAN - reach : SPAN - reach + n])
-    # Windows inside one text, cut where text or hash change and after SPAN windows.
+    least, off = merged(least, off, SPAN - reach, n)
+    anchor = np.arange(n) + off
+    # Windows inside one text, cut where the anchor changes.
     ends = np.cumsum(lengths)
     fits = np.maximum(lengths - WINDOW + 1, 0)
     first = ends - lengths
-    valid = np.zeros(n + 1, np.int32)
+    change = np.zeros(n + 1, np.int32)
     has = fits > 0
-    np.add.at(valid, first[has], 1)
-    np.add.at(valid, first[has] + fits[has], -1)
-    inside = np.cumsum(valid[:-1]) > 0
+    np.add.at(change, first[has], 1)
+    np.add.at(change, first[has] + fits[has], -1)
+    inside = np.cumsum(change[:-1]) > 0
     cut = np.ones(n, bool)
-    cut[1:] = (least[1:] != least[:-1]) | (inside[1:] != inside[:-1])
+    cut[1:] = (anchor[1:] != anchor[:-1]) | (inside[1:] != inside[:-1])
     cut[first[has]] = True
     start = np.flatnonzero(cut)
     size = np.diff(np.append(start, n))
-    start, size = start[inside[start]], size[inside[start]]
-    pieces = -(-size // SPAN)
-    if len(pieces) and pieces.max() > 1:
-        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        start, left = np.repeat(start, pieces) + nth * SPAN, np.repeat(size, pieces) - nth * SPAN
-        size = np.minimum(left, SPAN)
-    return least[start], start, size
+    mine = inside[start]
+    start, size = start[mine], size[mine]
+    return least[start], start, size, anchor[start]
+
+
+def _mixed(at: np.ndarray, where: np.ndarray, offsets: tuple[int, ...], tag: int) -> np.ndarray:
+    h = np.full(len(where), tag, np.uint64) * MIX[1]
+    for k, o in enumerate(offsets):
+        h ^= at[where + o] * MIX[k % 3]
+        h ^= h >> np.uint64(29)
+        h *= MIX[3]
+    return h ^ (h >> np.uint64(32))
+
+
+def sides(data: np.ndarray, start: np.ndarray, size: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For segments: whether they have windows that reach SIDE bytes to the left of the
+    anchor, hashes of the anchor with these bytes, and the same for the right."""
+    at = words_at(data)
+    left, right = start <= anchor - SIDE, start + size - 1 >= anchor - SIDE
+    long = GRAM + SIDE
+    offsets = (*range(0, long - 8, 8), long - 8)
+    safe = np.where(left, anchor - SIDE, anchor)
+    return left, _mixed(at, safe, offsets, 1), right, _mixed(at, np.where(right, anchor, 0), offsets, 2)
+
+
+def has_bit(flags: np.ndarray, h: np.ndarray) -> np.ndarray:
+    bit = ((h >> np.uint64(51)) * np.uint64(SLICE_BITS) + h % np.uint64(SLICE_BITS)).astype(np.int64)
+    return (flags[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
+
+
+def anchor_keys(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, place) of all anchors."""
+    h, start, _, _ = segments(data, lengths)
+    return h, start
+
+
+def side_keys(anchors) -> Keys:
+    """(hash, place) of the longer strings around anchors that are in a bitmap."""
+
+    def keys(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        h, start, size, anchor = segments(data, lengths)
+        keep = has_bit(np.frombuffer(anchors.value, np.uint8), h)
+        start, size, anchor = start[keep], size[keep], anchor[keep]
+        left, hl, right, hr = sides(data, start, size, anchor)
+        both = np.concatenate([hl[left], hr[right]]), np.concatenate([start[left], start[right]])
+        by = np.argsort(both[1], kind="stable")
+        return both[0][by], both[1][by]
+
+    return keys
+
+
+def candidates(data: np.ndarray, lengths: np.ndarray, anchors, longer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, windows) of segments that another row may have, cut down to the
+    windows whose longer string may be shared."""
+    h, start, size, anchor = segments(data, lengths)
+    keep = has_bit(np.frombuffer(anchors.value, np.uint8), h)
+    h, start, size, anchor = h[keep], start[keep], size[keep], anchor[keep]
+    flags = np.frombuffer(longer.value, np.uint8)
+    left, hl, right, hr = sides(data, start, size, anchor)
+    left &= has_bit(flags, hl)
+    right &= has_bit(flags, hr)
+    turn = anchor - SIDE  # the window that has SIDE bytes on both sides
+    lo = np.where(left, start, np.maximum(start, turn))
+    hi = np.where(right, start + size, np.minimum(start + size, turn + 1))
+    keep = (left | right) & (hi > lo)
+    return h[keep], lo[keep], (hi - lo)[keep]
 
 
 def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -121,8 +192,8 @@ def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarra
             total += len(text)
 
 
-def shared_hashes(docs: DataFrame) -> bytes:
-    """The bitmap of hashes that two rows hold, or more: SLICES x SLICE_BITS bits.
+def shared_hashes(docs: DataFrame, keys: Keys) -> bytes:
+    """The bitmap of ``keys`` that two rows hold, or more: SLICES x SLICE_BITS bits.
 
     It has the same size whatever the corpus. Each part of the corpus sends its
     distinct hashes once, six bytes each, so a frequent one is not sent per document.
@@ -151,7 +222,7 @@ def shared_hashes(docs: DataFrame) -> bytes:
 
         for batch in batches:
             for _, data, sizes in _blocks(batch, 0):
-                h, start, _ = segments(data, sizes)
+                h, start = keys(data, sizes)
                 if len(h):
                     held.append(h)
                     rows.append(row + np.searchsorted(np.cumsum(sizes), start, side="right"))
@@ -193,45 +264,68 @@ def shared_hashes(docs: DataFrame) -> bytes:
     return bytes(whole)
 
 
-def occurrences(docs: DataFrame, bitmap, with_bytes: bool) -> DataFrame:
-    """Segments whose hash the broadcast ``bitmap`` has.
+SPANS = "array<struct<from: long, to: long>>"
 
-    hash, segment (its bytes) and doc_id, or, without the bytes, hash, id (of the
-    segment), doc_id, text_id, start and length.
-    """
-    names = ["hash", "doc_id", "segment"] if with_bytes else ["hash", "doc_id", "segment", "text_id", "start"]
+
+def occurrences(docs: DataFrame, anchors, longer) -> DataFrame:
+    """Every candidate segment: hash, id (of its bytes), doc_id, text_id, start, length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.frombuffer(bitmap.value, np.uint8)
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            texts = batch.column(1).to_numpy()
+            ids, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for row, data, sizes in _blocks(batch, 2):
-                h, start, size = segments(data, sizes)
-                bit = (h >> np.uint64(51)) * np.uint64(SLICE_BITS) + (h % np.uint64(SLICE_BITS))
-                bit = bit.astype(np.int64)
-                keep = (flags[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
-                h, start, size = h[keep], start[keep], size[keep]
-                owner = np.searchsorted(np.cumsum(sizes), start, side="right")
+                h, start, size = candidates(data, sizes, anchors, longer)
+                owner = row + np.searchsorted(np.cumsum(sizes), start, side="right")
+                begin = start - (np.cumsum(sizes) - sizes)[owner - row]
                 raw = data.tobytes()
                 blobs = [raw[a : a + b + WINDOW - 1] for a, b in zip(start.tolist(), size.tolist())]
-                out = [pa.array(h.view(np.int64)), pa.array(ids[row + owner]), pa.array(blobs, pa.binary())]
-                if not with_bytes:
-                    begin = start - (np.cumsum(sizes) - sizes)[owner]
-                    out += [pa.array(texts[row + owner]), pa.array(begin, pa.int64())]
-                yield pa.RecordBatch.from_arrays(out, names=names)
+                out = [h.view(np.int64), ids[owner], texts[owner], begin]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, out), pa.array(blobs, pa.binary())], names=["hash", "doc_id", "text_id", "start", "segment"])
+
+    found = _texts(docs).mapInArrow(run, "hash long, doc_id long, text_id long, start long, segment binary")
+    return found.select("hash", F.xxhash64("segment").alias("id"), "doc_id", "text_id", "start", F.octet_length("segment").cast("long").alias("length"))
+
+
+def with_bytes(docs: DataFrame, anchors, longer) -> DataFrame:
+    """hash, id, doc_id, n and segment (its bytes) of candidate segments; equal ones among
+    neighbouring texts only once, with the least doc_id and how many they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            least: dict[tuple[int, bytes], tuple[int, int]] = {}
+            for row, data, sizes in _blocks(batch, 2):
+                h, start, size = candidates(data, sizes, anchors, longer)
+                owner = ids[row + np.searchsorted(np.cumsum(sizes), start, side="right")]
+                raw = data.tobytes()
+                for x, a, b, doc in zip(h.view(np.int64).tolist(), start.tolist(), size.tolist(), owner.tolist()):
+                    one = x, raw[a : a + b + WINDOW - 1]
+                    had, n = least.get(one, (doc, 0))
+                    least[one] = min(doc, had), n + 1
+                if len(least) > 200_000:
+                    yield _segment_batch(least)
+                    least = {}
+            if least:
+                yield _segment_batch(least)
 
-    rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
-    extra = "" if with_bytes else ", text_id long, start long"
-    found = rows.mapInArrow(run, f"hash long, doc_id long, segment binary{extra}")
-    if with_bytes:
-        return found
-    return found.select("hash", F.xxhash64("segment").alias("id"), "doc_id", "text_id", "start", F.octet_length("segment").alias("length"))
+    found = _texts(docs).mapInArrow(run, "hash long, doc_id long, n long, segment binary")
+    return found.select("hash", F.xxhash64("segment").alias("id"), "doc_id", "n", "segment")
+
+
+def _segment_batch(least: dict[tuple[int, bytes], tuple[int, int]]) -> pa.RecordBatch:
+    numbers = [pa.array(x, pa.int64()) for x in ([k[0] for k in least], *zip(*least.values()))]
+    return pa.RecordBatch.from_arrays([*numbers, pa.array([k[1] for k in least], pa.binary())], names=["hash", "doc_id", "n", "segment"])
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    rows = docs.where("doc_id is not null and text is not null")
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
 
 
 def factor_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of segments (hash, id, first, segment) in the order of their hashes: hash, id and
-    the spans (from, to) whose windows an earlier document has in another segment."""
+    """Of segments (hash, id, doc_id, n, segment) in the order of hash and segment: hash, id,
+    the first document, how many rows have it, and the spans (from, to) whose windows a
+    document before the first has in another segment."""
     held: list[pa.RecordBatch] = []
     count = 0
     for batch in batches:
@@ -246,40 +340,91 @@ def factor_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cut = int(other[0]) if len(other) else batch.num_rows
             if cut:
                 held.append(batch.slice(0, cut))
-                count += cut
                 batch = batch.slice(cut)
             if len(other):
-                yield _factor_block(pa.Table.from_batches(held).combine_chunks())
+                yield _factor_block(held)
                 held, count = [], 0
     if held:
-        yield _factor_block(pa.Table.from_batches(held).combine_chunks())
-
-
-def _factor_block(table: pa.Table) -> pa.RecordBatch:
-    first = table["first"].to_numpy()
-    blobs = table["segment"].to_pylist()
-    data = np.frombuffer(b"".join(blobs), np.uint8)
+        yield _factor_block(held)
+
+
+def _factor_block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    hashes, ids, docs, n = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in range(4))
+    blobs = [x for b in held for x in b.column(4).to_pylist()]
+    new = np.fromiter((k == 0 or x != blobs[k - 1] for k, x in enumerate(blobs)), bool, len(blobs))
+    head = np.flatnonzero(new)
+    first, rows = np.minimum.reduceat(docs, head), np.add.reduceat(n, head)
+    blobs = [blobs[k] for k in head]
+    # A segment that is alone with its anchor has no other to match.
+    anchor = hashes[head]
+    alone = np.ones(len(head), bool)
+    alone[1:] &= anchor[1:] != anchor[:-1]
+    alone[:-1] &= anchor[1:] != anchor[:-1]
     length = np.array([len(b) for b in blobs])
-    windows = length - WINDOW + 1
+    windows = np.where(alone, 0, length - WINDOW + 1)
     of = np.repeat(np.arange(len(blobs)), windows)
-    nth = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
     at = (np.cumsum(length) - length)[of] + nth
-    order, lcp = window_order(data, at)
+    order, lcp = window_order(np.frombuffer(b"".join(blobs), np.uint8), at)
     factor = np.empty(len(at), np.int64)
     factor[order] = previous_factors(first[of[order]], lcp)
     earlier = factor >= WINDOW
     # Neighbouring windows of one segment become one span.
-    edge = earlier.copy()
+    edge, stop = earlier.copy(), earlier.copy()
     edge[1:] &= ~(earlier[:-1] & (of[1:] == of[:-1]))
-    stop = earlier.copy()
     stop[:-1] &= ~(earlier[1:] & (of[1:] == of[:-1]))
     a, b = np.flatnonzero(edge), np.flatnonzero(stop)
-    bounds = np.concatenate([[0], np.cumsum(np.bincount(of[a], minlength=len(blobs)))])
+    held_by = np.bincount(of[a], minlength=len(blobs))
+    keep = np.flatnonzero((rows > 1) | (held_by > 0))
+    bounds = np.concatenate([[0], np.cumsum(held_by[keep])])
     spans = pa.StructArray.from_arrays([pa.array(nth[a]), pa.array(nth[b] + WINDOW)], names=["from", "to"])
+    out = [pa.array(x[keep]) for x in (anchor, ids[head], first, rows)]
     lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), spans)
-    cols = [table[c].combine_chunks() for c in ("hash", "id")]
-    cols = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in cols]
-    return pa.RecordBatch.from_arrays([*cols, lists], names=["hash", "id", "spans"])
+    return pa.RecordBatch.from_arrays([*out, lists], names=["hash", "id", "first", "n", "spans"])
+
+
+def by_window(rows: DataFrame) -> DataFrame:
+    """What ``factor_spans`` gives, for anchors with very many segments: every window is
+    joined to the first document that has it."""
+    own = rows.groupBy("hash", "id").agg(F.min("doc_id").alias("first"), F.sum("n").alias("n"), F.min("segment").alias("segment"))
+    own = materialise(own, "hot-segments")
+    nth = F.sequence(F.lit(0), F.octet_length("segment") - WINDOW)
+    each = own.select("hash", "id", "first", "segment", F.explode(nth).alias("nth"))
+    each = each.select("hash", "id", "first", "nth", F.substring(F.col("segment"), F.col("nth") + 1, F.lit(WINDOW)).alias("window"))
+    least = materialise(each.groupBy("window").agg(F.min("first").alias("least"), F.count("*").alias("n")), "windows")
+    late = join_counted(each, least, "window", "n").where("least < first")
+    span = F.struct(F.col("nth").cast("long").alias("from"), (F.col("nth") + WINDOW).cast("long").alias("to"))
+    found = late.groupBy("hash", "id").agg(F.collect_list(span).alias("spans"))
+    return own.drop("segment").join(found, ["hash", "id"], "left").withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
+
+
+def earlier_spans(docs: DataFrame, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
+    """(doc_id, text_id, spans): the spans of bytes, of each text that has any, that an
+    earlier document has; they may overlap. ``text_id`` is the xxhash64 of the text."""
+    spread = docs.sparkSession.sparkContext.broadcast
+    anchors = spread(shared_hashes(docs, anchor_keys))
+    longer = spread(shared_hashes(docs, side_keys(anchors)))
+    rows = materialise(occurrences(docs, anchors, longer), "occurrences")
+    hot = materialise(rows.groupBy("hash").agg(F.count("*").alias("of")).where(F.col("of") > hot_segments).select("hash"), "hot-anchors")
+    cold = with_bytes(docs, anchors, longer)
+    n_hot = hot.count()
+    few = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
+    if n_hot:
+        cold = cold.join(few, "hash", "left_anti")
+    placed = cold.repartition("hash").sortWithinPartitions("hash", "segment")
+    findings = placed.mapInArrow(factor_spans, f"hash long, id long, first long, n long, spans {SPANS}")
+    if n_hot:
+        findings = findings.unionByName(by_window(with_bytes(docs, anchors, longer).join(few, "hash", "left_semi")))
+    # All of a segment goes in documents after its first; in the first, what was found.
+    key = F.struct("hash", "id").alias("at")
+    known = materialise(findings.select(key, "first", "n", "spans"), "findings")
+    span = lambda a, b: F.struct(a.cast("long").alias("from"), b.cast("long").alias("to"))
+    start = F.col("start")
+    whole = F.array(span(start, start + F.col("length")))
+    own = F.transform("spans", lambda x: span(start + x["from"], start + x["to"]))
+    joined = join_counted(rows.select(key, "doc_id", "text_id", "start", "length"), known, "at", "n")
+    late = joined.withColumn("spans", F.when(F.col("doc_id") > F.col("first"), whole).otherwise(own)).where("size(spans) > 0")
+    return late.groupBy("doc_id", "text_id").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 def window_order(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -317,50 +462,6 @@ def window_order(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return order, lcp
 
 
-def by_window(hot: DataFrame) -> DataFrame:
-    """The same as ``factor_spans`` for hashes with very many segments: every window is
-    joined to the first document that has it."""
-    nth = F.sequence(F.lit(0), F.octet_length("segment") - WINDOW)
-    each = hot.select("hash", "id", "first", "segment", F.explode(nth).alias("nth"))
-    each = each.select("hash", "id", "first", "nth", F.substring(F.col("segment"), F.col("nth") + 1, F.lit(WINDOW)).alias("window"))
-    least = materialise(each.groupBy("window").agg(F.min("first").alias("least"), F.count("*").alias("n")), "windows")
-    late = join_counted(each, least, "window", "n").where("least < first")
-    span = F.struct(F.col("nth").cast("long").alias("from"), (F.col("nth") + WINDOW).cast("long").alias("to"))
-    return late.groupBy("hash", "id").agg(F.collect_list(span).alias("spans"))
-
-
-def earlier_spans(docs: DataFrame, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
-    """(doc_id, text_id, spans): the spans of bytes, of each text that has any, that an
-    earlier document has; they may overlap. ``text_id`` is the xxhash64 of the text."""
-    spark = docs.sparkSession
-    bitmap = spark.sparkContext.broadcast(shared_hashes(docs))
-    found = occurrences(docs, bitmap, True).groupBy("hash", "segment").agg(
-        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")
-    )
-    table = materialise(found.withColumn("id", F.xxhash64("segment")), "segments")
-    hot = materialise(table.groupBy("hash").agg(F.count("*").alias("of")).where(F.col("of") > hot_segments).select("hash"), "hot-hashes")
-    cold, wide = table, None
-    if n_hot := hot.count():
-        few = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
-        cold, wide = table.join(few, "hash", "left_anti"), table.join(few, "hash", "left_semi")
-    placed = cold.select("hash", "id", "first", "segment").repartition("hash").sortWithinPartitions("hash")
-    factors = placed.mapInArrow(factor_spans, "hash long, id long, spans array<struct<from: long, to: long>>").where("size(spans) > 0")
-    if wide is not None:
-        factors = factors.unionByName(by_window(wide))
-    # All of a segment goes in documents after its first; in the first, what was found.
-    # A segment of one document needs no more than the findings.
-    key = F.struct("hash", "id").alias("at")
-    known = table.select("hash", "id", "first", "last", "n").join(factors, ["hash", "id"], "left")
-    known = materialise(known.where("last > first or spans is not null").select(key, "first", "n", "spans"), "findings")
-    rows = materialise(occurrences(docs, bitmap, False), "occurrences").select(key, "doc_id", "text_id", "start", "length")
-    span = lambda a, b: F.struct(a.cast("long").alias("from"), b.cast("long").alias("to"))
-    start = F.col("start")
-    whole = F.array(span(start, start + F.col("length")))
-    own = F.transform("spans", lambda x: span(start + x["from"], start + x["to"]))
-    joined = join_counted(rows, known, "at", "n").withColumn("spans", F.when(F.col("doc_id") > F.col("first"), whole).otherwise(own))
-    return joined.where("spans is not null").groupBy("doc_id", "text_id").agg(F.flatten(F.collect_set("spans")).alias("spans"))
-
-
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, removed, kept = [], [], []
@@ -391,11 +492,17 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_later_copies(docs: DataFrame, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """doc_id, n_bytes, removed (maximal spans of start and length, in bytes) and kept
-    (the other bytes, one after another) for every row of ``docs``."""
+    (the other bytes, one after another) for every row of ``docs``.
+
+    The spans are broadcast to the texts up to MAX_BROADCAST_ROWS documents that have
+    any; beyond, texts and spans meet by a shuffle.
+    """
     kind = dict(docs.dtypes)["doc_id"]
-    spans = earlier_spans(docs, hot_segments).withColumnRenamed("doc_id", "_doc")
+    spans = materialise(earlier_spans(docs, hot_segments).withColumnsRenamed({"doc_id": "_doc", "text_id": "_text"}), "spans")
+    if spans.count() <= MAX_BROADCAST_ROWS:
+        spans = F.broadcast(spans)
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_id"))
-    both = texts.join(spans, (texts["doc_id"].cast("long") == spans["_doc"]) & (texts["text_id"] == spans["text_id"]), "left")
+    both = texts.join(spans, (texts["doc_id"].cast("long") == spans["_doc"]) & (texts["text_id"] == spans["_text"]), "left")
     schema = f"doc_id {kind}, n_bytes long, removed array<struct<start: long, length: long>>, kept binary"
     return both.select("doc_id", "text", "spans").mapInArrow(_keep, schema)
 

@@ -194,16 +194,17 @@ def test_segments_hold_every_window_once():
     rng = np.random.default_rng(1)
     texts = [rng.integers(97, 100, n).astype(np.uint8) for n in (0, 49, 50, 51, 400, 3, 90)] + [np.full(300, 97, np.uint8)]
     lengths = np.array([len(t) for t in texts])
-    h, start, size = substring_dedup.segments(np.concatenate(texts), lengths)
+    h, start, size, anchor = substring_dedup.segments(np.concatenate(texts), lengths)
     got = sorted(s + k for s, n in zip(start.tolist(), size.tolist()) for k in range(n))
     base = np.cumsum(lengths) - lengths
     assert got == [b + k for b, n in zip(base.tolist(), lengths.tolist()) for k in range(n - 49)]
     assert size.max() <= substring_dedup.SPAN
-    # The hash of a window is that of its text alone.
+    # Anchor and hash of a window are those of its text alone.
     data, seen = np.concatenate(texts), {}
-    for x, s, n in zip(h.tolist(), start.tolist(), size.tolist()):
+    for x, s, n, a in zip(h.tolist(), start.tolist(), size.tolist(), anchor.tolist()):
         for k in range(n):
-            assert seen.setdefault(data[s + k : s + k + 50].tobytes(), x) == x
+            assert seen.setdefault(data[s + k : s + k + 50].tobytes(), (x, a - s - k)) == (x, a - s - k)
+            assert 0 <= a - s - k <= 26
 
 
 # --- whitening ------------------------------------------------------------------------
