@@ -207,6 +207,14 @@ K | perovskite 0.002, hibonite 0.003
 L | perovskite 0.003, hibonite 0.005
 """
 
+# Classes whose estimate may lie below the measured bodies, and why.
+BELOW_BECAUSE = {
+    "B": "measured ones are large",
+    "K": "one body is measured",
+    "Sq": "measured ones are large",
+    "Xc": "two bodies are measured",
+}
+
 
 def _rows(text: str) -> list[tuple]:
     """One tuple per class and phase; numbers last."""
@@ -294,3 +302,7 @@ def refined_accessories(spark: SparkSession) -> DataFrame:
 
 def phases(spark: SparkSession) -> DataFrame:
     return _frame(spark, phase_order(), "phase string, grp string, place int")
+
+
+def below_because(spark: SparkSession) -> DataFrame:
+    return _frame(spark, list(BELOW_BECAUSE.items()), "class string, reason string")

@@ -1,4 +1,4 @@
-"""Whole-table audits, the publish gate and gated publication."""
+"""Whole-table audits."""
 
 from __future__ import annotations
 
@@ -9,9 +9,6 @@ from orrery.functions import dims
 from orrery.functions import physics as P
 from orrery.operators.validate import counted, infinite
 
-#: Floors and shrink limits of a release; parameters of the gate.
-ROW_FLOOR, MEASURED_FLOOR = 1_500_000, 135_000
-MAX_SHRINK_ROWS, MAX_SHRINK_SOURCE = 0.005, 0.02
 #: Keys whose diameter must be measured.
 REFERENCE_KEYS = ["1", "2", "4", "16", "433"]
 
@@ -108,72 +105,3 @@ def reference_check(df: DataFrame, spark: SparkSession, keys: list[str] = REFERE
     have = df.groupBy("designation").agg(F.min("diameter_source").alias("src"), F.count("*").alias("n"))
     status = F.when(F.col("n").isNull(), "missing").when(F.col("src") == "measured", "ok").otherwise(F.coalesce("src", F.lit("none")))
     return F.broadcast(want).join(have, "designation", "left").select("designation", status.alias("status"))
-
-
-def metrics(df: DataFrame) -> DataFrame:
-    """One row: what the gate and the next release need to know."""
-    return df.agg(
-        F.count("*").alias("n_rows"),
-        F.count_if(F.col("diameter_source") == "measured").alias("n_measured"),
-        F.count_if(F.col("designation").isNull()).alias("n_null_keys"),
-        (F.count("designation") - F.count_distinct("designation")).alias("n_duplicate_keys"),
-        F.count_distinct("catalog_date").alias("n_dates"),
-        F.count_distinct("pipeline_version").alias("n_versions"),
-        F.min("pipeline_version").alias("version"),
-    )
-
-
-def release_problems(
-    df: DataFrame,
-    spark: SparkSession,
-    version: str,
-    floors: dict[str, int],
-    row_floor: int = ROW_FLOOR,
-    measured_floor: int = MEASURED_FLOOR,
-    previous: dict[str, int] | None = None,
-    allow_shrink: bool = False,
-) -> DataFrame:
-    """(problem): every gate that fails; an empty table may be published.
-
-    ``previous`` holds ``n_rows`` and rows per source of the last release.
-    """
-    m = metrics(df)
-    checks = [
-        ("too few rows", F.col("n_rows") < row_floor),
-        ("null keys", F.col("n_null_keys") > 0),
-        ("duplicate keys", F.col("n_duplicate_keys") > 0),
-        ("several catalog dates", F.col("n_dates") != 1),
-        ("several versions", F.col("n_versions") != 1),
-        ("unexpected version", ~F.col("version").eqNullSafe(version)),
-        ("too few measured diameters", F.col("n_measured") < measured_floor),
-    ]
-    if previous and not allow_shrink:
-        checks.append(("shrunk", F.col("n_rows") < previous["n_rows"] * (1 - MAX_SHRINK_ROWS)))
-    wide = m.select(F.explode(F.array_compact(F.array(*[F.when(bad, n) for n, bad in checks]))).alias("problem"))
-    counts = source_counts(df, list(floors), spark)
-    few = F.lit(False)
-    for name, floor in floors.items():
-        least = floor
-        if previous and not allow_shrink and name in previous:
-            least = max(least, previous[name] * (1 - MAX_SHRINK_SOURCE))
-        few |= (F.col("source") == name) & (F.col("n") < least)
-    per_source = counts.where(few).select(F.concat(F.lit("too few rows from "), "source").alias("problem"))
-    rules = violations(df, physical_rules(df.columns)).select(F.col("rule").alias("problem"))
-    return wide.unionByName(per_source).unionByName(rules)
-
-
-class ReleaseRefused(Exception):
-    """Raised before anything is written; holds every failed gate."""
-
-
-def publish(df: DataFrame, log: DataFrame, path: str, problems: DataFrame) -> DataFrame:
-    """Write catalog, rejection log and metrics, or refuse and write nothing."""
-    found = [r["problem"] for r in problems.collect()]  # one row per gate at most
-    if found:
-        raise ReleaseRefused("; ".join(sorted(found)))
-    df.write.option("compression", "zstd").parquet(f"{path}/catalog")
-    log.write.parquet(f"{path}/rejections")
-    rejected = log.agg(F.coalesce(F.sum("rejected_count"), F.lit(0)).alias("n_rejected"))
-    out = metrics(df).join(rejected, F.lit(True)).withColumn("n_columns", F.lit(len(df.columns)))
-    out.write.json(f"{path}/metrics")
-    return out

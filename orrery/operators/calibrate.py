@@ -102,9 +102,19 @@ def mixture_check(counts: DataFrame, classes: DataFrame, tolerance: float = 0.05
     return mix.join(own, "class").select("class", "mixture", "density", F.when(off, "off").otherwise("ok").alias("status"))
 
 
-def class_verdict(stats: DataFrame, classes: DataFrame) -> DataFrame:
-    """Class estimate against what was measured: too high or too low by two SD."""
+def class_verdict(stats: DataFrame, classes: DataFrame, reasons: DataFrame | None = None) -> DataFrame:
+    """Class estimate against what was measured: too high or too low by two SD.
+
+    ``reasons`` (class, reason) documents why an estimate may be below what is measured;
+    such a class is ok, and its reason is given, where it would be too low.
+    """
     dim = F.broadcast(classes.select(F.col("class").alias("comp_class"), "density"))
     j = stats.join(dim, "comp_class")
-    v = F.when(F.col("n") < 3, "not judged").when(F.col("density") > F.col("mean") + 2 * F.col("sd"), "too high").when(F.col("density") < F.col("mean") - 2 * F.col("sd"), "too low").otherwise("ok")
-    return j.select("comp_class", "n", "density", v.alias("verdict"))
+    why = F.lit(None).cast("string")
+    if reasons is not None:
+        j = j.join(F.broadcast(reasons.select(F.col("class").alias("comp_class"), F.col("reason").alias("_why"))), "comp_class", "left")
+        why = F.col("_why")
+    rho, mean, two = F.col("density"), F.col("mean"), 2 * F.col("sd")
+    low = rho < mean - two
+    v = F.when(F.col("n") < 3, "not judged").when(rho > mean + two, "too high").when(low & why.isNull(), "too low").otherwise("ok")
+    return j.select("comp_class", "n", "density", v.alias("verdict"), F.when(low & (F.col("n") >= 3), why).alias("reason"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.functions import dims
+from orrery.functions.numbers import number_text
 
 
 def typed_fractions(spark: SparkSession) -> DataFrame:
@@ -79,14 +80,16 @@ def detailed_fractions(spark: SparkSession) -> DataFrame:
 def as_json(fractions: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     """(class, name): the phases of a class as a JSON object, in table order."""
     placed = fractions.join(dims.phases(spark).select("phase", "place"), "phase")
-    entries = F.array_sort(F.collect_list(F.struct("place", "phase", "fraction")))
-    pairs = F.transform(entries, lambda e: F.struct(e["phase"].alias("key"), e["fraction"].alias("value")))
-    return placed.groupBy("class").agg(F.to_json(F.map_from_entries(pairs)).alias(name))
-
-
-def add_phases(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """``comp_phases`` and ``comp_phases_detailed`` by composition class."""
-    for name, table in (("comp_phases", phase_fractions(spark)), ("comp_phases_detailed", detailed_fractions(spark))):
-        dim = as_json(table, spark, name).withColumnRenamed("class", "comp_class")
-        df = df.join(F.broadcast(dim), "comp_class", "left")
-    return df
+    pair = F.concat(F.lit('"'), "phase", F.lit('":'), number_text(F.col("fraction")))
+    entries = F.array_sort(F.collect_list(F.struct("place", pair.alias("text"))))
+    return placed.groupBy("class").agg(F.concat(F.lit("{"), F.array_join(entries["text"], ","), F.lit("}")).alias(name))
+
+
+def phase_texts(spark: SparkSession) -> DataFrame:
+    """(comp_class, comp_phases, comp_phases_detailed, comp_minerals): both tables as JSON
+    text, and the names of the phases, largest group first, in table order."""
+    coarse, fine = phase_fractions(spark), detailed_fractions(spark)
+    placed = coarse.join(dims.phases(spark).select("phase", "place"), "phase")
+    names = placed.groupBy("class").agg(F.array_sort(F.collect_list(F.struct("place", "phase")))["phase"].alias("comp_minerals"))
+    texts = as_json(coarse, spark, "comp_phases").join(as_json(fine, spark, "comp_phases_detailed"), "class").join(names, "class")
+    return texts.withColumnRenamed("class", "comp_class")

@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery.functions.keys import comparison_key
+from orrery.operators.counts import Watch
+from orrery.plans.staging import staged
+
+#: Keys that several rows hold, up to which they are broadcast.
+MAX_SHARED = 500_000
 
 
 def combine_duplicates(df: DataFrame, key: str = "designation", records: list[list[str]] | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
@@ -33,17 +38,27 @@ def combine_duplicates(df: DataFrame, key: str = "designation", records: list[li
     return keyed.groupBy("_key").agg(*aggs).select(*[F.col(where.get(c, c)).alias(c) for c in df.columns])
 
 
-def combine_shared(df: DataFrame, key: str = "designation", records: list[list[str]] | None = None) -> DataFrame:
+def combine_shared(
+    df: DataFrame, key: str = "designation", records: list[list[str]] | None = None, watch: Watch | None = None, name: str = "dedup"
+) -> DataFrame:
     """``combine_duplicates`` of a table in which few rows share an entity.
 
     Only the rows whose comparison key another row has are combined; the others,
     and rows without a key, pass through untouched. Keys alone are shuffled to
-    find out.
+    find out, and where none is shared the table is returned as it is. The shared keys
+    are broadcast up to MAX_SHARED. A ``watch`` counts rows in and out on the way.
     """
     keyed = df.withColumn("_key", comparison_key(F.col(key)))
-    shared = keyed.where("_key is not null").groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select("_key")
-    alone = keyed.join(shared, "_key", "left_anti").select(*df.columns)
-    several = keyed.join(shared, "_key", "left_semi").select(*df.columns)
+    counts = keyed.groupBy("_key").agg(F.count("*").alias("n"))
+    if watch is not None:
+        counts = watch.on(counts, name, rows_in=F.sum("n"), rows_out=F.sum(F.when(F.col("_key").isNull(), F.col("n")).otherwise(1)))
+    shared = staged(counts.where("_key is not null and n > 1").select("_key"), "shared-keys")
+    many = shared.count()
+    if not many:
+        return df
+    few = F.broadcast(shared) if many <= MAX_SHARED else shared
+    alone = keyed.join(few, "_key", "left_anti").select(*df.columns)
+    several = keyed.join(few, "_key", "left_semi").select(*df.columns)
     return alone.unionByName(combine_duplicates(several, key, records))
 
 
@@ -70,9 +85,18 @@ def adopt_whole(records: list[tuple[str, Column, list[str]]], required: list[str
     return F.coalesce(*complete, *some)
 
 
-def rows_in_and_out(before: DataFrame, after: DataFrame, source: str) -> DataFrame:
-    """(source, rows_in, rows_out, alarm): rows that went in and none came out."""
-    a = before.agg(F.count("*").alias("rows_in"))
-    b = after.agg(F.count("*").alias("rows_out"))
-    alarm = (F.col("rows_in") > 0) & (F.col("rows_out") == 0)
-    return a.join(b, F.lit(True)).select(F.lit(source).alias("source"), "rows_in", "rows_out", alarm.alias("alarm"))
+def combine_counted(
+    df: DataFrame, source: str, policy: str = "warn", key: str = "designation", records: list[list[str]] | None = None, ties: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """``combine_duplicates``, written, and (source, rows_in, rows_out, alarm) of it.
+
+    Both counts are taken while the result is written. It is an alarm if rows went in
+    and none came out, which ``policy`` ignores, warns of or refuses.
+    """
+    spark, watch = df.sparkSession, Watch(policy)
+    before = watch.on(df, "in", n=F.count(F.lit(1)))
+    out = staged(watch.on(combine_duplicates(before, key, records, ties), "out", n=F.count(F.lit(1))), "combined")
+    rows_in, rows_out = watch.counts("in")["n"], watch.counts("out")["n"]
+    alarm = rows_in > 0 and rows_out == 0
+    watch.judge([f"{source}: {rows_in} rows went in and none came out"] if alarm else [])
+    return out, spark.createDataFrame([(source, rows_in, rows_out, alarm)], "source string, rows_in long, rows_out long, alarm boolean")

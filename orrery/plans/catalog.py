@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from orrery.functions import dims
 from orrery.functions.cleaning import class_label, mask_sentinels, mask_unfitted, stacked_flag, tidy_text
 from orrery.functions.keys import canonical, number_or_name, unpack_number
-from orrery.operators import audit, classify, impute, minerals, resolve, validate
+from orrery.operators import classify, impute, release, resolve, validate
+from orrery.operators.counts import Watch
+from orrery.operators.distinct import per_distinct
 from orrery.operators.identity import alias_map, rekey
-from orrery.operators.merge import SourceSpec, active, merge, override_diameters
+from orrery.operators.merge import SourceSpec, active, judge_overlap, merge, override_diameters
 from orrery.operators.pool import pool
-from orrery.operators.survivor import combine_duplicates, combine_shared
+from orrery.operators.survivor import combine_shared
 from orrery.plans.staging import staged
 
 ORDER = ["orbits", "best", "fits", "compendium"]
@@ -56,7 +58,7 @@ def compendium_source(raw: DataFrame) -> DataFrame:
 
 def _dedup(df: DataFrame) -> DataFrame:
     records = [[c for c in r if c in df.columns] for r in RECORDS]
-    return combine_duplicates(df, records=[r for r in records if len(r) > 1])
+    return combine_shared(df, records=[r for r in records if len(r) > 1])
 
 
 def sources(views: dict[str, DataFrame]) -> list[SourceSpec]:
@@ -83,17 +85,20 @@ def held_records(columns: list[str]) -> list[list[str]]:
     return [r for r in ([c for c in r if c in columns] for r in records) if len(r) > 1]
 
 
-def merged(views: dict[str, DataFrame], spark: SparkSession) -> DataFrame:
+def merged(views: dict[str, DataFrame], spark: SparkSession, policy: str = "warn") -> DataFrame:
     """The wide table, with ``grp``, the group of the merged class label.
 
-    Rows that still share a body, under case variants of a key, become one.
+    Rows that still share a body, under case variants of a key, become one. A source
+    that meets no body of those before it is reported as ``policy`` says (see Watch).
     """
-    wide = staged(merge(sources(views), resolve.HELD, whole=ORBIT, required=ELEMENTS), "wide")
+    watch, used = Watch(policy), sources(views)
+    wide = staged(merge(used, resolve.HELD, whole=ORBIT, required=ELEMENTS, watch=watch), "wide")
+    judge_overlap(watch, used)
     wide = combine_shared(wide, records=held_records(wide.columns))
     label = F.coalesce(class_label(F.col("spectral_type")), class_label(F.col("spectral_type_tholen")))
-    keyed = classify.composition_key(wide.withColumn("_label", label), spark, "_label", "_row")
-    groups = dims.classes(spark).select(F.col("class").alias("_row"), "grp")
-    return keyed.join(F.broadcast(groups), "_row", "left").drop("_row", "_label")
+    row = classify.dimension_row(label)
+    group = F.create_map(*[F.lit(x) for r in dims.class_rows() for x in r[:2]])[row]
+    return per_distinct(wide, ["spectral_type", "spectral_type_tholen"], {"grp": group})
 
 
 def resolved(views: dict[str, DataFrame], spark: SparkSession) -> DataFrame:
@@ -114,16 +119,15 @@ def derived(wide: DataFrame, spark: SparkSession) -> DataFrame:
 
 
 def enriched(kept: DataFrame, spark: SparkSession) -> DataFrame:
-    """Classes, composition and reconciled mass, density and diameter."""
-    composed = classify.add_composition(classify.classify(kept), spark)
-    return classify.reconcile(staged(composed, "composed"), spark)
+    """Classes, composition with phases, and reconciled mass, density and diameter."""
+    return classify.reconcile(classify.add_composition(classify.classify(kept), spark))
 
 
 def build(views: dict[str, DataFrame], spark: SparkSession, date: str, min_diameter_km: float = 0.0) -> Catalog:
     """The finished catalog and the log of everything that was rejected."""
     table = staged(derived(staged(resolved(views, spark), "resolved"), spark), "derived")
     kept, first = validate.split(table, validate.row_rules(table.columns))
-    full = staged(minerals.add_phases(enriched(kept, spark), spark), "enriched")
+    full = staged(enriched(kept, spark), "enriched")
     gated, second = validate.split(full, validate.gate_rules(min_diameter_km))
     stamped = gated.withColumns({"catalog_date": F.lit(date), "pipeline_version": F.lit(VERSION)})
     return Catalog(stamped.drop("_limits_group"), first.unionByName(second))
@@ -131,8 +135,8 @@ def build(views: dict[str, DataFrame], spark: SparkSession, date: str, min_diame
 
 def publish(views: dict[str, DataFrame], spark: SparkSession, date: str, path: str, floors: dict[str, int]) -> DataFrame:
     done = build(views, spark, date)
-    problems = audit.release_problems(done.table, spark, VERSION, floors, row_floor=1, measured_floor=1)
-    return audit.publish(done.table, done.rejections, path, problems)
+    problems, found = release.gate(done.table, VERSION, floors, row_floor=1, measured_floor=1, previous=release.previous(spark, path))
+    return release.publish(done.table, done.rejections, path, date, problems, found)
 
 
 def active_sources(views: dict[str, DataFrame], limits: dict[str, int]) -> list[SourceSpec]:

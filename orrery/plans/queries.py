@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from orrery.functions import cleaning as cl
 from orrery.functions import dims, keys
 from orrery.functions import physics as P
-from orrery.operators import audit, calibrate, classify, identity, impute, lookup, merge, minerals, pool, resolve, survivor, validate
+from orrery.operators import audit, calibrate, classify, distinct, identity, impute, lookup, merge, minerals, pool, release, resolve, survivor, validate
 from orrery.plans import catalog, fixtures
 from orrery.plans.oracle import sql, values
 from orrery.plans.staging import new_path, once
-from orrery.sources import readers
+from orrery.sources import columnar, readers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,21 +69,21 @@ def mass(c: str) -> Column:
 # --- sources and sinks ---------------------------------------------------------
 
 
-@query("a01_columnar_json", "SELECT CAST(o_orderkey AS BIGINT) AS orderkey, CAST(o_totalprice AS DOUBLE) AS price, o_orderstatus AS status FROM orders")
+@query("a01_columnar_json", """SELECT CAST(o_orderkey AS BIGINT) AS orderkey, CAST(o_totalprice AS DOUBLE) AS price, o_orderstatus AS status,
+ CASE WHEN CAST(floor(o_orderkey/500) AS BIGINT) % 2 = 1 THEN o_orderpriority END AS priority FROM orders""")
 def _(spark, sf):
-    # Payloads of the columnar form, a line per 1000 orders, as the landing zone splits them.
-    src = table(spark, sf, "orders").select(
-        F.array(F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string"), F.col("o_orderstatus")).alias("d"),
-        F.floor(F.col("o_orderkey") / 1000).alias("g"),
-    )
-    payload = src.groupBy("g").agg(F.collect_list("d").alias("data")).select(
-        F.array(F.lit("o_orderkey"), F.lit("o_totalprice"), F.lit("o_orderstatus")).alias("f"), "data"
-    )
-    text = F.to_json(F.struct(F.col("f").alias("fields"), "data"))
-    p = payload.select(F.from_json(text, "fields array<string>, data array<array<string>>").alias("p"))
-    maps = p.select("p.fields", F.explode("p.data").alias("d")).select(F.map_from_arrays("fields", "d").alias("m"))
-    out = readers.named_columns(maps, {"o_orderkey": "orderkey", "o_totalprice": "price", "o_orderstatus": "status"}, ("price",))
-    return out.withColumn("orderkey", F.col("orderkey").cast("long"))
+    # Payloads as landed, one a file; every second one has a field more, and first.
+    more = F.floor(F.col("o_orderkey") / 500) % 2 == 1
+    own = [F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string"), F.col("o_orderstatus")]
+    cells = F.when(more, F.array(F.col("o_orderpriority"), *own)).otherwise(F.array(*own))
+    rows = table(spark, sf, "orders").select(cells.alias("d"), F.floor(F.col("o_orderkey") / 500).alias("g"))
+    names = [F.lit(n) for n in ("o_orderkey", "o_totalprice", "o_orderstatus")]
+    fields = F.when(F.col("g") % 2 == 1, F.array(F.lit("o_orderpriority"), *names)).otherwise(F.array(*names))
+    payload = rows.groupBy("g").agg(F.collect_list("d").alias("data")).select(F.to_json(F.struct(fields.alias("fields"), "data")))
+    payload.write.option("maxRecordsPerFile", 1).text(path := new_path(spark, "payloads"))
+    renames = {"o_orderkey": "orderkey", "o_totalprice": "price", "o_orderstatus": "status", "o_orderpriority": "priority"}
+    out = columnar.columnar_json(spark, path, renames, ("price",), range_bytes=256 << 10)
+    return out.select(F.col("orderkey").cast("long").alias("orderkey"), "price", "status", "priority")
 
 
 @query("a02_parquet_projection", "SELECT p_partkey AS id, p_name AS name FROM part")
@@ -109,15 +109,17 @@ def _(spark, sf):
 
 
 @query("a05_identity_links", sql("fx", """SELECT alias, to_designation FROM (SELECT designation AS tod, provisional_designation AS p, name AS n FROM fx_orbits) x,
- LATERAL (SELECT p AS alias, tod AS to_designation UNION ALL SELECT n, tod) WHERE alias IS NOT NULL"""))
+ LATERAL (SELECT p AS alias, tod AS to_designation UNION ALL SELECT n, tod UNION ALL SELECT 'Other ' || tod, tod WHERE CAST(tod AS BIGINT) % 3 = 0
+ UNION ALL SELECT 'Second ' || tod, tod WHERE CAST(tod AS BIGINT) % 3 = 0) WHERE alias IS NOT NULL"""))
 def _(spark, sf):
+    # Objects as landed, a JSON line each.
+    others = F.array(F.concat(F.lit("Other "), "designation"), F.concat(F.lit("Second "), "designation"))
     objects = fx(spark, sf, "fx_orbits").select(
         F.concat(F.lit("("), "designation", F.lit(")")).alias("Number"), F.col("name").alias("Name"),
-        F.col("provisional_designation").alias("Principal_desig"), F.lit(None).cast("array<string>").alias("Other_desigs"),
+        F.col("provisional_designation").alias("Principal_desig"), F.when(F.col("designation").cast("long") % 3 == 0, others).alias("Other_desigs"),
     )
-    # Through JSON text and back, as landed.
-    text = objects.select(F.to_json(F.struct(*objects.columns)).alias("t"))
-    return readers.link_pairs(text.select(F.from_json("t", readers.LINK_SCHEMA).alias("o")).select("o.*"))
+    objects.write.json(path := new_path(spark, "links"))
+    return readers.identity_links(spark, path)
 
 
 _CARD = "id string, number long, parameters struct<physical: struct<mass: struct<value: double>>>"
@@ -331,9 +333,9 @@ def _(spark, sf):
 
 @query("c09_dictionary", sql("merged", "SELECT g.designation, coalesce(e.density, 0e0) AS density FROM grps g LEFT JOIN cls e ON e.class = g.c1"))
 def _(spark, sf):
-    dim = dims.classes(spark).select(F.col("class").alias("c"), "density")
-    out = fx(spark, sf, "fx_orbits").withColumn("c", cl.class_label(F.col("spectral_type"))).join(F.broadcast(dim), "c", "left")
-    return out.select("designation", F.coalesce("density", F.lit(0.0)).alias("density"))
+    density = F.create_map(*[F.lit(x) for c in dims.class_rows() if c[2] is not None for x in (c[0], c[2])])
+    value = F.coalesce(density[cl.class_label(F.col("spectral_type"))], F.lit(0.0))
+    return distinct.per_distinct(fx(spark, sf, "fx_orbits"), ["spectral_type"], {"density": value}).select("designation", "density")
 
 
 # --- joins ----------------------------------------------------------------------
@@ -495,8 +497,7 @@ def _(spark, sf):
 
 @query("e08_dedup_alarm", f"WITH {_DUP} SELECT 'fits' AS source, count(*) AS rows_in, count(DISTINCT replace(designation, '.0', '')) AS rows_out, false AS alarm FROM dup")
 def _(spark, sf):
-    src = _dup(spark, sf)
-    return survivor.rows_in_and_out(src, survivor.combine_duplicates(src), "fits")
+    return survivor.combine_counted(_dup(spark, sf), "fits")[1]
 
 
 @query("e09_membership", sql("merged", "SELECT designation, CAST(is_o AS BIGINT) + CAST(is_b AS BIGINT) + CAST(is_f AS BIGINT) + CAST(is_c AS BIGINT) AS n_sources, nullif(concat_ws(';', CASE WHEN is_o THEN 'orbits' END, CASE WHEN is_b THEN 'best' END, CASE WHEN is_f THEN 'fits' END, CASE WHEN is_c THEN 'compendium' END), '') AS sources FROM m"))
@@ -719,22 +720,53 @@ def _(spark, sf):
     return audit.violations(raw, audit.physical_rules(raw.columns)).withColumn("examples", F.array_join("examples", ","))
 
 
-@query("v08_release_gate", sql("enriched", "SELECT 'too few rows from none' AS problem UNION ALL SELECT 'too few rows' FROM (SELECT count(*) AS n FROM fin) WHERE n < 100000000 UNION ALL SELECT 'measured diameter contradicts H' FROM fin WHERE d_src = 'measured' AND (pow(1329e0/d*pow(1e1, -h/5e0), 2) < 1e-2*pow(1e1, -3e-1) OR pow(1329e0/d*pow(1e1, -h/5e0), 2) > pow(1e1, 3e-1)) GROUP BY 1"))
+_AS_BUILT = "x0 AS (SELECT designation, d, mass, rho, a, mass_s, mass_meas, p, h, d_src, t FROM fin)"
+
+
+def _stamped(spark, sf) -> DataFrame:
+    return stage(spark, sf, "enriched").withColumns({"catalog_date": F.lit(DATE), "pipeline_version": F.lit(catalog.VERSION)})
+
+
+@query("v08_release_gate", sql("enriched", """SELECT 'too few rows from none' AS problem UNION ALL SELECT 'too few rows' FROM (SELECT count(*) AS n FROM fin) WHERE n < 100000000
+ UNION ALL SELECT DISTINCT unnest(broken) FROM x2""", _AS_BUILT, *_AUDIT))
 def _(spark, sf):
-    d = stage(spark, sf, "enriched").withColumns({"catalog_date": F.lit(DATE), "pipeline_version": F.lit(catalog.VERSION)})
-    return audit.release_problems(d, spark, catalog.VERSION, {"orbits": 1, "none": 1}, row_floor=100_000_000, measured_floor=1)
+    problems, _ = release.gate(_stamped(spark, sf), catalog.VERSION, {"orbits": 1, "none": 1}, row_floor=100_000_000, measured_floor=1)
+    return release.problems_table(spark, problems)
 
 
-_AS_BUILT = "x0 AS (SELECT designation, d, mass, rho, a, mass_s, mass_meas, p, h, d_src, t FROM fin)"
+_SOUND = """sound AS (SELECT f.*, coalesce(try_cast(f.designation AS BIGINT), 1) % 3 <> 0 AS stays FROM fin f JOIN x2 ON x2.designation = f.designation WHERE len(broken) = 0)"""
+_PER_SOURCE = "per_source AS (" + " UNION ALL ".join(f"SELECT '{n}' AS s, count(*) FILTER (is_{n[0]}) AS n, count(*) FILTER (is_{n[0]} AND stays) AS m FROM sound" for n in catalog.ORDER) + ")"
+
+
+def _published(spark, sf) -> tuple[DataFrame, str]:
+    """The rows that the audit lets through, and the folder in which they are released."""
+    kept, log = validate.split(_stamped(spark, sf), audit.physical_rules(stage(spark, sf, "enriched").columns))
+    problems, found = release.gate(kept, catalog.VERSION, {"orbits": 1}, row_floor=1, measured_floor=1)
+    release.publish(kept, log, root := new_path(spark, "releases"), DATE, problems, found)
+    return kept, root
+
+
+@query("v08_shrink_gate", sql("enriched", """SELECT 'fewer rows than before' AS problem FROM sound HAVING count(*) FILTER (stays) < count(*)*995e-3
+ UNION ALL SELECT 'fewer rows from ' || s || ' than before' FROM per_source WHERE m < n*98e-2""", _AS_BUILT, *_AUDIT, _SOUND, _PER_SOURCE))
+def _(spark, sf):
+    # The next release lacks a third of the bodies; it is held against the last manifest.
+    kept, root = _published(spark, sf)
+    fewer = kept.where(F.coalesce(F.col("designation").try_cast("long"), F.lit(1)) % 3 != 0)
+    problems, _ = release.gate(fewer, catalog.VERSION, {"orbits": 1}, 1, 1, previous=release.previous(spark, root))
+    return release.problems_table(spark, problems)
 
 
 @query("v09_gated_publish", sql("enriched", "SELECT count(*) FILTER (len(broken) = 0) AS n_rows, count(*) FILTER (len(broken) = 0 AND d_src = 'measured') AS n_measured, count(*) FILTER (len(broken) > 0) AS n_rejected FROM x2", _AS_BUILT, *_AUDIT))
 def _(spark, sf):
     # Rows that the audit refuses go to the log, and every gate must then pass.
-    d = stage(spark, sf, "enriched").withColumns({"catalog_date": F.lit(DATE), "pipeline_version": F.lit(catalog.VERSION)})
-    kept, log = validate.split(d, audit.physical_rules(d.columns))
-    gate = audit.release_problems(kept, spark, catalog.VERSION, {"orbits": 1}, row_floor=1, measured_floor=1)
-    return audit.publish(kept, log, new_path(spark, "release"), gate).select("n_rows", "n_measured", F.col("n_rejected").cast("long"))
+    _, root = _published(spark, sf)
+    return spark.read.schema(release.MANIFEST).json(f"{root}/{DATE}/manifest").select("n_rows", "n_measured", "n_rejected")
+
+
+@query("v09_manifest_sources", sql("enriched", "SELECT s AS source, n FROM per_source WHERE n > 0", _AS_BUILT, *_AUDIT, _SOUND, _PER_SOURCE))
+def _(spark, sf):
+    last = release.previous(spark, _published(spark, sf)[1])
+    return spark.createDataFrame(list(last["sources"].items()), "source string, n long")
 
 
 @query("b15_column_order", sql("resolved", "SELECT designation, round(d, 6) AS diameter_km, d_prov AS diameter_provider, semi_major_axis_au FROM rs"))
@@ -772,7 +804,7 @@ def _(spark, sf):
 
 @query("n02_composition_row", sql("enriched", "SELECT designation, key_, row_, lgrp FROM n2"))
 def _(spark, sf):
-    d = classify.composition_key(stage(spark, sf, "enriched").select("designation", "spectral_type", "semi_major_axis_au", "_limits_group"), spark)
+    d = classify.composition_key(stage(spark, sf, "enriched").select("designation", "spectral_type", "semi_major_axis_au", "_limits_group"))
     row = classify.icy_row(F.col("_row"), F.col("semi_major_axis_au"))
     return d.select("designation", F.col("_row").alias("key_"), row.alias("row_"), F.col("_limits_group").alias("lgrp"))
 
@@ -843,13 +875,18 @@ _PLACED = "SELECT designation, '{kind}' AS kind, row_number() OVER (PARTITION BY
 @query("n09_phases_json", sql("enriched", _PLACED.format(kind="coarse", t="pf") + " UNION ALL " + _PLACED.format(kind="fine", t="df"), *_DIMS))
 def _(spark, sf):
     # The objects read back: every phase with its place in the text.
-    d = minerals.add_phases(stage(spark, sf, "enriched"), spark)
+    d = stage(spark, sf, "enriched")
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("text")) for k, c in (("coarse", "comp_phases"), ("fine", "comp_phases_detailed"))])
     texts = d.select("designation", F.explode(kinds).alias("x")).select("designation", "x.kind", F.from_json("x.text", "map<string,double>").alias("m"))
     each = texts.select("designation", "kind", F.posexplode(F.map_entries("m")).alias("at", "e"))
     return each.select("designation", "kind", (F.col("at") + 1).cast("long").alias("at"), F.col("e.key").alias("phase"), r("e.value", 9).alias("fraction"))
 
 
+@query("n04_minerals", sql("enriched", "SELECT designation, minerals FROM fin LEFT JOIN (SELECT pf.class, string_agg(pf.phase, ',' ORDER BY place) AS minerals FROM pf JOIN ph ON ph.phase = pf.phase GROUP BY 1) x ON x.class = comp", *_DIMS))
+def _(spark, sf):
+    return stage(spark, sf, "enriched").select("designation", F.array_join("comp_minerals", ",").alias("minerals"))
+
+
 @query("n10_reconcile", sql("enriched", "SELECT designation, round(d, 6) AS d, round(rho, 6) AS rho, round(mass/1e15, 3) AS mass, rho_meas, mass_meas, d_src, m_out, m_prov FROM fin"))
 def _(spark, sf):
     d = stage(spark, sf, "enriched")
@@ -928,10 +965,12 @@ def _(spark, sf):
     return calibrate.mixture_check(calibrate.x_split_counts(stage(spark, sf, "enriched")), dims.classes(spark)).withColumn("mixture", r("mixture"))
 
 
-@query("e22_class_verdict", sql("enriched", "SELECT s.comp AS comp_class, n, density, CASE WHEN n < 3 THEN 'not judged' WHEN density > mean + 2*sd THEN 'too high' WHEN density < mean - 2*sd THEN 'too low' ELSE 'ok' END AS verdict FROM (SELECT comp, count(*) AS n, avg(rho) AS mean, stddev_samp(rho) AS sd FROM bod GROUP BY 1) s JOIN cls ON cls.class = s.comp", _BODIES))
+@query("e22_class_verdict", sql("enriched", """SELECT comp_class, n, density, CASE WHEN n < 3 THEN 'not judged' WHEN high THEN 'too high' WHEN low AND reason IS NULL THEN 'too low' ELSE 'ok' END AS verdict,
+ CASE WHEN low AND n >= 3 THEN reason END AS reason FROM (SELECT s.comp AS comp_class, n, density, density > mean + 2*sd AS high, density < mean - 2*sd AS low, reason
+ FROM (SELECT comp, count(*) AS n, avg(rho) AS mean, stddev_samp(rho) AS sd FROM bod GROUP BY 1) s JOIN cls ON cls.class = s.comp LEFT JOIN why ON why.class = s.comp)""", _BODIES, values("why", "class, reason", list(dims.BELOW_BECAUSE.items()))))
 def _(spark, sf):
     stats = calibrate.density_stats(calibrate.measured_bodies(stage(spark, sf, "enriched")), "comp_class")
-    return calibrate.class_verdict(stats, dims.classes(spark))
+    return calibrate.class_verdict(stats, dims.classes(spark), dims.below_because(spark))
 
 
 @query("e23_distinct_entities", "SELECT l_returnflag AS status, count(*) AS n_rows, count(DISTINCT l_partkey) AS n_bodies FROM lineitem GROUP BY 1")

@@ -13,32 +13,6 @@ class MissingColumn(Exception):
     """A column without which a source is useless."""
 
 
-def columnar_json(spark: SparkSession, path: str, renames: dict[str, str] | None = None, numeric: tuple[str, ...] = ()) -> DataFrame:
-    """Payloads ``{"fields": [...], "data": [[...]]}``, one per file or line.
-
-    The landing zone splits large payloads; each is exploded on its own. Fields
-    may be strings or objects with a ``name``.
-    """
-    schema = "fields array<string>, data array<array<string>>"
-    rows = spark.read.option("lineSep", "\n").text(path).select(F.from_json("value", schema).alias("p"))
-    name = lambda f: F.coalesce(F.get_json_object(f, "$.name"), f)
-    pairs = rows.select(F.transform("p.fields", name).alias("f"), F.explode("p.data").alias("d"))
-    return named_columns(pairs.select(F.map_from_arrays("f", "d").alias("m")), renames, numeric)
-
-
-def named_columns(maps: DataFrame, renames: dict[str, str] | None, numeric: tuple[str, ...]) -> DataFrame:
-    """Columns of a map column ``m``; the names are those of the first row."""
-    first = maps.select(F.map_keys("m").alias("k")).first()
-    names = first["k"] if first else []
-    renames = renames or {}
-    out = []
-    for n in names:
-        c = F.col("m")[n]
-        to = renames.get(n, n)
-        out.append((F.nullif(c.try_cast("double"), F.lit(float("nan"))) if to in numeric else c).alias(to))
-    return maps.select(*out)
-
-
 def wanted_columns(df: DataFrame, wanted: dict[str, str], required: tuple[str, ...] = ()) -> tuple[DataFrame, list[str]]:
     """The wanted columns that exist, renamed, and the names of those that do not.
 

@@ -1,3 +1,4 @@
+import json
 import math
 import statistics
 
@@ -5,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orrery.functions import dims
-from orrery.operators import audit, classify, identity, impute, lookup, merge, minerals, pool, quantile, resolve, skew, survivor, validate
+from orrery.operators import audit, calibrate, classify, counts, distinct, identity, impute, lookup, merge, minerals, pool, quantile, resolve, skew, survivor, validate
 from orrery.plans import staging
 from orrery.sources import readers
 
@@ -125,24 +126,49 @@ def test_validation_counts_first_failure(spark):
     assert dict(rows(log, "reason", "rejected_count")) == {"missing designation": 1, "non-finite diameter": 1, "missing or non-positive diameter": 1, "missing or non-positive semi-major axis": 1}
 
 
+MEASURED = BODY + ", estimated_mass_kg double, estimated_mass_sigma_kg double, density_gcm3 double, mass_provider string, mass_screened_out string, derived_diameter_is_estimate boolean, diameter_source string, albedo_assumed_for_diameter double"
+
+
 def test_every_row_is_mass_density_volume(spark):
-    schema = BODY + ", estimated_mass_kg double, estimated_mass_sigma_kg double, density_gcm3 double, mass_provider string, mass_screened_out string, derived_diameter_is_estimate boolean, diameter_source string, albedo_assumed_for_diameter double"
+    ball = math.pi / 6 * 1e9  # m3 of a sphere of 1 km
     df = spark.createDataFrame(
         [("a", 10.0, 12.0, 0.2, 2.2, False, "S", None, None, None, None, None, None, False, "measured", None),
          ("b", 10.0, 12.0, 0.2, 2.2, False, "S", None, None, None, 9.0, None, None, False, "measured", None),
-         ("c", 1.0, 12.0, None, 2.2, False, "S", None, 1e18, 1e17, None, "x", None, True, "derived_h_x", 0.2),
+         # 2.7 g/cm3 and 90 km at H 9: a surface of albedo 0.0548 is possible
+         ("c", 20.0, 9.0, None, 2.2, False, "S", None, 2700 * ball * 90**3, 1e17, None, "x", None, True, "derived_h_x", 0.2),
+         # 900 km at H 9 would be blacker than anything: the mass goes
+         ("e", 20.0, 9.0, None, 2.2, False, "S", None, 2700 * ball * 900**3, 1e17, None, "x", "y", True, "derived_h_x", 0.2),
+         # an estimate that agrees with its mass stays
+         ("f", 20.0, 9.0, None, 2.2, False, "S", None, 2000 * ball * 20**3, 1e15, None, "x", None, True, "derived_h_x", 0.2),
          ("d", 90.0, 9.0, None, 2.2, False, "X", None, 1e18, 1e17, None, "x", None, False, "measured", None)],
-        schema,
+        MEASURED,
     )
-    out = classify.reconcile(classify.add_composition(classify.classify(df), spark), spark)
+    out = classify.reconcile(classify.add_composition(classify.classify(df), spark))
     got = {r["designation"]: r for r in out.collect()}
     for r in got.values():
         assert r["estimated_mass_kg"] == pytest.approx(r["density_gcm3"] * 1e3 * math.pi / 6 * (r["diameter_km"] * 1e3) ** 3)
     assert got["b"]["density_gcm3"] == 2.7 and got["d"]["mass_measured"]
-    assert got["c"]["diameter_source"] in ("derived_mass", "derived_h_x")
+    c, e, f = got["c"], got["e"], got["f"]
+    assert (c["diameter_source"], c["mass_provider"], c["albedo_assumed_for_diameter"]) == ("derived_mass", "x", None)
+    assert c["diameter_km"] == pytest.approx(90.0) and c["density_gcm3"] == pytest.approx(2.7) and c["mass_measured"]
+    assert (e["diameter_source"], e["diameter_km"], e["mass_provider"], e["mass_screened_out"]) == ("derived_h_x", 20.0, None, "y;x")
+    assert (e["estimated_mass_sigma_kg"], e["mass_measured"], e["density_gcm3"]) == (None, False, 2.7)
+    assert (f["diameter_source"], f["diameter_km"], f["mass_measured"], f["density_measured"]) == ("derived_h_x", 20.0, True, False)
+    assert f["density_gcm3"] == pytest.approx(2.0)
     assert not audit.violations(out, audit.physical_rules(out.columns)).where("rule like 'mass is not%'").count()
 
 
+def test_composition_brings_phases(spark):
+    df = spark.createDataFrame([("1", 9.0, 9.0, p, 2.2, False, c, None) for p, c in ((0.2, "S"), (None, "X"), (0.2, "Xc"), (0.2, "?"))], BODY)
+    out = classify.add_composition(classify.classify(df.withColumn("albedo_assumed_for_diameter", F.lit(None).cast("double"))), spark)
+    got = {r["comp_class"]: r for r in out.collect()}
+    assert set(got) == {"S", "X", "M", "Unknown"}
+    assert got["Unknown"]["comp_phases"] is None and got["Unknown"]["comp_minerals"] is None
+    for cls in ("S", "X", "M"):
+        assert list(json.loads(got[cls]["comp_phases"])) == got[cls]["comp_minerals"]
+        assert sum(json.loads(got[cls]["comp_phases_detailed"]).values()) == pytest.approx(sum(json.loads(got[cls]["comp_phases"]).values()), abs=0.02)
+
+
 @pytest.mark.parametrize("axis, row, group", [(39.4, "D", "D-type"), (5.5, "S", "S-complex"), (None, "S", "S-complex")])
 def test_a_far_body_is_composed_as_d(spark, axis, row, group):
     df = spark.createDataFrame([("28978", 709.6, 3.8, 0.2, axis, False, "S", None)], BODY)
@@ -254,23 +280,7 @@ def test_lookup_is_literal(spark):
     assert rows(lookup.lookup(df, "none"), "designation") == []
 
 
-def test_gate_refuses_before_writing(spark, tmp_path):
-    df = spark.createDataFrame([("1", 1.0, "measured", "a", "d", "1.0"), ("1", 1.0, "measured", "a", "d", "1.0")], "designation string, diameter_km double, diameter_source string, sources string, catalog_date string, pipeline_version string")
-    log = spark.createDataFrame([("r", 3, ["x"])], validate.LOG_SCHEMA)
-    bad = audit.release_problems(df, spark, "1.0", {"a": 5}, row_floor=5, measured_floor=1)
-    with pytest.raises(audit.ReleaseRefused) as e:
-        audit.publish(df, log, str(tmp_path / "out"), bad)
-    assert "duplicate keys" in str(e.value) and "too few rows from a" in str(e.value) and "too few rows" in str(e.value)
-    assert not (tmp_path / "out").exists()
-    good = audit.release_problems(df.limit(1), spark, "1.0", {"a": 1}, row_floor=1, measured_floor=1)
-    assert audit.publish(df.limit(1), log, str(tmp_path / "out"), good).first()["n_rejected"] == 3
-    assert spark.read.parquet(str(tmp_path / "out" / "catalog")).count() == 1
-
-
 def test_readers(spark, tmp_path):
-    (tmp_path / "a.json").write_text('{"fields": [{"name": "id"}, "x"], "data": [["1", "2.5"], ["2", "oops"]]}\n')
-    got = readers.columnar_json(spark, str(tmp_path / "a.json"), {"x": "y"}, ("y",))
-    assert rows(got, "id", "y") == [("1", 2.5), ("2", None)]
     (tmp_path / "l.json").write_text('{"Number": "(5)", "Name": "N", "Principal_desig": "2020 AB", "Other_desigs": ["1999 XX"]}\n{"Name": "only"}\n')
     assert rows(readers.identity_links(spark, str(tmp_path / "l.json")), "alias", "to_designation") == [("1999 XX", "5"), ("2020 AB", "5"), ("N", "5")]
     src = spark.createDataFrame([(1, 2.0)], "`diameter.value` int, other double")
@@ -286,3 +296,76 @@ def test_readers(spark, tmp_path):
 def test_column_order(spark):
     df = spark.createDataFrame([(1, 2, 3, 4)], "z int, d_sigma int, d int, a int")
     assert merge.column_order(df, ["a"], {"d": ["d_sigma"]}).columns == ["a", "z", "d", "d_sigma"]
+
+
+@pytest.mark.parametrize("limit", [distinct.MAX_DISTINCT, 0])
+def test_columns_are_evaluated_once_per_distinct_value(spark, limit, monkeypatch):
+    monkeypatch.setattr(distinct, "MAX_DISTINCT", limit)
+    calls = spark.sparkContext.accumulator(0)
+
+    def spell(x):
+        calls.add(1)
+        return None if x is None else x.upper()
+
+    df = spark.range(5000).select(F.when(F.col("id") % 7 > 0, F.concat(F.lit("k"), F.col("id") % 3)).alias("a"), (F.col("id") % 2).alias("b"), "id")
+    out = distinct.per_distinct(df, ["a", "b"], {"up": F.udf(spell, "string")(F.col("a")), "b": F.col("b") * 10})
+    got = rows(out, "id", "a", "up", "b")
+    assert got == sorted(((i, a, a and a.upper(), 10 * b) for a, b, i in map(tuple, df.collect())), key=str)
+    assert out.columns == ["a", "b", "id", "up"] and calls.value == 8
+
+
+def test_counts_in_flight_and_their_policies(spark):
+    df = spark.createDataFrame([("1", 1.0), ("1.0", None), (None, 2.0)], "designation string, x double")
+    out, report = survivor.combine_counted(df, "s")
+    assert out.count() == 1 and [tuple(r) for r in report.collect()] == [("s", 3, 1, False)]
+    keyless = df.where("designation is null")
+    with pytest.raises(counts.Alarm, match="s: 1 rows went in"):
+        survivor.combine_counted(keyless, "s", policy="fail")
+    with pytest.warns(UserWarning, match="none came out"):
+        _, report = survivor.combine_counted(keyless, "s")
+    assert report.first()["alarm"] is True
+    assert survivor.combine_counted(keyless, "s", policy="ignore")[1].first()["rows_out"] == 0
+    with pytest.raises(ValueError):
+        counts.Watch("loud")
+
+
+def test_zero_overlap_stops_a_strict_merge(spark):
+    a, b = (spark.createDataFrame([(k,) for k in ks], "designation string") for ks in (["1", "2"], ["3.0", "4.0"]))
+    spec = [merge.SourceSpec("a", a), merge.SourceSpec("b", b)]
+    assert [tuple(r) for r in merge.overlap_report(spec).collect()] == [("b", 0, 2, True)]
+    with pytest.raises(counts.Alarm, match="b matches no key"):
+        merge.overlap_report(spec, policy="fail")
+    watch = counts.Watch("fail")
+    staging.staged(merge.merge([spec[0], merge.SourceSpec("b", a.limit(1).unionByName(b))], set(), watch=watch), "wide")
+    assert merge.overlap_of(watch, spec) == [("b", 1, 2, False)]
+    merge.judge_overlap(watch, spec)
+
+
+def test_merge_shuffles_every_source_once(spark):
+    parts = [spark.range(100).select(F.col("id").cast("string").alias("designation"), F.col("id").alias(f"v{k}")) for k in range(5)]
+    out = merge.merge([merge.SourceSpec(f"s{k}", p) for k, p in enumerate(parts)], set())
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    full = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and full.count("Exchange hashpartitioning") == 1
+    assert out.count() == 100
+
+
+def test_a_table_without_shared_keys_is_left_alone(spark):
+    df = spark.createDataFrame([("1", 1.0), ("2", None), (None, 2.0), (None, 2.0)], "designation string, x double")
+    watch = counts.Watch()
+    assert survivor.combine_shared(df, watch=watch) is df
+    assert watch.counts("dedup") == {"rows_in": 4, "rows_out": 4}
+
+
+def test_a_documented_reason_excuses_a_low_estimate(spark):
+    stats = spark.createDataFrame([("S", 5, 4.0, 0.1), ("Sq", 5, 4.0, 0.1), ("C", 2, 4.0, 0.1), ("V", 9, 1.0, 0.1), ("M", 9, 3.9, 0.1)], "comp_class string, n long, mean double, sd double")
+    why = spark.createDataFrame([("Sq", "few"), ("V", "few"), ("C", "few")], "class string, reason string")
+    got = rows(calibrate.class_verdict(stats, dims.classes(spark), why), "comp_class", "verdict", "reason")
+    assert got == [("C", "not judged", None), ("M", "ok", None), ("S", "too low", None), ("Sq", "ok", "few"), ("V", "too high", None)]
+
+
+def test_many_volumes_are_joined_by_a_shuffle(spark, monkeypatch):
+    df = spark.createDataFrame([("4", 500.0, 1.0, "x"), ("5", 1.0, None, "x")], "designation string, diameter_km double, diameter_sigma_km double, diameter_provider string")
+    a = merge.override_diameters(df, dims.shape_volumes(spark))
+    monkeypatch.setattr(merge, "MAX_VOLUMES", 1)
+    assert rows(merge.override_diameters(df, dims.shape_volumes(spark)), *df.columns) == rows(a, *df.columns)
