@@ -28,6 +28,13 @@ def per_distinct(df: DataFrame, inputs: list[str], outputs: dict[str, Column], e
     """
     counted = (df if evaluate is None else evaluate).groupBy(*inputs).agg(F.count("*").alias("_rows"))
     results = staged(counted.select(*inputs, "_rows", *[c.alias(f"_out_{n}") for n, c in outputs.items()]), "distinct")
+    return brought_back(df, results, inputs, list(outputs))
+
+
+def brought_back(df: DataFrame, results: DataFrame, inputs: list[str], outputs: list[str]) -> DataFrame:
+    """``df`` joined to a written table of ``results``, one row per combination of
+    ``inputs``: how many rows of ``df`` hold it (``_rows``) and a column ``_out_<name>``
+    for each of ``outputs``."""
     found = results.select(*[F.col(c).alias(f"_in_{c}") for c in inputs], "_rows", *[f"_out_{n}" for n in outputs])
     size = found.agg(F.count("*").alias("n"), F.sum("_rows").alias("rows")).first()
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orrery.functions.keys import canonical, comparison_key, matched_form
+from orrery.operators.distinct import brought_back
+from orrery.plans.staging import staged
 
 NAMES = ["designation", "provisional_designation", "name"]
 
@@ -37,24 +39,28 @@ def link_map(links: DataFrame) -> DataFrame:
     )
 
 
+def name_map(aliases: DataFrame, links: DataFrame) -> DataFrame:
+    """(alias, to_designation) of aliases and links in one table.
+
+    An alias goes before a link of the same name; what a link leads to goes through the
+    aliases again.
+    """
+    hop = link_map(links).withColumn("_to", comparison_key(F.col("to_designation")))
+    again = aliases.select(F.col("alias").alias("_to"), F.col("to_designation").alias("_again"))
+    linked = hop.join(again, "_to", "left").select("alias", F.coalesce("_again", "to_designation").alias("_linked"))
+    both = aliases.join(linked, "alias", "full")
+    return both.select("alias", F.coalesce("to_designation", "_linked").alias("to_designation"))
+
+
 def rekey(df: DataFrame, aliases: DataFrame, links: DataFrame | None = None, key: str = "designation") -> DataFrame:
     """``df`` with ``key`` moved onto the backbone; nothing is dropped.
 
-    A key is looked up among the aliases, then among the links, whose answer goes
-    through the aliases again. An unmatched key becomes its canonical form.
-    Links are resolved once, so each row is joined twice at most.
+    A key is looked up among the aliases, then among the links. An unmatched key becomes
+    its canonical form. Rules and look-ups run once per distinct key, not per row.
     """
-    keyed = df.withColumn("_canon", canonical(F.col(key))).withColumn("_k", matched_form(F.col("_canon")))
-    direct = aliases.select(F.col("alias").alias("_k"), F.col("to_designation").alias("_direct"))
-    out = keyed.join(direct, "_k", "left")
-    answer = F.col("_direct")
-    if links is not None:
-        hop = link_map(links).withColumn("_to", comparison_key(F.col("to_designation")))
-        again = aliases.select(F.col("alias").alias("_to"), F.col("to_designation").alias("_again"))
-        resolved = hop.join(again, "_to", "left").select(
-            F.col("alias").alias("_k"), F.coalesce("_again", "to_designation").alias("_linked")
-        )
-        out = out.join(resolved, "_k", "left")
-        answer = F.coalesce(answer, F.col("_linked"))
-    cols = [F.coalesce(answer, F.col("_canon")).alias(c) if c == key else F.col(c) for c in df.columns]
-    return out.select(*cols)
+    names = aliases if links is None else name_map(aliases, links)
+    keys = df.groupBy(key).agg(F.count("*").alias("_rows")).withColumn("_canon", canonical(F.col(key)))
+    known = names.select(F.col("alias").alias("_k"), F.col("to_designation").alias("_known"))
+    found = keys.withColumn("_k", matched_form(F.col("_canon"))).join(known, "_k", "left")
+    results = staged(found.select(key, "_rows", F.coalesce("_known", "_canon").alias(f"_out_{key}")), "keys")
+    return brought_back(df, results, [key], [key])

@@ -34,7 +34,7 @@ def pool(
     many fits meets that value where its rows are (``join_counted``) and is summed
     there. Ties of ``first_by`` go to the smaller ``ties``, then to a hash.
     """
-    df = df.where(F.col(key).isNotNull())
+    df = staged(df.where(F.col(key).isNotNull()), "measurements")  # read several times below
     rest = [c for c in df.columns if c != key and c not in {x for p in pairs for x in p} and c not in texts and c not in flags and c != count]
     pivots = df.groupBy(key).agg(
         F.count("*").alias("_rows"),

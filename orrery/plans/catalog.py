@@ -13,7 +13,7 @@ from orrery.functions.keys import canonical, number_or_name, unpack_number
 from orrery.operators import classify, impute, release, resolve, validate
 from orrery.operators.counts import Watch
 from orrery.operators.distinct import per_distinct
-from orrery.operators.identity import alias_map, rekey
+from orrery.operators.identity import alias_map, name_map, rekey
 from orrery.operators.merge import SourceSpec, active, judge_overlap, merge, override_diameters
 from orrery.operators.pool import pool
 from orrery.operators.survivor import combine_shared
@@ -27,10 +27,14 @@ ORBIT = (*ELEMENTS, "perihelion_au", "aphelion_au", "orbital_period_yr", "mean_m
 RECORDS = [["diameter_km", "diameter_sigma_km"], ["albedo", "albedo_sigma"], ["estimated_mass_kg", "estimated_mass_sigma_kg"]]
 
 
+def clean_fits(fits: DataFrame) -> DataFrame:
+    """Raw fits with unfitted slots and bad pairs blanked."""
+    return mask_unfitted(fits.withColumn("stacked", stacked_flag(F.col("stacked"))))
+
+
 def fits_source(fits: DataFrame) -> DataFrame:
     """Raw fits: keys made whole, unfitted slots and bad pairs blanked."""
-    out = fits.withColumns({"designation": canonical(F.col("designation")), "stacked": stacked_flag(F.col("stacked"))})
-    return mask_unfitted(out)
+    return clean_fits(per_distinct(fits, ["designation"], {"designation": canonical(F.col("designation"))}))
 
 
 def pooled(fits: DataFrame) -> DataFrame:
@@ -64,11 +68,10 @@ def _dedup(df: DataFrame) -> DataFrame:
 def sources(views: dict[str, DataFrame]) -> list[SourceSpec]:
     """The sources in precedence order, re-keyed, pooled and deduplicated."""
     orbits = views["fx_orbits"].withColumn("designation", canonical(F.col("designation")))
-    aliases = alias_map(orbits)
-    links = views["fx_links"]
-    best = rekey(views["fx_best"], aliases, links)
-    compendium = rekey(compendium_source(views["fx_compendium"]), aliases, links)
-    fits = rekey(fits_source(views["fx_fits"]), aliases, links)
+    names = staged(name_map(alias_map(orbits), views["fx_links"]), "names")
+    best = rekey(views["fx_best"], names)
+    compendium = rekey(compendium_source(views["fx_compendium"]), names)
+    fits = rekey(clean_fits(views["fx_fits"]), names)
     return [
         SourceSpec("orbits", _dedup(orbits)),
         SourceSpec("best", _dedup(best)),
