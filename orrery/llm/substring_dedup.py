@@ -28,10 +28,12 @@ integer. Columns of any other name are ignored. An empty table gives an empty re
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +48,9 @@ SPAN = WINDOW - GRAM + 1
 SIDE = (WINDOW - GRAM) // 2
 #: A bitmap of shared hashes: SLICES x 4096 bytes, 32 MB, whatever the corpus.
 SLICES, SLICE_BITS = 8192, 32_768
-#: Distinct hashes gathered before they are sent on, and bytes of text worked on at once.
-FLUSH, BLOCK_BYTES = 4_000_000, 1 << 20
+#: Distinct hashes and segments gathered before they are sent on, and bytes of text worked
+#: on at once.
+FLUSH, FLUSH_SEGMENTS, BLOCK_BYTES = 1_000_000, 150_000, 1 << 20
 #: Segments with one anchor beyond which they are split by whole windows.
 HOT_SEGMENTS = 50_000
 #: Segments that are put in suffix order at once, more or less.
@@ -277,44 +280,97 @@ def occurrences(docs: DataFrame, anchors, longer) -> DataFrame:
                 h, start, size = candidates(data, sizes, anchors, longer)
                 owner = row + np.searchsorted(np.cumsum(sizes), start, side="right")
                 begin = start - (np.cumsum(sizes) - sizes)[owner - row]
-                raw = data.tobytes()
-                blobs = [raw[a : a + b + WINDOW - 1] for a, b in zip(start.tolist(), size.tolist())]
-                out = [h.view(np.int64), ids[owner], texts[owner], begin]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, out), pa.array(blobs, pa.binary())], names=["hash", "doc_id", "text_id", "start", "segment"])
+                raw, length = data.tobytes(), size + WINDOW - 1
+                named = [segment_id(raw[a : a + b]) for a, b in zip(start.tolist(), length.tolist())]
+                out = [h.view(np.int64), np.array(named, np.uint64).view(np.int64), ids[owner], texts[owner], begin, length]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["hash", "id", "doc_id", "text_id", "start", "length"])
 
-    found = _texts(docs).mapInArrow(run, "hash long, doc_id long, text_id long, start long, segment binary")
-    return found.select("hash", F.xxhash64("segment").alias("id"), "doc_id", "text_id", "start", F.octet_length("segment").cast("long").alias("length"))
+    return _texts(docs).mapInArrow(run, "hash long, id long, doc_id long, text_id long, start long, length long")
 
 
-def with_bytes(docs: DataFrame, anchors, longer) -> DataFrame:
-    """hash, id, doc_id, n and segment (its bytes) of candidate segments; equal ones among
-    neighbouring texts only once, with the least doc_id and how many they are."""
+def segment_id(segment: bytes) -> int:
+    """As Spark's ``xxhash64``, unsigned."""
+    return xxhash.xxh64_intdigest(segment, 42)
+
+
+def packed(docs: DataFrame, anchors, longer, hot, slices: int) -> DataFrame:
+    """slice and blob: candidate segments whose anchor is not ``hot`` (sorted hashes), packed
+    by the slice of their hash; equal ones among neighbouring texts only once, with the
+    least doc_id and how many they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy()
-            least: dict[tuple[int, bytes], tuple[int, int]] = {}
-            for row, data, sizes in _blocks(batch, 2):
-                h, start, size = candidates(data, sizes, anchors, longer)
-                owner = ids[row + np.searchsorted(np.cumsum(sizes), start, side="right")]
-                raw = data.tobytes()
-                for x, a, b, doc in zip(h.view(np.int64).tolist(), start.tolist(), size.tolist(), owner.tolist()):
-                    one = x, raw[a : a + b + WINDOW - 1]
-                    had, n = least.get(one, (doc, 0))
-                    least[one] = min(doc, had), n + 1
-                if len(least) > 200_000:
-                    yield _segment_batch(least)
-                    least = {}
-            if least:
-                yield _segment_batch(least)
+        least: dict[tuple[int, bytes], tuple[int, int]] = {}
+        for h, segment, doc in _each(batches, anchors, longer, hot.value, False):
+            one = h, segment
+            had, n = least.get(one, (doc, 0))
+            least[one] = min(doc, had), n + 1
+            if len(least) >= FLUSH_SEGMENTS:
+                yield pack(least, slices)
+                least = {}
+        if least:
+            yield pack(least, slices)
+
+    return _texts(docs).mapInArrow(run, "slice long, blob binary")
+
+
+def pack(least: dict[tuple[int, bytes], tuple[int, int]], slices: int) -> pa.RecordBatch:
+    """Rows of slice and blob: hashes, documents, counts, lengths and bytes, compressed."""
+    keys = list(least)
+    h = np.array([k[0] for k in keys], np.int64)
+    at = h % slices
+    by = np.lexsort((h, at))
+    numbers = np.array(list(least.values()), np.int64)[by]
+    h, at, blobs = h[by], at[by], [keys[k][1] for k in by.tolist()]
+    sizes = np.array([len(x) for x in blobs], np.int64)
+    edges = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    out = []
+    for lo, hi in zip(edges.tolist(), [*edges[1:].tolist(), len(h)]):
+        head = np.concatenate([[hi - lo], h[lo:hi], numbers[lo:hi, 0], numbers[lo:hi, 1], sizes[lo:hi]])
+        out.append(zlib.compress(head.tobytes() + b"".join(blobs[lo:hi]), 1))
+    return pa.RecordBatch.from_arrays([pa.array(at[edges]), pa.array(out, pa.binary())], names=["slice", "blob"])
+
+
+def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    raw = zlib.decompress(blob)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    h, doc, count, sizes = np.frombuffer(raw, np.int64, 4 * n, 8).reshape(4, n)
+    ends = (8 + 32 * n + np.cumsum(sizes)).tolist()
+    return h, doc, count, [raw[e - s : e] for e, s in zip(ends, sizes.tolist())]
+
+
+def with_bytes(docs: DataFrame, anchors, longer, hot) -> DataFrame:
+    """hash, id, doc_id and segment (its bytes) of candidate segments with a ``hot`` anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, bytes, int]] = []
 
-    found = _texts(docs).mapInArrow(run, "hash long, doc_id long, n long, segment binary")
-    return found.select("hash", F.xxhash64("segment").alias("id"), "doc_id", "n", "segment")
+        def batch() -> pa.RecordBatch:
+            h, segment, doc = zip(*held)
+            return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(doc, pa.int64()), pa.array(segment, pa.binary())], names=["hash", "doc_id", "segment"])
 
+        for one in _each(batches, anchors, longer, hot.value, True):
+            held.append(one)
+            if len(held) >= FLUSH_SEGMENTS:
+                yield batch()
+                held.clear()
+        if held:
+            yield batch()
 
-def _segment_batch(least: dict[tuple[int, bytes], tuple[int, int]]) -> pa.RecordBatch:
-    numbers = [pa.array(x, pa.int64()) for x in ([k[0] for k in least], *zip(*least.values()))]
-    return pa.RecordBatch.from_arrays([*numbers, pa.array([k[1] for k in least], pa.binary())], names=["hash", "doc_id", "n", "segment"])
+    found = _texts(docs).mapInArrow(run, "hash long, doc_id long, segment binary")
+    return found.select("hash", F.xxhash64("segment").alias("id"), "doc_id", "segment")
+
+
+def _each(batches: Iterator[pa.RecordBatch], anchors, longer, hot: np.ndarray, only_hot: bool) -> Iterator[tuple[int, bytes, int]]:
+    for batch in batches:
+        ids = batch.column(0).to_numpy()
+        for row, data, sizes in _blocks(batch, 2):
+            h, start, size = candidates(data, sizes, anchors, longer)
+            keep = np.isin(h.view(np.int64), hot) == only_hot
+            h, start, size = h[keep], start[keep], size[keep]
+            owner = ids[row + np.searchsorted(np.cumsum(sizes), start, side="right")]
+            raw = data.tobytes()
+            for x, a, b, doc in zip(h.view(np.int64).tolist(), start.tolist(), size.tolist(), owner.tolist()):
+                yield x, raw[a : a + b + WINDOW - 1], doc
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -323,38 +379,34 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def factor_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of segments (hash, id, doc_id, n, segment) in the order of hash and segment: hash, id,
-    the first document, how many rows have it, and the spans (from, to) whose windows a
-    document before the first has in another segment."""
-    held: list[pa.RecordBatch] = []
-    count = 0
+    """Of packed segments (slice, blob) in the order of slices: hash, id, the first
+    document, how many rows have it, and the spans (from, to) whose windows a document
+    before the first has in another segment. Slices are worked on together until they
+    hold BLOCK_SEGMENTS."""
+    held: list[tuple] = []
+    at, count = None, 0
     for batch in batches:
-        while batch.num_rows:
-            if count < BLOCK_SEGMENTS:
-                held.append(batch)
-                count += batch.num_rows
-                break
-            # Enough: the block ends where the hash changes.
-            last = held[-1].column(0)[-1].as_py()
-            other = np.flatnonzero(batch.column(0).to_numpy() != last)
-            cut = int(other[0]) if len(other) else batch.num_rows
-            if cut:
-                held.append(batch.slice(0, cut))
-                batch = batch.slice(cut)
-            if len(other):
+        for here, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if here != at and count >= BLOCK_SEGMENTS:
                 yield _factor_block(held)
                 held, count = [], 0
+            at = here
+            held.append(unpack(blob.as_buffer().to_pybytes()))
+            count += len(held[-1][0])
     if held:
         yield _factor_block(held)
 
 
-def _factor_block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-    hashes, ids, docs, n = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in range(4))
-    blobs = [x for b in held for x in b.column(4).to_pylist()]
+def _factor_block(held: list[tuple]) -> pa.RecordBatch:
+    hashes, docs, n = (np.concatenate([part[k] for part in held]) for k in range(3))
+    blobs = [x for part in held for x in part[3]]
+    by = sorted(range(len(blobs)), key=lambda k: blobs[k])
+    by = np.array(by)[np.argsort(hashes[by], kind="stable")]
+    hashes, docs, n, blobs = hashes[by], docs[by], n[by], [blobs[k] for k in by.tolist()]
     new = np.fromiter((k == 0 or x != blobs[k - 1] for k, x in enumerate(blobs)), bool, len(blobs))
     head = np.flatnonzero(new)
     first, rows = np.minimum.reduceat(docs, head), np.add.reduceat(n, head)
-    blobs = [blobs[k] for k in head]
+    blobs = [blobs[k] for k in head.tolist()]
     # A segment that is alone with its anchor has no other to match.
     anchor = hashes[head]
     alone = np.ones(len(head), bool)
@@ -378,7 +430,8 @@ def _factor_block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
     keep = np.flatnonzero((rows > 1) | (held_by > 0))
     bounds = np.concatenate([[0], np.cumsum(held_by[keep])])
     spans = pa.StructArray.from_arrays([pa.array(nth[a]), pa.array(nth[b] + WINDOW)], names=["from", "to"])
-    out = [pa.array(x[keep]) for x in (anchor, ids[head], first, rows)]
+    ids = np.array([segment_id(blobs[k]) for k in keep.tolist()], np.uint64).view(np.int64)
+    out = [pa.array(x) for x in (anchor[keep], ids, first[keep], rows[keep])]
     lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), spans)
     return pa.RecordBatch.from_arrays([*out, lists], names=["hash", "id", "first", "n", "spans"])
 
@@ -386,7 +439,7 @@ def _factor_block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
 def by_window(rows: DataFrame) -> DataFrame:
     """What ``factor_spans`` gives, for anchors with very many segments: every window is
     joined to the first document that has it."""
-    own = rows.groupBy("hash", "id").agg(F.min("doc_id").alias("first"), F.sum("n").alias("n"), F.min("segment").alias("segment"))
+    own = rows.groupBy("hash", "id").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"), F.min("segment").alias("segment"))
     own = materialise(own, "hot-segments")
     nth = F.sequence(F.lit(0), F.octet_length("segment") - WINDOW)
     each = own.select("hash", "id", "first", "segment", F.explode(nth).alias("nth"))
@@ -399,22 +452,22 @@ def by_window(rows: DataFrame) -> DataFrame:
 
 
 def earlier_spans(docs: DataFrame, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
-    """(doc_id, text_id, spans): the spans of bytes, of each text that has any, that an
-    earlier document has; they may overlap. ``text_id`` is the xxhash64 of the text."""
+    """(doc_id, text_id, spans): the maximal spans of bytes, of each text that has any, that
+    an earlier document has. ``text_id`` is the xxhash64 of the text."""
     spread = docs.sparkSession.sparkContext.broadcast
     anchors = spread(shared_hashes(docs, anchor_keys))
     longer = spread(shared_hashes(docs, side_keys(anchors)))
     rows = materialise(occurrences(docs, anchors, longer), "occurrences")
-    hot = materialise(rows.groupBy("hash").agg(F.count("*").alias("of")).where(F.col("of") > hot_segments).select("hash"), "hot-anchors")
-    cold = with_bytes(docs, anchors, longer)
-    n_hot = hot.count()
-    few = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
-    if n_hot:
-        cold = cold.join(few, "hash", "left_anti")
-    placed = cold.repartition("hash").sortWithinPartitions("hash", "segment")
+    # Fewer than MAX_BROADCAST_ROWS anchors hold more than this.
+    total = rows.count()
+    limit = max(hot_segments, total // MAX_BROADCAST_ROWS)
+    many = rows.groupBy("hash").agg(F.count("*").alias("of")).where(F.col("of") > limit)
+    listed = np.sort(np.array([r["hash"] for r in many.select("hash").collect()], np.int64))
+    hot = spread(listed)
+    placed = packed(docs, anchors, longer, hot, max(SLICES, total // BLOCK_SEGMENTS)).repartition("slice").sortWithinPartitions("slice")
     findings = placed.mapInArrow(factor_spans, f"hash long, id long, first long, n long, spans {SPANS}")
-    if n_hot:
-        findings = findings.unionByName(by_window(with_bytes(docs, anchors, longer).join(few, "hash", "left_semi")))
+    if len(listed):
+        findings = findings.unionByName(by_window(with_bytes(docs, anchors, longer, hot)))
     # All of a segment goes in documents after its first; in the first, what was found.
     key = F.struct("hash", "id").alias("at")
     known = materialise(findings.select(key, "first", "n", "spans"), "findings")
@@ -424,7 +477,29 @@ def earlier_spans(docs: DataFrame, hot_segments: int = HOT_SEGMENTS) -> DataFram
     own = F.transform("spans", lambda x: span(start + x["from"], start + x["to"]))
     joined = join_counted(rows.select(key, "doc_id", "text_id", "start", "length"), known, "at", "n")
     late = joined.withColumn("spans", F.when(F.col("doc_id") > F.col("first"), whole).otherwise(own)).where("size(spans) > 0")
-    return late.groupBy("doc_id", "text_id").agg(F.flatten(F.collect_set("spans")).alias("spans"))
+    each = late.groupBy("doc_id", "text_id").agg(F.flatten(F.collect_set("spans")).alias("spans"))
+    return each.mapInArrow(_united, f"doc_id long, text_id long, spans {SPANS}")
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans that overlap or meet become one."""
+    for batch in batches:
+        lists = batch.column(2)
+        a, b = (x.to_numpy() for x in lists.flatten().flatten())
+        row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        by = np.lexsort((a, row))
+        a, b, row = a[by], b[by], row[by]
+        # Each row is moved past the end of the one before, so that one running maximum does.
+        far = np.cumsum(np.append(0, np.maximum.reduceat(b, np.flatnonzero(np.append(True, row[1:] != row[:-1])))[:-1] + 1))[row] if len(a) else a
+        reach = np.maximum.accumulate(b + far)
+        new = np.ones(len(a), bool)
+        new[1:] = (a + far)[1:] > reach[:-1]
+        head = np.flatnonzero(new)
+        stop = (reach - far)[np.append(head[1:], len(a)) - 1] if len(a) else a
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(row[head], minlength=len(lists)))])
+        spans = pa.StructArray.from_arrays([pa.array(a[head]), pa.array(stop)], names=["from", "to"])
+        out = [batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), spans)]
+        yield pa.RecordBatch.from_arrays(out, names=["doc_id", "text_id", "spans"])
 
 
 def window_order(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -467,16 +542,7 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes, removed, kept = [], [], []
         for text, spans in zip(batch.column(1), batch.column(2)):
             data = text.as_buffer().to_pybytes() if text.is_valid else b""
-            gone: list[tuple[int, int]] = []
-            if spans.is_valid:
-                flat = spans.values.flatten()
-                a, b = (np.asarray(x.to_numpy()) for x in flat)
-                by = np.argsort(a, kind="stable")
-                a, b = a[by], np.maximum.accumulate(b[by])
-                new = np.ones(len(a), bool)
-                new[1:] = a[1:] > b[:-1]
-                head = np.flatnonzero(new)
-                gone = list(zip(a[head].tolist(), b[np.append(head[1:], len(a)) - 1].tolist()))
+            gone = [(x["from"], x["to"]) for x in spans.as_py() or []]
             at, parts = 0, []
             for lo, hi in gone:
                 parts.append(data[at:lo])
