@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1000
 
 
-def join_counted(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
-    """``rows`` joined to ``table`` on ``key``.
+def join_counted(rows: DataFrame, table: DataFrame, key: str | list[str], count: str) -> DataFrame:
+    """``rows`` joined to ``table`` on ``key``, a column or several.
 
     ``table`` is a written table with one row per key and, in ``count`` (dropped),
     how many of ``rows`` hold it. Its rows of hot keys are broadcast, so the rows
