@@ -48,9 +48,9 @@ SPAN = WINDOW - GRAM + 1
 SIDE = (WINDOW - GRAM) // 2
 #: A bitmap of shared hashes: SLICES x 4096 bytes, 32 MB, whatever the corpus.
 SLICES, SLICE_BITS = 8192, 32_768
-#: Distinct hashes and segments gathered before they are sent on, and bytes of text worked
-#: on at once.
-FLUSH, FLUSH_SEGMENTS, BLOCK_BYTES = 1_000_000, 150_000, 1 << 20
+#: Distinct hashes, segments and spans gathered before they are sent on, and bytes of text
+#: worked on at once, so few that their arrays stay in a core's cache.
+FLUSH, FLUSH_SEGMENTS, FLUSH_SPANS, BLOCK_BYTES = 1_000_000, 150_000, 500_000, 1 << 16
 #: Segments with one anchor beyond which they are split by whole windows.
 HOT_SEGMENTS = 50_000
 #: Segments that are put in suffix order at once, more or less.
@@ -299,33 +299,37 @@ def packed(docs: DataFrame, anchors, longer, hot, slices: int) -> DataFrame:
     least doc_id and how many they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least: dict[tuple[int, bytes], tuple[int, int]] = {}
+        least: dict[bytes, list[int]] = {}
         for h, segment, doc in _each(batches, anchors, longer, hot.value, False):
-            one = h, segment
-            had, n = least.get(one, (doc, 0))
-            least[one] = min(doc, had), n + 1
-            if len(least) >= FLUSH_SEGMENTS:
-                yield pack(least, slices)
-                least = {}
+            had = least.get(segment)
+            if had is None:
+                if len(least) >= FLUSH_SEGMENTS:
+                    yield pack(least, slices)
+                    least = {}
+                least[segment] = [h, doc, 1]
+                continue
+            had[2] += 1
+            if doc < had[1]:
+                had[1] = doc
         if least:
             yield pack(least, slices)
 
     return _texts(docs).mapInArrow(run, "slice long, blob binary")
 
 
-def pack(least: dict[tuple[int, bytes], tuple[int, int]], slices: int) -> pa.RecordBatch:
-    """Rows of slice and blob: hashes, documents, counts, lengths and bytes, compressed."""
-    keys = list(least)
-    h = np.array([k[0] for k in keys], np.int64)
-    at = h % slices
-    by = np.lexsort((h, at))
-    numbers = np.array(list(least.values()), np.int64)[by]
-    h, at, blobs = h[by], at[by], [keys[k][1] for k in by.tolist()]
+def pack(least: dict[bytes, list[int]], slices: int) -> pa.RecordBatch:
+    """Rows of slice and blob, from the hash, the document and the count of each segment:
+    hashes, documents, counts, lengths and bytes, compressed."""
+    keys, numbers = list(least), np.array(list(least.values()), np.int64)
+    at = numbers[:, 0] % slices
+    by = np.lexsort((numbers[:, 0], at))
+    numbers, at, blobs = numbers[by], at[by], [keys[k] for k in by.tolist()]
+    h = numbers[:, 0]
     sizes = np.array([len(x) for x in blobs], np.int64)
     edges = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
     out = []
     for lo, hi in zip(edges.tolist(), [*edges[1:].tolist(), len(h)]):
-        head = np.concatenate([[hi - lo], h[lo:hi], numbers[lo:hi, 0], numbers[lo:hi, 1], sizes[lo:hi]])
+        head = np.concatenate([[hi - lo], h[lo:hi], numbers[lo:hi, 1], numbers[lo:hi, 2], sizes[lo:hi]])
         out.append(zlib.compress(head.tobytes() + b"".join(blobs[lo:hi]), 1))
     return pa.RecordBatch.from_arrays([pa.array(at[edges]), pa.array(out, pa.binary())], names=["slice", "blob"])
 
@@ -369,8 +373,8 @@ def _each(batches: Iterator[pa.RecordBatch], anchors, longer, hot: np.ndarray, o
             h, start, size = h[keep], start[keep], size[keep]
             owner = ids[row + np.searchsorted(np.cumsum(sizes), start, side="right")]
             raw = data.tobytes()
-            for x, a, b, doc in zip(h.view(np.int64).tolist(), start.tolist(), size.tolist(), owner.tolist()):
-                yield x, raw[a : a + b + WINDOW - 1], doc
+            found = [raw[a:b] for a, b in zip(start.tolist(), (start + size + WINDOW - 1).tolist())]
+            yield from zip(h.view(np.int64).tolist(), found, owner.tolist())
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -469,37 +473,78 @@ def earlier_spans(docs: DataFrame, hot_segments: int = HOT_SEGMENTS) -> DataFram
     if len(listed):
         findings = findings.unionByName(by_window(with_bytes(docs, anchors, longer, hot)))
     # All of a segment goes in documents after its first; in the first, what was found.
-    key = F.struct("hash", "id").alias("at")
-    known = materialise(findings.select(key, "first", "n", "spans"), "findings")
+    known = materialise(findings, "findings")
     span = lambda a, b: F.struct(a.cast("long").alias("from"), b.cast("long").alias("to"))
     start = F.col("start")
     whole = F.array(span(start, start + F.col("length")))
     own = F.transform("spans", lambda x: span(start + x["from"], start + x["to"]))
-    joined = join_counted(rows.select(key, "doc_id", "text_id", "start", "length"), known, "at", "n")
-    late = joined.withColumn("spans", F.when(F.col("doc_id") > F.col("first"), whole).otherwise(own)).where("size(spans) > 0")
-    each = late.groupBy("doc_id", "text_id").agg(F.flatten(F.collect_set("spans")).alias("spans"))
-    return each.mapInArrow(_united, f"doc_id long, text_id long, spans {SPANS}")
+    joined = join_counted(rows, known, ["hash", "id"], "n")
+    gone = F.inline(F.when(F.col("doc_id") > F.col("first"), whole).otherwise(own))
+    # Repeated rows become one and neighbouring segments one span before anything is sent.
+    near = joined.select("doc_id", "text_id", gone).mapInArrow(_united, SPAN_ROWS)
+    placed = near.repartition("doc_id", "text_id").sortWithinPartitions("doc_id", "text_id")
+    return placed.mapInArrow(_listed, f"doc_id long, text_id long, spans {SPANS}")
+
+
+SPAN_ROWS = "doc_id long, text_id long, from long, to long"
+
+
+def unite(rows: np.ndarray) -> np.ndarray:
+    """Rows doc_id, text_id, from, to in order, where spans that overlap or meet are one."""
+    doc, text, a, b = rows[:, np.lexsort((rows[2], rows[1], rows[0]))]
+    if not len(doc):
+        return rows
+    group = np.cumsum(np.append(0, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])))
+    # Each text is moved past the end of the one before, so that one running maximum does.
+    far = group * (b.max() + 1)
+    reach = np.maximum.accumulate(b + far)
+    head = np.flatnonzero(np.append(True, (a + far)[1:] > reach[:-1]))
+    stop = reach[np.append(head[1:], len(a)) - 1] - far[head]
+    return np.stack([doc[head], text[head], a[head], stop])
+
+
+def _numbers(batch: pa.RecordBatch) -> np.ndarray:
+    return np.stack([column.to_numpy() for column in batch.columns])
 
 
 def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans that overlap or meet become one."""
+    """Spans united as far as FLUSH_SPANS of them lie together."""
+    held: list[np.ndarray] = []
+    count = 0
+
+    def flush() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in unite(np.concatenate(held, axis=1))], names=["doc_id", "text_id", "from", "to"])
+
+    for batch in batches:
+        held.append(_numbers(batch))
+        count += len(batch)
+        if count >= FLUSH_SPANS:
+            yield flush()
+            held, count = [], 0
+    if count:
+        yield flush()
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in the order of texts: the spans of each text as one list. What is held
+    from batch to batch are the united spans of one text."""
+
+    def lists(rows: np.ndarray) -> pa.RecordBatch:
+        doc, text, a, b = rows
+        head = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])))
+        spans = pa.StructArray.from_arrays([pa.array(a), pa.array(b)], names=["from", "to"])
+        each = pa.ListArray.from_arrays(pa.array(np.append(head, len(doc)), pa.int32()), spans)
+        return pa.RecordBatch.from_arrays([pa.array(doc[head]), pa.array(text[head]), each], names=["doc_id", "text_id", "spans"])
+
+    held = np.zeros((4, 0), np.int64)
     for batch in batches:
-        lists = batch.column(2)
-        a, b = (x.to_numpy() for x in lists.flatten().flatten())
-        row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-        by = np.lexsort((a, row))
-        a, b, row = a[by], b[by], row[by]
-        # Each row is moved past the end of the one before, so that one running maximum does.
-        far = np.cumsum(np.append(0, np.maximum.reduceat(b, np.flatnonzero(np.append(True, row[1:] != row[:-1])))[:-1] + 1))[row] if len(a) else a
-        reach = np.maximum.accumulate(b + far)
-        new = np.ones(len(a), bool)
-        new[1:] = (a + far)[1:] > reach[:-1]
-        head = np.flatnonzero(new)
-        stop = (reach - far)[np.append(head[1:], len(a)) - 1] if len(a) else a
-        bounds = np.concatenate([[0], np.cumsum(np.bincount(row[head], minlength=len(lists)))])
-        spans = pa.StructArray.from_arrays([pa.array(a[head]), pa.array(stop)], names=["from", "to"])
-        out = [batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), spans)]
-        yield pa.RecordBatch.from_arrays(out, names=["doc_id", "text_id", "spans"])
+        held = unite(np.concatenate([held, _numbers(batch)], axis=1))
+        last = (held[0] == held[0, -1]) & (held[1] == held[1, -1]) if held.size else np.zeros(0, bool)
+        if not last.all():
+            yield lists(held[:, ~last])
+            held = held[:, last]
+    if held.size:
+        yield lists(held)
 
 
 def window_order(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -6,6 +6,7 @@ from collections import defaultdict
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from orrery.llm import periodic_runs, substring_dedup, suffixes, whitening
@@ -151,6 +152,30 @@ def copies(spark, docs, prose):
     rows += [(3100, prose(900, 60)), (3100, prose(900, 60) + passage), (3101, prose(900, 40)), (None, passage), (4000, "")]
     return spark.createDataFrame(rows, "doc_id long, text string").repartition(5), rows
 
+def test_spans_are_united_across_batches():
+    rng = random.Random(8)
+    rows = sorted((rng.randint(0, 6), rng.randint(-1, 1), a, a + rng.randint(1, 30)) for a in (rng.randint(0, 400) for _ in range(900)))
+    covered = defaultdict(set)
+    for doc, text, a, b in rows:
+        covered[doc, text].update(range(a, b))
+    names = ["doc_id", "text_id", "from", "to"]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows[k : k + 37]]) for k in range(0, len(rows), 37)]
+    near = list(substring_dedup._united(iter(batches)))
+    assert sum(map(len, near)) < len(rows)
+    got = {}
+    for batch in substring_dedup._listed(iter(batches)):
+        for r in batch.to_pylist():
+            assert (r["doc_id"], r["text_id"]) not in got
+            got[r["doc_id"], r["text_id"]] = [(x["from"], x["to"]) for x in r["spans"]]
+    want = {k: [] for k in covered}
+    for k, places in covered.items():
+        for p in sorted(places):
+            if want[k] and want[k][-1][1] == p:
+                want[k][-1] = (want[k][-1][0], p + 1)
+            else:
+                want[k].append((p, p + 1))
+    assert got == want
+
 
 @pytest.mark.parametrize("hot", [substring_dedup.HOT_SEGMENTS, 0])
 def test_removal_equals_all_strings(copies, hot):
