@@ -21,8 +21,9 @@ met where its postings are.
 
 Defined results. Null, empty or separator-only text: no words, never
 contaminated. An item without words has no windows. Repeated rows, also under
-one id, are judged each. Repeated items count as items of their own. Extra
-columns are ignored.
+one id, are judged each. Items under one id count as one in ``n_items`` and ``n_near``, each
+with its own text; the id of an item without one is the empty text. Extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -70,6 +71,8 @@ def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     ended = materialise(terms.select("term", "word").unionByName(end), "terms")
     # Rows are numbered before they are exploded into tokens.
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
+    if ended.count() > MAX_BROADCAST_ROWS:  # read once per part of the terms
+        rows = materialise(rows, "numbered-documents")
     tokens = rows.select(
         "rid", "doc_id", F.posexplode(F.concat(words(F.col("text")), F.array(F.lit(END)))).alias("pos", "word")
     )
@@ -125,6 +128,7 @@ def contamination(docs: DataFrame, items: DataFrame, share: int = 20, near: bool
 
     A document is contaminated if ``n_hit > 0 and share * n_hit >= n_words``.
     """
+    items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
     wins, owners = windows(items)
     wins = materialise(wins.withColumn("win_id", F.monotonically_increasing_id()), "distinct-windows")
     terms = vocabulary(wins)
@@ -138,7 +142,7 @@ def contamination(docs: DataFrame, items: DataFrame, share: int = 20, near: bool
     spans = hits.select("rid", "start", "len").distinct()
     fresh = spans.select("rid", F.greatest(F.lit(0), end - F.greatest("start", reach)).alias("fresh"))
     hit = fresh.groupBy("rid").agg(F.sum("fresh").alias("n_hit"))
-    owner = owners.join(wins.select("win_id", "win"), "win").select("win_id", F.col("item_id").cast("string").alias("i"))
+    owner = owners.join(wins.select("win_id", "win"), "win").select("win_id", F.col("item_id").alias("i"))
     owner = materialise(owner.distinct(), "owners")
     items_of = (
         join_parts(hits.select("rid", "win_id").distinct(), owner, ["win_id"])

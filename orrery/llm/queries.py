@@ -109,7 +109,7 @@ _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQ
 ORACLE_SQL: dict[str, str] = {
     "op10_decontamination": f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
-b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, {_WORDS} AS w FROM benchmark),
 win AS (SELECT item_id, least(len(w), 13) AS n, array_to_string(w[s:s + 12], ' ') AS k
  FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS s FROM b WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT n FROM win),
@@ -117,7 +117,7 @@ pos AS (SELECT rid, n, s, array_to_string(w[s:s + n - 1], ' ') AS k
  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n)),
 occ AS (SELECT rid, s, pos.n, item_id FROM pos JOIN win ON win.k = pos.k AND win.n = pos.n),
 hit AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT rid, s, n FROM occ)) GROUP BY rid),
-own AS (SELECT rid, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS i FROM occ) GROUP BY rid),
+own AS (SELECT rid, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (SELECT DISTINCT rid, item_id AS i FROM occ) GROUP BY rid),
 tok AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
 cf AS (SELECT word, count(*) AS cf FROM tok GROUP BY 1),
 rare AS (SELECT q, item_id, n, word, row_number() OVER (PARTITION BY q ORDER BY coalesce(cf, 0), word) AS k
