@@ -17,6 +17,10 @@ Defined results. Null, empty or blank text: all counts 0 and base_failed, since
 fewer than 20 words. No labels, or none that says 0: an empty list, so the base
 rules decide alone. Ties between conditions: the first in the fixed order of
 statistics and thresholds. Repeated rows are judged each, extra columns ignored.
+A document labelled more than once counts once per label, contradicting labels too,
+and repeated rows under one id are learned from each; a row or a label without id has
+no counterpart. Thresholds are values at exact ranks, so the list does not depend on
+how rows are partitioned.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery.llm.common import BLANK, materialise
+from orrery.operators.quantile import exact_values
+from orrery.operators.skew import join_counted
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
@@ -141,18 +147,23 @@ def _all(rule: list[Condition], how: str) -> Column:
 
 def learn(stats: DataFrame, labels: DataFrame) -> list[list[Condition]]:
     """The decision list for labels (doc_id, quality), by sequential covering."""
-    y = labels.where("quality in (0, 1)").select("doc_id", (F.col("quality") == 0).cast("int").alias("bad"))
-    ratios = {k: F.expr(v) for k, v in FEATURES.items()}
-    seen = stats.where(~base_failed()).join(y, "doc_id")
-    seen = materialise(
-        seen.select("bad", (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("hold"), *[v.alias(k) for k, v in ratios.items()]),
-        "labelled",
-    )
-    points = seen.agg(*[F.percentile_approx(k, CUTS, 2000).alias(k) for k in FEATURES]).first()
-    cuts = {k: sorted(set(points[k] or [])) for k in FEATURES}
+    mine = stats.where(~base_failed())
+    # Labels are counted per id first, so neither side of the join can have a hot id.
+    marks = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.sum(1 - F.col("quality")).alias("low"), F.sum("quality").alias("high"))
+    known = marks.join(mine.groupBy("doc_id").agg(F.count("*").alias("of")), "doc_id")
+    seen = join_counted(mine, materialise(known, "known-labels"), "doc_id", "of")
+    each = [F.struct(F.lit(bad).alias("bad"), F.col(c).cast("long").alias("n")) for bad, c in ((1, "low"), (0, "high"))]
+    ratios = [F.expr(v).alias(k) for k, v in FEATURES.items()]
+    hold = (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("hold")
+    seen = materialise(seen.select(F.inline(F.array(*each)), hold, *ratios).where("n > 0"), "labelled")
+    values = F.explode(F.array(*[F.struct(F.lit(k).alias("f"), F.col(k).alias("v")) for k in FEATURES]))
+    ranks = lambda n: F.array(*[F.greatest(F.lit(0), F.ceil(q * n) - 1) for q in CUTS])
+    points = exact_values(seen.select("n", values.alias("x")).select("n", "x.*"), ["f"], "v", ranks, F.col("n"))
+    points = points.select("f", "value").distinct().collect()  # features x CUTS rows at most
+    cuts = {k: sorted(r["value"] for r in points if r["f"] == k) for k in FEATURES}
     bins = {k: sum([(F.col(k) > c).cast("int") for c in cuts[k]], F.lit(0)).alias(k) for k in FEATURES}
     table = materialise(
-        seen.select("bad", "hold", *bins.values()).groupBy("bad", "hold", *FEATURES).agg(F.count("*").alias("n")), "bins"
+        seen.select("bad", "hold", "n", *bins.values()).groupBy("bad", "hold", *FEATURES).agg(F.sum("n").alias("n")), "bins"
     )
     rules: list[list[Condition]] = []
     while len(rules) < MAX_RULES:

@@ -84,7 +84,7 @@ def slow(rows, items):
     for i, t in items:
         w = terms(t)
         for k in range(max(1, len(w) - 12) if w else 0):
-            wins.setdefault(tuple(w[k : k + 13]), set()).add(str(i))
+            wins.setdefault(tuple(w[k : k + 13]), set()).add("" if i is None else str(i))
     out = []
     for d, t in rows:
         w, hit, own = terms(t), set(), set()
@@ -99,10 +99,10 @@ def slow(rows, items):
 
 def test_contamination_matches_brute_force(spark, docs, prose):
     passage = prose(900, 40).replace("\n", " ")
-    items = [(1, passage), (2, passage + " more words"), (3, "a b a b a b a b a b a b a b a b"), (4, "single"), (5, "two words"), (6, None), (7, "..."), (8, prose(901, 13)), (8, "single"), (9, "x")]
+    items = [(1, passage), (2, passage + " more words"), (3, "a b a b a b a b a b a b a b a b"), (4, "single"), (5, "two words"), (6, None), (7, "..."), (8, prose(901, 13)), (8, "single"), (9, "x"), (None, "without an id"), (None, "nor one")]
     extra = [
         (9001, "before it " + passage.upper() + " after", None, None, None, None), (9002, "a b " * 40, None, None, None, None),
-        (9003, prose(902, 3000) + " " + passage, None, None, None, None), (9004, "Single two-words two, words", None, None, None, None),
+        (9003, prose(902, 3000) + " " + passage, None, None, None, None), (9004, "Single two-words two, words", None, None, None, None), (9005, "Nor one, without an id", None, None, None, None),
         (9001, "another text under one id " + passage, None, None, None, None),
     ]
     rows = docs.unionByName(spark.createDataFrame(extra, docs.schema))
@@ -288,6 +288,27 @@ def test_learned_list_equals_plain_covering(spark):
     assert {r["doc_id"]: r["fired"] for r in fired if r["doc_id"] in first} == first
 
 
+def test_list_does_not_depend_on_partitions_or_order_of_labels(spark):
+    rng, rows, labels = random.Random(5), [], []
+    for d in range(400):
+        n = rng.randint(30, 90)
+        bad = d % 4 == 0
+        rows.append((d if d else None, n, 5 * n, 0, 0, 0, 0, rng.randint(0, 3) + 9 * bad, rng.randint(0, 2)))
+        labels += [(d, int(not bad))] * (1 + d % 3)
+    rows += [(7, 40, 200, 0, 0, 0, 0, 1, 1)] * 300
+    labels += [(7, 0), (7, 1), (None, 0), (None, 1), (12345, 0), (3, None)]
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_bang", "n_echo"]
+    stats = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in names))
+    y = spark.createDataFrame(labels, "doc_id long, quality int")
+    lists = [quality_rules.learn(stats.repartition(k, "n_bang"), y.repartition(k)) for k in (1, 3, 11)]
+    assert lists[0] and lists[0] == lists[1] == lists[2]
+    # Every labelled row counts once per label: the thresholds are values at these ranks.
+    of = {d: [q for i, q in labels if i == d and q is not None] for d in range(400)}
+    seen = sorted(r[7] / r[1] for r in rows if r[0] is not None for _ in of[r[0]])
+    cuts = {seen[max(1, math.ceil(q * len(seen))) - 1] for q in quality_rules.CUTS}
+    assert {c.cut for rule in lists[0] for c in rule if c.feature == "bang_per_word"} <= cuts
+
+
 def test_rules_without_labels(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, quality int")
     got = quality_rules.judge(docs, none).collect()
