@@ -97,24 +97,18 @@ def test_every_position_is_labelled(prose):
 
 
 def slow_probabilities(model, text):
-    """The network step by step, as its definition says, window by window."""
-    p, raw, out = {k: v.astype(float) for k, v in model.p.items()}, text.encode(), []
-    for k in range(0, len(raw), language_id.WINDOW):
-        lo = max(0, k - language_id.HALO)
-        piece = raw[lo : k + language_id.WINDOW + language_id.HALO]
-        padded = piece + bytes(language_id.WINDOW + 2 * language_id.HALO - len(piece))
-        states = {}
-        for d in "fb":
-            h, each = np.zeros(language_id.HIDDEN), {}
-            for t in range(len(padded)) if d == "f" else reversed(range(len(padded))):
-                g = 1 / (1 + np.exp(-(p[f"xg{d}"][padded[t]] + h @ p[f"ug{d}"])))
-                c = np.tanh(p[f"xc{d}"][padded[t]] + g * (h @ p[f"uc{d}"]))
-                h = each[t] = (1 - g) * h + g * c
-            states[d] = each
-        for t in range(k - lo, k - lo + min(language_id.WINDOW, len(raw) - k)):
-            z = np.exp(states["f"][t] @ p["of"] + states["b"][t] @ p["ob"] + p["bias"])
-            out.append(z / z.sum())
-    return np.array(out)
+    """The network step by step over the whole text, as its definition says."""
+    p, raw = {k: v.astype(float) for k, v in model.p.items()}, text.encode()
+    states = {}
+    for d in "fb":
+        h, each = np.zeros(language_id.HIDDEN), {}
+        for t in range(len(raw)) if d == "f" else reversed(range(len(raw))):
+            g = 1 / (1 + np.exp(-(p[f"xg{d}"][raw[t]] + h @ p[f"ug{d}"])))
+            c = np.tanh(p[f"xc{d}"][raw[t]] + g * (h @ p[f"uc{d}"]))
+            h = each[t] = (1 - g) * h + g * c
+        states[d] = each
+    z = np.array([np.exp(states["f"][t] @ p["of"] + states["b"][t] @ p["ob"] + p["bias"]) for t in range(len(raw))])
+    return z / z.sum(axis=1, keepdims=True)
 
 
 @pytest.mark.parametrize("words", [1, 20, 33, 120])
@@ -126,6 +120,24 @@ def test_forward_pass_equals_its_definition(prose, words):
     assert np.allclose(language_id.pooled(model, [b"", text.encode()])[1], want.mean(axis=0), atol=1e-4)
 
 
+def slow_gates(model):
+    """The same network with gates so nearly shut that a state lasts for thousands of bytes."""
+    p = {k: v - np.float32(6) if k.startswith("xg") else v for k, v in model.p.items()}
+    return language_id.ByteGru(model.languages, p)
+
+
+@pytest.mark.parametrize("memory", [lambda m: m, slow_gates])
+def test_windows_and_blocks_do_not_change_what_is_found(prose, memory):
+    model = memory(language_id.train([prose(1, 30), prose(2, 30).upper(), prose(3, 30) + "é"], ["a", "b", "c"]))
+    texts = ["", "x", prose(4, 20), prose(5, 400) + "日", prose(6, 300).upper()]
+    want = [slow_probabilities(model, t) for t in texts[1:]]
+    for window, block in ((128, 4096), (7, 5), (64, 3), (50_000, 2)):
+        got = [language_id.position_probabilities(model, t, window, block) for t in texts[1:]]
+        assert all(np.allclose(g, w, atol=5e-4) for g, w in zip(got, want))
+        means = language_id.pooled(model, [t.encode() for t in texts], window, block)
+        assert np.allclose(means[1:], [w.mean(axis=0) for w in want], atol=5e-4) and not means[0].any()
+
+
 def test_very_long_and_odd_texts_have_a_language(spark, docs, prose):
     long = [(8000, prose(1, 20_000), "aa"), (8001, "é" * 60_000, "bb"), (8002, prose(2, 50), "aa"), (8002, prose(2, 50), "aa")]
     rows = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(long, "doc_id long, text string, lang string"))
