@@ -170,3 +170,14 @@ def test_run_equals_plain_python(spark, prose, tmp_path):
     assert not left & {*range(200, 230), *range(300, 330), *range(400, 410), *range(500, 504)} and {510, 600} <= left and len(left & {420, 421}) == 1
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted((tuple(r)[:4] for r in got), key=str) == sorted(encoded(kept[-1]), key=str)
+
+
+def test_run_on_empty_tables(spark, tmp_path):
+    for name, schema in (
+        ("documents", "doc_id long, text string, lang string, source string, n_chars long"),
+        ("labels", "doc_id long, quality int, toxic int"),
+        ("benchmark", "item_id long, text string"),
+    ):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(got.columns) and got.count() == 0
