@@ -1,8 +1,8 @@
 """A data source for columnar JSON: ``{"fields": [...], "data": [[...], ...]}``.
 
-One payload may be of any size. Its bytes are cut into ranges, and each range is a task,
-although a range may begin inside a string, a row or a nested value. That takes two
-passes. The first counts, in every range at once, quotes and brackets for either case of
+One payload may be of any size. Its bytes are cut into ranges that any task can read,
+although a range may begin inside a string, a row or a nested value; a task takes several
+ranges where they are short or many. That takes two passes. The first counts, in every range at once, quotes and brackets for either case of
 its beginning, so that a short fold over the ranges tells each one's true state. In the
 second each range reads the rows that open in it, to the end of the last one.
 
@@ -26,6 +26,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 NAME = "columnar_json"
 #: Bytes of a range.
 RANGE_BYTES = 32 << 20
+#: What opening a file counts for, in bytes, and tasks a core, where ranges are dealt to tasks.
+OPEN_BYTES, TASKS_A_CORE = 64 << 10, 4
 #: Rows parsed at once.
 ROWS = 10_000
 QUOTE, BACKSLASH = ord('"'), ord("\\")
@@ -33,6 +35,8 @@ STATE_SCHEMA = "file string, start long, flips int, outside long, inside long, l
 _KEYS = re.compile(rb'"(fields|data)"\s*:\s*\[')
 #: A key whose list opens in a range is looked for this far before the range.
 KEY_BYTES = 256
+#: Bytes in which most lists of fields end.
+FIELD_BYTES = 1 << 14
 #: Stands for the least depth where no bracket follows.
 NOTHING = 1 << 40
 
@@ -113,12 +117,35 @@ class Range(InputPartition):
     names: tuple[str, ...] = ()
 
 
+@dataclass
+class Bundle(InputPartition):
+    """The ranges of one task."""
+
+    ranges: list[Range]
+
+
+def dealt(cut: list[Range], cores: int) -> list[list[Range]]:
+    """Neighbouring ranges by tasks: some tasks a core, but none of more than RANGE_BYTES,
+    unless one range has more."""
+    cost = [p.end - p.start + OPEN_BYTES for p in cut]
+    most = min(RANGE_BYTES, sum(cost) // (cores * TASKS_A_CORE))
+    out: list[list[Range]] = []
+    room = 0
+    for part, c in zip(cut, cost):
+        if c > room:
+            out.append([])
+            room = max(most, c)
+        out[-1].append(part)
+        room -= c
+    return out
+
+
 def state_of(part: Range) -> tuple[str, int, int, int, int, int, int, str]:
     """What a range does to the state of the text, for either state at its start: quotes
     modulo two, then for a start outside and inside of a string the change of depth and
     its least on the way. Last, the lists named fields or data that open in the range:
-    key, place, quotes modulo two before it, and for either start the depth before it and
-    the least depth after it."""
+    key, place, quotes modulo two before it, for either start the depth before it and
+    the least depth after it, and the names in it where it is a short list of fields."""
     back = min(part.start, KEY_BYTES)
     raw = read_bytes(part.file, part.start - back, part.end - part.start + back)
     data = np.frombuffer(raw, np.uint8)[back:]
@@ -138,7 +165,9 @@ def state_of(part: Range) -> tuple[str, int, int, int, int, int, int, str]:
                 up.append(int(d[k - 1]) if k else 0)
                 rest = d[int(np.searchsorted(a, p, side="right")) :]
                 after.append(int(rest.min()) if len(rest) else NOTHING)
-            found.append([m.group(1).decode(), part.start + p, int(np.searchsorted(quotes, p)) % 2, up, after])
+            key = m.group(1).decode()
+            named = _listed(read_bytes(part.file, part.start + p, FIELD_BYTES)) if key == "fields" else None
+            found.append([key, part.start + p, int(np.searchsorted(quotes, p)) % 2, up, after, named])
     return part.file, part.start, len(quotes) % 2, last[0], last[1], least[0], least[1], json.dumps(found)
 
 
@@ -206,15 +235,22 @@ class _Reader(DataSourceReader):
         self.columns = columns
         self.ranges = options["ranges"]
 
-    def partitions(self) -> list[Range]:
-        return [Range(f, a, b, s, d, at, tuple(n)) for f, a, b, s, d, at, n in json.loads(self.ranges)]
-
-    def read(self, partition: Range) -> Iterator:
-        if self.states:
-            yield state_of(partition)
-            return
-        place = {n: k for k, n in enumerate(partition.names)}
-        for rows in rows_of(partition):
+    def partitions(self) -> list[Bundle]:
+        names, tasks = json.loads(self.ranges)
+        # The reader goes to every task; the ranges of all tasks must not go with it.
+        self.ranges = ""
+        return [Bundle([Range(*r, tuple(names[k])) for *r, k in task]) for task in tasks]
+
+    def read(self, partition: Bundle) -> Iterator:
+        for part in partition.ranges:
+            if self.states:
+                yield state_of(part)
+            else:
+                yield from self._batches(part)
+
+    def _batches(self, part: Range) -> Iterator[pa.RecordBatch]:
+        place = {n: k for k, n in enumerate(part.names)}
+        for rows in rows_of(part):
             cols = []
             for c in self.columns:
                 k = place.get(c)
@@ -222,20 +258,28 @@ class _Reader(DataSourceReader):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=self.columns)
 
 
+def _listed(raw: bytes) -> list[str] | None:
+    """The field names of the list that opens ``raw``, None where it does not end there;
+    entries are names or objects that have one."""
+    try:
+        # What is cut off at the end of the text may be half a character.
+        listed, _ = json.JSONDecoder().raw_decode(raw.decode(errors="ignore"))
+        return [f["name"] if isinstance(f, dict) else str(f) for f in listed]
+    except (json.JSONDecodeError, KeyError):
+        return None
+
+
 def _names(file: str, at: int) -> list[str]:
-    """The field names of the list that opens at byte ``at``; entries are names or
-    objects that have one."""
-    size = 1 << 14
+    """The field names of the list that opens at byte ``at``, however long."""
+    size = FIELD_BYTES
     while True:
         raw = read_bytes(file, at, size)
-        try:
-            # What is cut off at the end of the text may be half a character.
-            listed, _ = json.JSONDecoder().raw_decode(raw.decode(errors="ignore"))
-            return [f["name"] if isinstance(f, dict) else str(f) for f in listed]
-        except json.JSONDecodeError:
-            if len(raw) < size:
-                raise BadPayload(f"the fields of {file} do not end") from None
-            size *= 2
+        listed = _listed(raw)
+        if listed is not None:
+            return listed
+        if len(raw) < size:
+            raise BadPayload(f"the fields of {file} do not end")
+        size *= 2
 
 
 def _fold(cut: list[Range], states: dict) -> dict[str, tuple[str, ...]]:
@@ -248,10 +292,10 @@ def _fold(cut: list[Range], states: dict) -> dict[str, tuple[str, ...]]:
         s = states[part.file, part.start]
         part.in_string, part.depth, part.data_at = in_string, depth, data_at
         least = depth + s["least_inside" if in_string else "least_outside"]
-        for key, at, quotes, up, after in json.loads(s["lists"]):
+        for key, at, quotes, up, after, named in json.loads(s["lists"]):
             if (quotes + in_string) % 2 == 0 and depth + up[in_string] == 1:
                 if key == "fields":
-                    names[file] = tuple(_names(file, at))
+                    names[file] = tuple(_names(file, at) if named is None else named)
                 else:
                     part.data_at = data_at = at
                     least = depth + after[in_string]
@@ -276,16 +320,23 @@ def columnar_json(
     cut = [Range(f, a, min(a + range_bytes, n)) for f, n in files(path) for a in range(0, n, range_bytes)]
     if not cut:
         raise BadPayload(f"no payload under {path}")
-    line = lambda parts: json.dumps([[p.file, p.start, p.end, p.in_string, p.depth, p.data_at, list(p.names)] for p in parts])
+    tasks = dealt(cut, spark.sparkContext.defaultParallelism)
+
+    def line() -> str:
+        """The different lists of names, and by task its ranges, each with its list's place."""
+        lists = list(dict.fromkeys(p.names for p in cut))
+        place = {n: k for k, n in enumerate(lists)}
+        return json.dumps([lists, [[[p.file, p.start, p.end, p.in_string, p.depth, p.data_at, place[p.names]] for p in t] for t in tasks]])
+
     # One short row per range.
-    states = {(r["file"], r["start"]): r for r in source.option("mode", "states").option("ranges", line(cut)).load().collect()}
+    states = {(r["file"], r["start"]): r for r in source.option("mode", "states").option("ranges", line()).load().collect()}
     names = _fold(cut, states)
     for part in cut:
         if part.file not in names:
             raise BadPayload(f"{part.file} has no fields")
         part.names = names[part.file]
     columns = list(dict.fromkeys(n for p in cut for n in p.names))
-    read = spark.read.format(NAME).option("ranges", line(cut)).option("columns", json.dumps(columns)).load()
+    read = spark.read.format(NAME).option("ranges", line()).option("columns", json.dumps(columns)).load()
     out = []
     for n in columns:
         to, c = (renames or {}).get(n, n), F.col(f"`{n.replace('`', '``')}`")

@@ -1,6 +1,7 @@
 """Columnar JSON cut into ranges anywhere, and doubles as text."""
 
 import json
+import pickle
 import random
 import struct
 
@@ -43,6 +44,17 @@ def test_a_large_payload_is_read_by_many_tasks(spark, tmp_path):
     assert got.agg(F.sum("key")).first()[0] == n * (n - 1) / 2
 
 
+def test_short_payloads_share_tasks_and_no_task_gets_all_ranges(spark, tmp_path):
+    for k in range(200):
+        (tmp_path / f"{k:03d}.json").write_text(payload(["id", "v"] if k % 2 else ["v", "id"], [[str(k), str(-k)]]))
+    got = columnar.columnar_json(spark, str(tmp_path))
+    assert got.rdd.getNumPartitions() <= 2 * columnar.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    assert rows(got) == sorted([(str(k), str(-k)) if k % 2 == 0 else (str(-k), str(k)) for k in range(200)], key=str)
+    tasks = [[[f"file {k}", 0, 1, False, 0, 0, 0]] for k in range(1000)]
+    reader = columnar._Reader({"ranges": json.dumps([[["id"]], tasks])}, ["id"])
+    assert len(reader.partitions()) == 1000 and len(pickle.dumps(reader)) < 500
+
+
 def test_fields_may_come_last_and_must_come(spark, tmp_path):
     (tmp_path / "late.json").write_text('{"data": [["\\"fields\\": [", 1]], "other": {"fields": ["no"]}, "fields": ["a", "b"]}')
     assert rows(columnar.columnar_json(spark, str(tmp_path / "late.json"), range_bytes=16)) == [('"fields": [', "1")]
