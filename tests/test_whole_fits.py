@@ -31,3 +31,7 @@ def total(df, column):
 
 def test_source_registry_counts_every_body_with_fits(spark, bodies):
     assert {r["source"]: r["n_rows"] for r in got(spark, "a09_source_registry").collect()}["fits"] == bodies
+
+
+def test_flags_of_all_fits_are_decoded(spark, lines):
+    assert total(got(spark, "b04_flag_decoding"), "n") == lines.count()
