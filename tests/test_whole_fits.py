@@ -35,3 +35,8 @@ def test_source_registry_counts_every_body_with_fits(spark, bodies):
 
 def test_flags_of_all_fits_are_decoded(spark, lines):
     assert total(got(spark, "b04_flag_decoding"), "n") == lines.count()
+
+
+def test_codes_of_all_fits_are_read(spark, lines, bodies):
+    codes = got(spark, "b10_fit_codes")
+    assert total(codes, "n") == lines.count() and codes.select("designation").distinct().count() == bodies
