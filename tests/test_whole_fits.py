@@ -40,3 +40,10 @@ def test_flags_of_all_fits_are_decoded(spark, lines):
 def test_codes_of_all_fits_are_read(spark, lines, bodies):
     codes = got(spark, "b10_fit_codes")
     assert total(codes, "n") == lines.count() and codes.select("designation").distinct().count() == bodies
+
+
+@pytest.mark.parametrize("name", ["c01_canonical", "c02_comparison_key", "c03_shape"])
+def test_keys_of_all_fits_are_read(spark, lines, name):
+    key = (F.col("l_partkey") + 1).cast("string")
+    raw = F.when(F.col("l_linenumber") % 7 == 1, F.concat(key, F.lit(".0"))).otherwise(key).alias("raw")
+    assert lines.select(raw).join(got(spark, name), "raw", "left_anti").isEmpty()
