@@ -47,3 +47,7 @@ def test_keys_of_all_fits_are_read(spark, lines, name):
     key = (F.col("l_partkey") + 1).cast("string")
     raw = F.when(F.col("l_linenumber") % 7 == 1, F.concat(key, F.lit(".0"))).otherwise(key).alias("raw")
     assert lines.select(raw).join(got(spark, name), "raw", "left_anti").isEmpty()
+
+
+def test_fits_of_all_bodies_are_pooled(spark, bodies):
+    assert got(spark, "e04_pool_fits").count() == bodies
