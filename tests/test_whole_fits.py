@@ -51,3 +51,8 @@ def test_keys_of_all_fits_are_read(spark, lines, name):
 
 def test_fits_of_all_bodies_are_pooled(spark, bodies):
     assert got(spark, "e04_pool_fits").count() == bodies
+
+
+def test_all_fits_are_summed(spark, lines, bodies):
+    sums = got(spark, "e07_any_and_sum")
+    assert sums.count() == bodies and total(sums, "n_fits") == lines.count()
