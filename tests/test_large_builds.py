@@ -1,5 +1,7 @@
 """Steps of the build whose cost must not grow faster than the tables."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,9 @@ from orrery.functions import keys
 from orrery.operators import distinct, skew
 from orrery.operators.identity import rekey
 from orrery.operators.pool import pool
+from orrery.plans import fixtures
+
+SF = "/root/testdata/sf0.001"
 
 
 def plan(df):
@@ -51,3 +56,11 @@ def test_texts_of_most_bodies_are_listed_once(spark, monkeypatch):
     monkeypatch.setattr(skew, "HOT_SHARE", 1_000_000)  # all are
     pick = lambda df: sorted(tuple(r) for r in df.select("designation", F.coalesce("reference", F.lit("-")), F.coalesce("fit_code", F.lit("-")), "n_fits").collect())
     assert pick(cold) == pick(make()) and cold.count() == 24
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
+def test_bodies_are_made_once(spark):
+    plain, written = fixtures.views(spark, SF), fixtures.views(spark, SF, written=True)
+    for name in ("fx_orbits", "fx_best", "fx_compendium", "fx_links"):
+        assert not any("part.parquet" in f for f in written[name].inputFiles())
+        assert plain[name].exceptAll(written[name]).isEmpty() and written[name].exceptAll(plain[name]).isEmpty()
