@@ -30,3 +30,7 @@ def matches_sql(spark, tables, name):
 
 def test_class_labels_of_all_bodies(spark, tables):
     matches_sql(spark, tables, "c07_class_case")
+
+
+def test_densities_of_all_bodies(spark, tables):
+    matches_sql(spark, tables, "c09_dictionary")
